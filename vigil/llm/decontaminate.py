@@ -56,7 +56,10 @@ def with_templates(df: DataFrame) -> DataFrame:
 
 
 def _windows(df: DataFrame, window: int) -> DataFrame:
-    """Explode (h, pos, slots): hash of the window's template words, its position, the values in its slots."""
+    """Add ``win``, structs (h, pos, slots): hash of the window's template words, its position, the values in its slots.
+
+    Explode it with ``inline_outer``: for ``inline`` the optimizer would test the array's size first, by all its expressions again.
+    """
     cells = ", ".join(f"get(tmpl, i + {k})" for k in range(window))
     values = ", ".join(f"CASE WHEN startswith(get(tmpl, i + {k}), '<') THEN get(raw, i + {k}) END" for k in range(window))
     at = f"CASE WHEN size(tmpl) > 0 THEN sequence(0, greatest(size(tmpl) - {window}, 0)) ELSE array() END"
@@ -69,7 +72,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", _words(F.col("text")).alias("w")).where("size(w) > 0")
     # an item text that is repeated counts once
     items = items.groupBy("w").agg(F.min("item_id").alias("item_id"))
-    return _windows(with_templates(items), window).select("item_id", F.size("win").alias("item_windows"), F.inline("win")).select(
+    return _windows(with_templates(items), window).select("item_id", F.size("win").alias("item_windows"), F.inline_outer("win")).select(
         "item_id", "item_windows", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
 
 
@@ -79,7 +82,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     n = wanted.count()
     side = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
     words = docs.select("k1", "k2", _words(F.coalesce("text", F.lit(""))).alias("w"))
-    grams = _windows(with_templates(words), window).select("k1", "k2", F.inline("win"))
+    grams = _windows(with_templates(words), window).select("k1", "k2", F.inline_outer("win"))
     met = grams.join(side, "h").select(
         "k1", "k2", "item_id", "item_windows", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos",
         F.when(F.col("slots") != "", F.arrays_zip(F.split("item_slots", "\x01").alias("a"), F.split("slots", "\x01").alias("b"))).alias("pairs"))

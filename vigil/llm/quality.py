@@ -58,8 +58,8 @@ def _ngram_buckets(words: str) -> Column:
 
 def _counts(docs: DataFrame) -> dict[int, int]:
     """n-grams of all documents by bucket; at most BUCKETS rows reach the driver."""
-    grams = docs.select(words_of(F.coalesce("text", F.lit(""))).alias("w")).select(F.explode(_ngram_buckets("w")).alias("b"))
-    return {r["b"]: r["n"] for r in grams.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}
+    grams = docs.select(words_of(F.coalesce("text", F.lit(""))).alias("w")).select(F.explode_outer(_ngram_buckets("w")).alias("b"))
+    return {r["b"]: r["n"] for r in grams.where("b IS NOT NULL").groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
 def fit_ratios(raw: DataFrame, target: DataFrame) -> list[int]:
