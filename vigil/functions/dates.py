@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FORMATS = ("yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ss z", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "EEE, dd MMM yyyy HH:mm:ss Z")
+FORMATS = ("yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ss z", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "d MMM yyyy HH:mm:ss Z")
 
 
 def parse_ts(text: Column) -> Column:
     """Timestamp of a text in any of the known forms (UTC where it names no zone); a bare date is null."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in FORMATS])
+    plain = F.regexp_replace(text, r"^[A-Za-z]{3},\s*", "")
+    return F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)) for f in FORMATS])
 
 
 def slot_start(ts: Column, zone: str = "Asia/Taipei", hour: int = 6) -> Column:
