@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions import dates, text, urls
-from vigil.operators import corpus, extract, matching
+from vigil.operators import analyst, corpus, extract, matching
 from vigil.operators.graph import connected_components
 from vigil.plans import inputs
 from vigil.plans.inputs import ACTIONS, FEED_READ, FEED_STORED, SIGHTINGS, articles, sightings, view
@@ -315,4 +315,34 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select("doc_id", F.size(text.body_lines(F.col("text"))).cast("long").alias("n_lines"))
 
 
+@query(r"""WITH h AS (SELECT page_id, regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1) AS host FROM pages)
+SELECT page_id, CASE WHEN ends_with(host, 'blog.tionble.example.com') THEN 'first' WHEN ends_with(host, 'example.com') THEN 'com' WHEN ends_with(host, 'example.net') THEN 'net' END AS source_key FROM h""")
+def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    registry = spark.createDataFrame([("first", "blog.tionble.example.com", 1), ("com", "example.com", 2), ("net", "example.net", 3)], "source_key string, host string, pos int")
+    pages = read_table(spark, sf_dir, "pages").select("page_id", urls.url_host(F.col("url")).alias("h"))
+    return analyst.source_for_url(pages, "h", registry).select("page_id", "source_key")
+
+
+_BACKTEST_SQL = r"""WITH p AS (SELECT page_id, url, regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1) AS host FROM pages),
+v AS (SELECT CASE WHEN host IN (SELECT host FROM p WHERE page_id % 50 = 0) THEN 'excluded' WHEN host IN (SELECT regexp_replace(host, '^(m|blog)\.', '') FROM p WHERE page_id % 3 = 0) THEN 'hit' ELSE 'unseen' END AS status FROM p)
+"""
+
+
+@query(_BACKTEST_SQL + """SELECT count(*) AS submitted, 0 AS skipped, count(*) FILTER (status = 'hit') AS hits, count(*) FILTER (status = 'excluded') AS excluded, count(*) FILTER (status = 'unseen') AS unseen,
+count(*) AS processed, round(count(*) FILTER (status = 'hit') / count(*), 5) AS hit_rate FROM v""")
+def backtest_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked, known, excluded = _corpus_of_pages(spark, sf_dir)
+    return analyst.observable_rates(analyst.backtest_observables(asked.select("value"), known, excluded, known.limit(0)))
+
+
+@query()
+def action_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actions of all documents read as articles."""
+    read = articles(spark, sf_dir).withColumns({"title": F.substring("body", 1, 80), "warnings": F.array().cast("array<string>")})
+    intel = spark.createDataFrame([], "cve_id string, kev boolean, cvss_score double, epss_score double")
+    resolvers = spark.createDataFrame([("8.8.8.8",), ("8.8.4.4",), ("1.1.1.1",), ("1.0.0.1",), ("9.9.9.9",)], "value string")
+    brands = spark.createDataFrame([("example.org",)], "host string")
+    return analyst.build_actions(read, extract.extract_evidence(read, TLDS), intel, resolvers, brands)
+
+
 __all__ = ["ORACLES", "QUERIES", "inputs"]
