@@ -11,10 +11,10 @@ removed. Steps:
    a whole; they need no text, and thousands of copies collapse in map-side sums.
 3. One run of each content is kept for anchors with several contents. Their texts are
    joined in blocks of whole anchors, and each block gets a suffix order and its
-   Burrows-Wheeler transform. From the empty string, the intervals of repeated strings
-   are extended backwards breadth-first, one byte a round, so common prefixes appear by
-   increasing length; at ``length`` the expansion stops, and what is left are the
-   repeated windows. An anchor with more than ANCHOR_RUNS contents would not fit a
+   Burrows-Wheeler transform. The intervals of repeated strings, from the longest that
+   the suffix order gives for nothing, are extended backwards breadth-first, one byte a
+   round, so common prefixes appear by increasing length; at ``length`` the expansion
+   stops, and what is left are the repeated windows. An anchor with more than ANCHOR_RUNS contents would not fit a
    block; its windows are counted one by one, by 128-bit hashes, in a shuffle.
 4. The removed spans join the texts once.
 
@@ -41,7 +41,7 @@ from vigil.plans.materialize import materialize
 
 LENGTH, ANCHOR = 200, 32
 #: Contents of one anchor that a block may hold, and bytes from which a block is closed.
-ANCHOR_RUNS, BLOCK_BYTES = 3000, 1 << 20
+ANCHOR_RUNS, BLOCK_BYTES = 3000, 1 << 18
 _PLACE_BITS = 28
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64))
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -106,45 +106,49 @@ def repeated_starts(symbols: np.ndarray, length: int) -> np.ndarray:
     """Positions whose next ``length`` symbols also stand elsewhere. Symbol 0 separates strings and is never matched."""
     n = len(symbols)
     # suffix order by doubling, from seven symbols (of 9 bits) up to at least ``length``
+    known = min(7, length)
     rank = np.zeros(n, np.int64)
-    for k in range(7):
+    for k in range(known):
         rank <<= 9
         rank[: n - k] |= symbols[k:]
-    known = 7
+    start, interval_of = 0, rank
     while True:
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank)
         value = rank[order]
         dense = np.cumsum(np.concatenate([[0], value[1:] != value[:-1]]))
         rank = np.empty(n, np.int64)
         rank[order] = dense
+        if known <= length:
+            start, interval_of = known, rank  # the longest prefixes under the threshold whose intervals the order gives for nothing
         if known >= length or dense[-1] == n - 1:
             break
         second = np.zeros(n, np.int64)
         second[: n - known] = rank[known:] + 1
         rank = rank * (n + 1) + second
         known *= 2
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    before = symbols[order - 1].copy()  # the transform: the symbol in front of each suffix
-    before[order == 0] = 0
-    back = place[order - 1]  # where the suffix that starts one earlier stands
-    first = symbols[order]
-    rows = np.flatnonzero(first != 0)
-    interval = first[rows].astype(np.int64)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
+    ends = np.flatnonzero(symbols == 0)
+    room = np.repeat(ends, np.diff(np.concatenate([[-1], ends])))  # where each position's string ends
+    whole = np.zeros(n, bool)
+    whole[: len(room)] = room - np.arange(len(room)) >= start
+    if len(room) < n:
+        whole[len(room) :] = n - np.arange(len(room), n) >= start
+    rows = np.flatnonzero(whole[order]).astype(np.int32)
+    interval = interval_of[order[rows]]
     at = np.zeros(n, np.int64)
-    depth = 1
+    depth = start
     while len(rows):
-        new = np.concatenate([[True], (interval[1:] != interval[:-1])])
-        begin = np.flatnonzero(new)
-        many = np.diff(np.append(begin, len(rows))) > 1
-        number = np.cumsum(new) - 1
-        alive = many[number]
+        new = np.concatenate([[True], interval[1:] != interval[:-1]])
+        single = new & np.concatenate([new[1:], [True]])
+        rows, number = rows[~single], np.cumsum(new)[~single]
         if depth == length:
-            return np.sort(order[rows[alive]])
-        alive &= before[rows] != 0
-        rows, number = rows[alive], number[alive]
-        symbol, rows = before[rows].astype(np.int64), back[rows]
-        at[rows] = number * 512 + symbol
+            return np.sort(order[rows])
+        spot = order[rows] - 1
+        symbol = symbols[spot]  # the transform: the symbol in front of each suffix
+        open_ = (symbol != 0) & (spot >= 0)
+        rows = place[spot[open_]]  # where the suffix that starts one earlier stands
+        at[rows] = number[open_] << 9 | symbol[open_]
         rows = np.sort(rows)
         interval = at[rows]
         depth += 1
@@ -216,11 +220,14 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     """(k1, k2, s, e): bytes s to e - 1 of a row are covered by a repeated string; spans may overlap. ``keyed`` has doc_id, text, k1, k2."""
     runs = _runs(keyed, length)
     anchors = runs.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("fh").alias("f1"), F.max("fh").alias("f2")).where("c > 1")
-    kept = materialize(runs.join(anchors.select("h", (F.col("f1") == F.col("f2")).alias("one")), "h"), "runs")
+    # written, so that the join below has an exchange of its own and its hot anchors can be split
+    anchors = materialize(anchors.select("h", (F.col("f1") == F.col("f2")).alias("one")), "anchors")
+    kept = materialize(runs.join(anchors, "h"), "runs")
     span = ["k1", "k2", F.col("s").cast("long").alias("s"), (F.col("s") + F.col("n") + length - 1).cast("long").alias("e")]
     several = kept.where("NOT one")
     contents = several.groupBy("h", "fh").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("k1", "k2", "s", "n")).alias("r"))
-    spread = contents.groupBy("h").agg(F.count(F.lit(1)).alias("contents"))
+    # where every content occurs twice, all is known
+    spread = contents.groupBy("h").agg(F.count(F.lit(1)).alias("contents"), F.min("c").alias("least")).where("least = 1")
     chosen = contents.join(spread, "h").select("h", (F.col("c") == 1).alias("alone"), (F.col("contents") > ANCHOR_RUNS).alias("hot"), "r.*")
     wanted = chosen.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "alone", "hot", "s", "n")).alias("runs"))
 
