@@ -225,7 +225,8 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     kept = materialize(runs.join(anchors, "h"), "runs")
     span = ["k1", "k2", F.col("s").cast("long").alias("s"), (F.col("s") + F.col("n") + length - 1).cast("long").alias("e")]
     several = kept.where("NOT one")
-    contents = several.groupBy("h", "fh").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("k1", "k2", "s", "n")).alias("r"))
+    # written for the same reason: thousands of copies share a content
+    contents = materialize(several.groupBy("h", "fh").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("k1", "k2", "s", "n")).alias("r")), "contents")
     # where every content occurs twice, all is known
     spread = contents.groupBy("h").agg(F.count(F.lit(1)).alias("contents"), F.min("c").alias("least")).where("least = 1")
     chosen = contents.join(spread, "h").select("h", (F.col("c") == 1).alias("alone"), (F.col("contents") > ANCHOR_RUNS).alias("hot"), "r.*")
