@@ -2,8 +2,8 @@
 
 Base rules count code points, symbols, repeated lines and words in repeated 3-word
 windows. The verdict is a likelihood ratio between two multinomials over hashed word
-unigrams and bigrams: one of the trusted target documents, one of the raw corpus. Every
-document of either set is counted. A document's score is its summed log ratio divided
+unigrams and bigrams: one of a bounded set of trusted documents, one of the raw corpus, of
+which every document is counted. A document's score is its summed log ratio divided
 by its number of n-grams; it is kept if the score reaches the threshold. Ratios are
 whole micro-nats, so that the sums, and with them the verdicts, don't depend on the
 order of additions.
@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 15
 #: Mean log ratio (nats an n-gram) from which a document is kept.
-THRESHOLD = -1.0
+THRESHOLD = -0.07
 SMOOTHING = 1.0
+#: Documents of the trusted set that the target model is fitted on; the raw model counts every document.
+TARGET_ROWS = 20_000
 #: Documents of fewer words, or with a larger share of words in repeated windows (percent), fail the base rules.
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -56,20 +58,22 @@ def _ngram_buckets(words: str) -> Column:
     return F.concat(one, two)
 
 
-def _counts(docs: DataFrame) -> dict[int, int]:
-    """n-grams of all documents by bucket; at most BUCKETS rows reach the driver."""
-    grams = docs.select(words_of(F.coalesce("text", F.lit(""))).alias("w")).select(F.explode_outer(_ngram_buckets("w")).alias("b"))
-    return {r["b"]: r["n"] for r in grams.where("b IS NOT NULL").groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}
+def fit_ratios(docs: DataFrame, trusted_ids: DataFrame) -> list[int]:
+    """Micro-nats log(p target / p raw) for each bucket; both are counted in one pass over all documents.
 
-
-def fit_ratios(raw: DataFrame, target: DataFrame) -> list[int]:
-    """Micro-nats log(p target / p raw) for each bucket."""
-    of_target = _counts(target)
-    if not of_target:
+    The target is the TARGET_ROWS documents of ``trusted_ids`` with the smallest hashes of doc_id, so its ids are broadcast.
+    """
+    target = trusted_ids.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_ROWS).withColumn("target", F.lit(1))
+    known = docs.select("doc_id", "text").join(F.broadcast(target), "doc_id", "left")
+    grams = known.select("target", words_of(F.coalesce("text", F.lit(""))).alias("w")).select("target", F.explode_outer(_ngram_buckets("w")).alias("b"))
+    rows = grams.where("b IS NOT NULL").groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.count("target").alias("t")).collect()
+    n_target = sum(r["t"] for r in rows)
+    if not n_target:
         return [0] * BUCKETS
-    of_raw = _counts(raw)
-    n_raw, n_target = sum(of_raw.values()) + SMOOTHING * BUCKETS, sum(of_target.values()) + SMOOTHING * BUCKETS
-    return [round(1e6 * math.log((of_target.get(b, 0) + SMOOTHING) / n_target * n_raw / (of_raw.get(b, 0) + SMOOTHING))) for b in range(BUCKETS)]
+    of_bucket = {r["b"]: r for r in rows}
+    all_raw, all_target = sum(r["n"] for r in rows) + SMOOTHING * BUCKETS, n_target + SMOOTHING * BUCKETS
+    ratio = lambda r: math.log(((r["t"] if r else 0) + SMOOTHING) / all_target * all_raw / ((r["n"] if r else 0) + SMOOTHING))
+    return [round(1e6 * ratio(of_bucket.get(b))) for b in range(BUCKETS)]
 
 
 def _dup_lines() -> Column:
@@ -117,5 +121,4 @@ def judge_quality(docs: DataFrame, ratios: list[int], threshold: float = THRESHO
 
 def filter_quality(docs: DataFrame, trusted_ids: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``judge_quality`` with ratios of the documents listed in ``trusted_ids`` against all documents."""
-    target = docs.join(trusted_ids.select("doc_id").distinct(), "doc_id", "left_semi")
-    return judge_quality(docs, fit_ratios(docs, target), threshold)
+    return judge_quality(docs, fit_ratios(docs, trusted_ids), threshold)
