@@ -1,6 +1,7 @@
 """Every stage of the pipeline on the smallest tables, against brute force on what the stage before kept."""
 
 import hashlib
+import random
 import re
 
 from corpus_pipeline import CAPACITY, STAGES, run
@@ -57,3 +58,15 @@ def test_empty_and_run(spark, tmp_path):
         out = f(spark, docs, SF)
         assert out.count() == 0
     assert run(spark, SF).count() > 0
+
+
+def test_near_copies_by_row(spark):
+    rng = random.Random(11)
+    a, b, c, d, e = (" ".join(rng.choice("heron river stone mill bridge town field cloud lamp road".split()) + str(rng.randint(0, 99)) for _ in range(6000)) for _ in range(5))
+    near = lambda t: t + " x"
+    assert all((brute_simhash(t) ^ brute_simhash(near(t))).bit_count() <= 2 for t in (a, b, c))
+    data = [(3, a), (7, near(a)), (7, b), (9, near(b)), (None, near(a)), (None, c), (None, near(c)), (None, d), (12, e), (12, e)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    kept = sorted(((r["doc_id"], r["text"]) for r in dict(STAGES)["near_duplicates"](spark, docs, SF).collect()), key=str)
+    assert [r for r in kept if r[1] not in (c, near(c))] == sorted([(3, a), (7, b), (None, d), (12, e)], key=str)
+    assert len(kept) == 5  # and one of the copies of c

@@ -53,18 +53,18 @@ def simhash(words: list[bytes], hasher) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): the 64 bits as a signed long."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` and fp, the 64 bits as a signed long."""
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
         for batch in batches:
             fp = [simhash((t or "").encode().lower().split(), xxh64_intdigest) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.array(fp, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(np.array(fp, np.uint64).view(np.int64))], [*keep, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    return docs.select(*keep, *(["text"] if "text" not in keep else [])).mapInArrow(run, f"{schema}, fp long")
 
 
 def _thirds(bits: list[int]) -> list[list[int]]:
@@ -191,12 +191,29 @@ def near_links(distinct: DataFrame) -> DataFrame:
     return links
 
 
+def _components(vertices: DataFrame) -> DataFrame:
+    """``vertices`` (one row a fp) with the component of each."""
+    members = connected_components(near_links(vertices.select("fp")))
+    return vertices.join(members.withColumnRenamed("id", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row of each component: the smallest doc_id (null last), then the smallest hash of the text, then the first of rows that are alike.
+
+    Rows are told apart by a number that is written with them, so a doc_id that is null or repeated stands for no other row.
+    """
+    numbered = docs.withColumns({"_row": F.monotonically_increasing_id(), "_text": F.xxhash64("text")})
+    rows = materialize(fingerprints(numbered, tuple(numbered.columns)), "rows")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "_row")
+    named = _components(rows.groupBy("fp").agg(F.min(order).alias("least")))
+    kept = named.groupBy("component").agg(F.min("least").alias("least")).select("least._row")
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Return doc_id, fingerprint (16 hex digits) and component_id for every row of ``docs``."""
     prints = materialize(fingerprints(docs), "fingerprints")
-    vertices = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    members = connected_components(near_links(vertices.select("fp")))
-    named = vertices.join(members.withColumnRenamed("id", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    named = _components(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of_print = named.select("fp", "component").join(least, "component").select("fp", "component_id")
     return prints.join(of_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
