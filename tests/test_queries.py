@@ -1,5 +1,6 @@
 """Registered queries against their SQL, and the operators that SQL cannot state against small cases."""
 
+import hashlib
 import json
 
 import duckdb
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vigil.operators import corpus, extract, matching
 from vigil.operators.graph import connected_components
+from vigil.plans import inputs
 from vigil.plans.queries import ORACLES, QUERIES, TLDS
 from vigil.sources import readers
 
@@ -112,3 +114,20 @@ def test_chain_and_version(spark):
     rows = spark.createDataFrame([(i, str(i)) for i in range(50)], "a int, b string")
     one, two = (corpus.content_version(x, ["a", "b"]).first()[0] for x in (rows, rows.orderBy(F.desc("a")).repartition(7)))
     assert one == two != corpus.content_version(rows.where("a != 3"), ["a", "b"]).first()[0]
+
+
+def test_event_clusters(spark):
+    articles: dict = {}
+    for r in inputs.sightings(spark, SF).where("status = 'confirmed' AND indicator_type = 'cve'").collect():
+        articles.setdefault(r["report_date"], {}).setdefault(r["article_url"], set()).add(r["value"])
+    want = []
+    for day, cves in articles.items():
+        groups: list[tuple[set, set]] = []
+        for url, values in cves.items():
+            met = [g for g in groups if g[1] & values]
+            groups = [g for g in groups if not g[1] & values] + [({url}.union(*(g[0] for g in met)), values.union(*(g[1] for g in met)))]
+        want += [(day, sorted(c), sorted(u)) for u, c in groups if len(u) > 1]
+    found = QUERIES["event_clusters"](spark, SF).collect()
+    assert sorted((r["report_date"], r["cves"], r["article_urls"]) for r in found) == sorted(want)
+    assert len({day for day, _, _ in want}) > 10 and all(r["n_articles"] == len(r["article_urls"]) for r in found)
+    assert all(r["cluster_id"] == hashlib.sha256("\n".join(r["cves"]).encode()).hexdigest()[:16] and r["label"].startswith(r["cves"][0]) for r in found)

@@ -272,11 +272,17 @@ def document_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def event_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles joined by shared confirmed CVEs, one component a row."""
-    rows = sightings(spark, sf_dir).where("status = 'confirmed' AND indicator_type = 'cve' AND report_date = DATE '2024-01-10'")
-    edges = rows.select(F.col("article_url").alias("u"), F.col("value").alias("v")).distinct()
-    members = connected_components(edges).where("startswith(id, 'https')")
-    return members.groupBy("component").agg(F.count(F.lit(1)).alias("n_articles")).where("n_articles >= 2")
+    """Articles of a day joined by shared confirmed CVEs, one cluster of two articles or more a row; id and label as the reference names them."""
+    rows = sightings(spark, sf_dir).where("status = 'confirmed' AND indicator_type = 'cve'").select("report_date", "article_url", "value").distinct()
+    of_day = lambda kind, c: F.concat(F.col("report_date").cast("string"), F.lit(f" {kind} "), F.col(c))  # noqa: E731  days never meet
+    rows = rows.select("report_date", "article_url", "value", of_day("article", "article_url").alias("id"), of_day("cve", "value").alias("v"))
+    members = connected_components(rows.select(F.col("id").alias("u"), "v"))
+    found = rows.join(members, "id").groupBy("report_date", "component").agg(
+        F.sort_array(F.collect_set("value")).alias("cves"), F.sort_array(F.collect_set("article_url")).alias("article_urls")).where("size(article_urls) >= 2")
+    n, first = F.size("cves"), F.get("cves", F.lit(0))
+    return found.select(
+        "report_date", F.substring(F.sha2(F.array_join("cves", "\n"), 256), 1, 16).alias("cluster_id"), F.when(n > 1, F.concat(first, F.lit(" 等 "), n, F.lit(" 個 CVE"))).otherwise(first).alias("label"),
+        "cves", "article_urls", F.size("article_urls").alias("n_articles"))
 
 
 @query("""SELECT page_id, length(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]*>', '', 'g')) > 0 AS has_body FROM pages""")
