@@ -74,6 +74,20 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score_toxicity(empty, labels).count() == 0
 
 
+def test_toxicity_giant_first_text(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_BYTES", 40_000)
+    monkeypatch.setattr(toxicity, "TEXT_CHARS", 30_000, raising=False)
+    ids = [r["id"] for r in spark.range(200).orderBy(F.xxhash64("id")).collect()]
+    text = {i: f"word{i % 7} moron here" if k % 2 else f"word{i % 7} good here" for k, i in enumerate(ids)}
+    text[ids[0]], text[ids[3]] = "long " * 10_000, "long " * 9_000
+    table = spark.createDataFrame([*text.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    texts, marks = toxicity.training_sample(table, labels, F.lit(True))
+    assert len(texts) == 199 and sum(marks) == 99 and texts[0] == ("long " * 10_000)[:30_000]
+    found = {r["doc_id"]: r["score"] for r in toxicity.score_texts(table, toxicity.fit(table, labels, F.lit(True))).collect()}
+    assert all((found[i] > 0.5) == k % 2 for k, i in enumerate(ids) if k not in (0, 3))
+
+
 def test_toxicity_features():
     texts = ["Ab c-d", "", "é x", "Ab", "end", "start"]
     raw = [t.encode() for t in texts]
@@ -294,6 +308,15 @@ def test_language(spark, docs, empty):
     assert language.identify_language(docs, F.lit(True)).count() == docs.count()
 
 
+def test_language_giant_text_and_many_languages(spark):
+    data = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26)} " * 40, f"l{i:02d}") for i in range(70)]
+    first = min((r["id"] for r in spark.range(100, 200).orderBy(F.xxhash64("id", F.lit(3))).limit(1).collect()))
+    data += [(i, "plain text in one tongue " * (200_000 if i == first else 2), "plain") for i in range(100, 200)]
+    table = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(4)
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify_language(table, F.lit(True)).collect()}
+    assert found == {i: lang for i, _, lang in data}
+
+
 def test_language_code_lengths():
     model = language.Model({"a": ["abcabcabd", "xyz"], "b": ["zzz"]})
     texts = ["abc", "", "zq", "abcabd"]

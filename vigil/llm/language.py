@@ -1,16 +1,14 @@
 """Language ID by prediction by partial matching.
 
-Each language has a tree of byte contexts up to ORDER bytes deep, counted on a bounded
-sample of its labelled texts. A byte that a context has not seen is coded by an escape
+Each language has a tree of byte contexts up to two bytes deep, counted by the tasks on
+all of its labelled texts; only the counts reach the driver. A byte that a context has not seen is coded by an escape
 (method C) and the next shorter context, with the bytes that the longer one knows
 excluded; below the empty context all bytes are alike. As the statistics are frozen,
 every (context, byte) has one exact code length, so the trees are laid out as one table
 of code lengths with a column a language, and a text's code length is a sum of look-ups.
 
-The sample holds about DOCS_PER_LANGUAGE rows a language, chosen by a hash of doc_id at
-a rate that follows from the language's row count, and cut at BYTES_PER_LANGUAGE. The
-bytes that are rare in it share one symbol, so that the table has at most
-(SYMBOLS + 1) ** 3 rows.
+The bytes that are rare in all languages share one symbol, so that the table has at most
+(SYMBOLS + 1) ** 3 rows. It takes 3.5 MB a language; every language has a column.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; without any
 labelled row all texts are ``und``; equal code lengths give the first language by name;
@@ -20,7 +18,7 @@ doc_id, text and lang are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,37 +27,65 @@ from pyspark.sql import functions as F
 
 from vigil.llm.arrow_text import byte_slices, text_bytes
 
-DOCS_PER_LANGUAGE, BYTES_PER_LANGUAGE, MAX_LANGUAGES = 1000, 4 << 20, 64
-SYMBOLS = 95
+SYMBOLS, TEXTS = 95, 256
 _FOLD = np.arange(256)
 _FOLD[65:91] += 32
 
 
-def training_sample(docs: DataFrame, allowed: Column) -> dict[str, list[str]]:
-    """Bounded texts by language; ``allowed`` is a condition on doc_id."""
-    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("doc_id", F.lit(3)).alias("h"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    limit = None
-    for r in counts:
-        most = min((1 << 63) - 1, int((min(1.0, DOCS_PER_LANGUAGE / r["n"]) * 2 - 1) * (1 << 63)))
-        limit = F.when(F.col("lang") == r["lang"], F.lit(most)) if limit is None else limit.when(F.col("lang") == r["lang"], F.lit(most))
-    if limit is None:
-        return {}
-    picked = rows.where(F.col("h") <= limit)
-    most = 2 * DOCS_PER_LANGUAGE * len(counts)
-    sizes = picked.select("lang", "h", F.octet_length("text").alias("n")).orderBy("h", "lang", "n").limit(most).collect()
-    total, last = dict.fromkeys((r["lang"] for r in counts), 0), dict.fromkeys((r["lang"] for r in counts), -(1 << 63))
-    for r in sizes:
-        total[r["lang"]] += r["n"]
-        if total[r["lang"]] <= BYTES_PER_LANGUAGE:
-            last[r["lang"]] = r["h"]
-    within = None
-    for lang, h in last.items():
-        within = F.when(F.col("lang") == lang, F.col("h") <= h) if within is None else within.when(F.col("lang") == lang, F.col("h") <= h)
-    out: dict[str, list[str]] = {lang: [] for lang in total}
-    for r in sorted(picked.where(within).select("lang", "h", "text").limit(most).collect()):
-        out[r["lang"]].append(r["text"])
-    return out
+def triples(code: np.ndarray, off: np.ndarray, width: int) -> np.ndarray:
+    """Index of (two symbols before, symbol) at every byte; texts start after two start symbols."""
+    one = np.concatenate([[0], code])[:-1]
+    two = np.concatenate([[0, 0], code])[: len(code)]
+    first = off[:-1][off[:-1] < off[1:]]
+    one[first] = two[first] = 0
+    second = first[np.isin(first + 1, first, invert=True) & (first + 1 < len(code))] + 1
+    two[second] = 0
+    return (two * width + one) * width + code
+
+
+def _counted(rows: DataFrame, symbols: Callable[[np.ndarray, np.ndarray], np.ndarray], extra: bool) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """By language the symbols that ``symbols`` finds in its texts and how many there are of each; ``extra`` adds TEXTS, one a text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = batch.column("lang").dictionary_encode()
+            of = lang.indices.to_numpy(zero_copy_only=False)
+            for k, name in enumerate(lang.dictionary.to_pylist()):
+                data, off = text_bytes(batch.column("text").take(pa.array(np.flatnonzero(of == k))))
+                for i, j in byte_slices(off):
+                    s, n = np.unique(symbols(data[off[i] : off[j]], off[i : j + 1] - off[i]), return_counts=True)
+                    if extra:
+                        s, n = np.append(s, TEXTS), np.append(n, j - i)
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(s), pa.string()), pa.array(s.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "s", "n"])
+
+    table = rows.mapInArrow(run, "lang string, s long, n long").groupBy("lang", "s").agg(F.sum("n").alias("n")).toArrow()
+    lang = table.column("lang").combine_chunks().dictionary_encode()
+    of, s, n = lang.indices.to_numpy(zero_copy_only=False), table.column("s").to_numpy(), table.column("n").to_numpy()
+    return {name: (s[of == k], n[of == k]) for k, name in enumerate(lang.dictionary.to_pylist())}
+
+
+def fit(docs: DataFrame, allowed: Column) -> Model | None:
+    """Count every labelled row; ``allowed`` is a condition on doc_id."""
+    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
+    by_byte = _counted(rows, lambda data, off: data, True)
+    if not by_byte:
+        return None
+    total = np.zeros(TEXTS + 1, np.int64)
+    for s, n in by_byte.values():
+        np.add.at(total, s, n)
+    code, width = symbol_codes(total[:TEXTS])
+    counts = _counted(rows, lambda data, off: triples(code[data], off, width), False)
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return Model.of_counts(code, width, {name: counts.get(name, none) for name in by_byte})
+
+
+def symbol_codes(total: np.ndarray) -> tuple[np.ndarray, int]:
+    """Symbol of each byte (0: start of text, and rare bytes) by the bytes' counts, and the number of symbols."""
+    folded = np.bincount(_FOLD, total, minlength=256)
+    common = [b for b in np.argsort(-folded, kind="stable")[:SYMBOLS] if folded[b]]
+    code = np.zeros(256, np.int64)
+    code[common] = np.arange(1, len(common) + 1)
+    code[65:91] = code[97:123]
+    return code, len(common) + 1
 
 
 def _backed_off(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -78,34 +104,31 @@ class Model:
     """``table``[context of two symbols, symbol, language]: nats."""
 
     def __init__(self, samples: dict[str, list[str]]):
-        self.languages = sorted(samples)
-        texts = {k: [_FOLD[np.frombuffer(t.encode(), np.uint8)] for t in samples[k]] for k in self.languages}
-        total = sum((np.bincount(np.concatenate([*v, np.zeros(0, np.int64)]).astype(np.int64), minlength=256) for v in texts.values()), np.zeros(256, np.int64))
-        common = [b for b in np.argsort(-total, kind="stable")[:SYMBOLS] if total[b]]
-        self.code = np.zeros(256, np.int64)  # 0: start of text, and rare bytes
-        self.code[common] = np.arange(1, len(common) + 1)
-        self.code[65:91] = self.code[97:123]
-        a = self.width = len(common) + 1
+        raw = {k: [np.frombuffer(t.encode(), np.uint8) for t in v] for k, v in samples.items()}
+        total = sum((np.bincount(t, minlength=256) for v in raw.values() for t in v), np.zeros(256, np.int64))
+        code, width = symbol_codes(total)
+        self._fill(code, width, {k: np.unique(np.concatenate([*(triples(code[t], np.array([0, len(t)]), width) for t in v), np.zeros(0, np.int64)]), return_counts=True) for k, v in raw.items()})
+
+    @classmethod
+    def of_counts(cls, code: np.ndarray, width: int, counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
+        model = cls.__new__(cls)
+        model._fill(code, width, counts)
+        return model
+
+    def _fill(self, code: np.ndarray, width: int, counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> None:
+        self.code, self.width, self.languages = code, width, sorted(counts)
+        a = width
         self.table = np.zeros((a * a * a, len(self.languages)), np.float32)
         for k, name in enumerate(self.languages):
-            triple = [self.triples(self.code[t], np.array([0, len(t)])) for t in texts[name]]
-            c3 = np.bincount(np.concatenate([*triple, np.zeros(0, np.int64)]), minlength=a**3).reshape(a, a, a).astype(np.float32)
+            c3 = np.zeros(a**3)
+            c3[counts[name][0]] = counts[name][1]
+            c3 = c3.reshape(a, a, a)
             p = np.full((1, a), 1.0 / a)
             p = _backed_off(c3.sum((0, 1))[None, :], p)
             p = _backed_off(c3.sum(0), np.repeat(p, a, 0))
             p = _backed_off(c3.reshape(a * a, a), np.tile(p, (a, 1)))
             self.table[:, k] = -np.log(np.maximum(p, 1e-9)).reshape(-1)
 
-    def triples(self, code: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """Index of (two symbols before, symbol) at every byte; texts start after two start symbols."""
-        one = np.concatenate([[0], code])[:-1]
-        two = np.concatenate([[0, 0], code])[: len(code)]
-        first = off[:-1][off[:-1] < off[1:]]
-        one[first] = two[first] = 0
-        second = first[np.isin(first + 1, first, invert=True) & (first + 1 < len(code))] + 1
-        two[second] = 0
-        return (two * self.width + one) * self.width + code
-
     def lengths(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Code length of every text (rows) under every language."""
         out = np.zeros((len(off) - 1, len(self.languages)))
@@ -113,7 +136,7 @@ class Model:
             part, cut = data[off[i] : off[j]], off[i : j + 1] - off[i]
             full = np.flatnonzero(np.diff(cut))
             if len(full):
-                out[np.arange(i, j)[full]] = np.add.reduceat(self.table[self.triples(self.code[part], cut)], cut[full], axis=0, dtype=np.float64)
+                out[np.arange(i, j)[full]] = np.add.reduceat(self.table[triples(self.code[part], cut, self.width)], cut[full], axis=0, dtype=np.float64)
         return out
 
 
@@ -141,5 +164,4 @@ def predict_language(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def identify_language(docs: DataFrame, allowed: Column) -> DataFrame:
     """Fit on the rows that ``allowed`` (a condition on doc_id) admits and predict every row."""
-    samples = training_sample(docs, allowed)
-    return predict_language(docs, Model(samples) if samples else None)
+    return predict_language(docs, fit(docs, allowed))

@@ -6,8 +6,9 @@ with a learning rate for every coordinate; the L1 term leaves few weights, which
 to the tasks as two short arrays. Scoring reads every text whole and needs no shuffle.
 
 The sample holds the MAX_TOXIC toxic and MAX_CLEAN other labelled rows with the smallest
-hashes of doc_id, cut where their texts pass MAX_BYTES, so that it is the same on every
-run.
+hashes of doc_id, so that it is the same on every run. Of a longer text the model learns
+from the first TEXT_CHARS characters; a doc_id whose texts would pass MAX_BYTES together
+with those before is left out, and the sample goes on with the next.
 
 Edge cases: a null or empty text has the bias alone as its score; without labels all
 scores are 0; repeated rows are scored one by one; columns besides doc_id and text are
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from vigil.llm.arrow_text import byte_slices, mix, text_bytes
 
 BUCKET_BITS = 22
-MAX_TOXIC, MAX_CLEAN, MAX_BYTES = 4000, 6000, 48 << 20
+MAX_TOXIC, MAX_CLEAN, MAX_BYTES, TEXT_CHARS = 4000, 6000, 48 << 20, 250_000
 EPOCHS, ALPHA, BETA, L1, L2, MIN_TEXTS = 3, 2.0, 1.0, 6.0, 0.01, 6
 
 _WORD_BYTE = np.zeros(256, bool)
@@ -105,17 +106,20 @@ def training_sample(docs: DataFrame, labels: DataFrame, allowed: Column) -> tupl
     known = labels.where(allowed & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.withColumn("_order", F.xxhash64("doc_id"))
     picked = known.where("toxic = 1").orderBy("_order", "doc_id").limit(MAX_TOXIC).unionByName(known.where("toxic != 1").orderBy("_order", "doc_id").limit(MAX_CLEAN))
-    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    found = docs.select("doc_id", F.left(F.coalesce("text", F.lit("")), F.lit(TEXT_CHARS)).alias("text")).join(F.broadcast(picked), "doc_id")
     sizes = found.select("_order", "doc_id", F.octet_length("text").alias("n")).orderBy("_order", "doc_id").limit(MAX_TOXIC + MAX_CLEAN).collect()
-    total, last = 0, None
+    weight: dict[int, int] = {}
     for r in sizes:
-        total += r["n"]
-        if total > MAX_BYTES:
-            break
-        last = r["_order"]
+        weight[r["_order"]] = weight.get(r["_order"], 0) + r["n"]
+    total, last, over = 0, None, []
+    for order, n in weight.items():
+        if total + n > MAX_BYTES:
+            over.append(order)
+        else:
+            total, last = total + n, order
     if last is None:
         return [], []
-    rows = found.where(F.col("_order") <= last).select("_order", "text", "toxic").limit(MAX_TOXIC + MAX_CLEAN).collect()
+    rows = found.where((F.col("_order") <= last) & ~F.col("_order").isin(over)).select("_order", "text", "toxic").limit(MAX_TOXIC + MAX_CLEAN).collect()
     rows.sort(key=lambda r: (r["_order"], r["text"]))
     return [r["text"] for r in rows], [r["toxic"] for r in rows]
 
