@@ -2,7 +2,10 @@
 
 Words become template words: numbers turn into ``<num>``, a unit after a number into
 ``<unit>``, a capitalised word inside a sentence into ``<name>``; the rest is lower-cased
-without outer punctuation. Windows of WINDOW template words of the documents are
+without outer punctuation. Whether a word is a name depends on its place and on capitals,
+so a window with names is also looked up with all of them lower-cased, and with its first
+word lower-cased alone (an item's first word is never a name): copies in capitals, in title
+case or in the middle of a sentence are the item's too. Windows of WINDOW template words of the documents are
 hash-joined with those of the benchmark items. A window brings the values of its slots
 along; at one alignment (document position minus item position) each slot value of the
 item must always stand for the same value of the document, or the alignment doesn't
@@ -14,13 +17,16 @@ Only SQL functions and joins are used. The benchmark's windows are broadcast whi
 are fewer than BROADCAST_ROWS; beyond, the join shuffles.
 
 Edge cases: a null text or one without a word holds nothing; an item of fewer words than
-a window is one window of all its words; items without a word are ignored; repeated rows
+a window is one window of all its words, which the documents' windows of as many words meet
+(one of slots alone only as it is written); items without a word are ignored; repeated rows
 are judged alike; an empty benchmark leaves all documents clean; columns besides doc_id
 and text are not read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,40 +55,58 @@ def with_templates(df: DataFrame) -> DataFrame:
     df = df.withColumn("raw", F.expr(f"transform(w, x -> trim(BOTH '{quoted}' FROM x))"))
     units = ", ".join(f"'{u}'" for u in UNITS)
     inside = "i > 0 AND substr(get(w, i - 1), -1) NOT IN ('.', '!', '?', ':', '\"')"
-    return df.withColumn("tmpl", F.expr(
+    df = df.withColumn("low", F.expr(
         f"transform(raw, (x, i) -> CASE WHEN {_is_number('x')} THEN '{_NUM}' "
-        f"WHEN i > 0 AND {_is_number('get(raw, i - 1)')} AND lower(x) IN ({units}) THEN '{_UNIT}' "
-        f"WHEN x >= 'A' AND x < '[' AND {inside} THEN '{_NAME}' ELSE lower(x) END)"))
+        f"WHEN i > 0 AND {_is_number('get(raw, i - 1)')} AND lower(x) IN ({units}) THEN '{_UNIT}' ELSE lower(x) END)"))
+    return df.withColumn("tmpl", F.expr(f"transform(low, (x, i) -> CASE WHEN get(raw, i) >= 'A' AND get(raw, i) < '[' AND {inside} AND x != '{_UNIT}' THEN '{_NAME}' ELSE x END)"))
+
+
+def _structs(at: str, cells: list[str]) -> str:
+    """SQL of an array of (h, pos, slots) for the windows at the positions ``at``; ``cells`` are the words of the one at i."""
+    values = ", ".join(f"CASE WHEN startswith({c}, '<') THEN get(raw, i + {k}) END" for k, c in enumerate(cells))
+    hashed = f"xxhash64({', '.join(cells)})"
+    if len(cells) < WINDOW:
+        slots_only = " AND ".join(f"startswith({c}, '<')" for c in cells)
+        hashed = f"CASE WHEN {slots_only} THEN xxhash64('=', {', '.join(f'lower(get(raw, i + {k}))' for k in range(len(cells)))}) ELSE {hashed} END"
+    return f"transform({at}, i -> struct({hashed} AS h, i AS pos, lower(concat_ws('\\u0001', {values})) AS slots))"
+
+
+def _of_length(n: int) -> str:
+    """SQL of the windows of ``n`` words: as they are, with names lower-cased, with the first word's name lower-cased."""
+    tmpl, low = ([f"get({c}, i + {k})" for k in range(n)] for c in ("tmpl", "low"))
+    at = f"CASE WHEN size(tmpl) >= {n} THEN sequence(0, size(tmpl) - {n}) ELSE array() END"
+    named = f"CASE WHEN array_contains(tmpl, '{_NAME}') THEN filter({at}, i -> {' OR '.join(f"{c} = '{_NAME}'" for c in tmpl)}) ELSE array() END"
+    first = f"CASE WHEN array_contains(tmpl, '{_NAME}') THEN filter({at}, i -> {tmpl[0]} = '{_NAME}') ELSE array() END"
+    return f"concat({_structs(at, tmpl)}, {_structs(named, low)}, {_structs(first, [low[0], *tmpl[1:]])})"
 
 
-def _windows(df: DataFrame, window: int) -> DataFrame:
+def _windows(df: DataFrame, lengths: list[int]) -> DataFrame:
     """Add ``win``, structs (h, pos, slots): hash of the window's template words, its position, the values in its slots.
 
     Explode it with ``inline_outer``: for ``inline`` the optimizer would test the array's size first, by all its expressions again.
     """
-    cells = ", ".join(f"get(tmpl, i + {k})" for k in range(window))
-    values = ", ".join(f"CASE WHEN startswith(get(tmpl, i + {k}), '<') THEN get(raw, i + {k}) END" for k in range(window))
-    at = f"CASE WHEN size(tmpl) > 0 THEN sequence(0, greatest(size(tmpl) - {window}, 0)) ELSE array() END"
-    return df.withColumn("at", F.expr(at)).withColumn("win", F.expr(
-        f"transform(at, i -> struct(xxhash64({cells}) AS h, i AS pos, concat_ws('\\u0001', {values}) AS slots))"))
+    return df.withColumn("win", F.expr(f"concat({', '.join(map(_of_length, lengths))})"))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, item_windows, h, item_pos, item_slots), one row a window."""
+    """(item_id, item_windows, words, h, item_pos, item_slots), one row a window and way to write it."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", _words(F.col("text")).alias("w")).where("size(w) > 0")
     # an item text that is repeated counts once
     items = items.groupBy("w").agg(F.min("item_id").alias("item_id"))
-    return _windows(with_templates(items), window).select("item_id", F.size("win").alias("item_windows"), F.inline_outer("win")).select(
-        "item_id", "item_windows", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
+    items = with_templates(items)
+    cut = [_windows(items.where(F.size("w") >= window), [window]), *(_windows(items.where(F.size("w") == n), [n]) for n in range(1, window))]
+    return reduce(DataFrame.unionByName, cut).select("item_id", F.greatest(F.size("w") - window + 1, F.lit(1)).alias("item_windows"), F.least(F.size("w"), F.lit(window)).alias("words"), F.inline_outer("win")).select(
+        "item_id", "item_windows", "words", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots")).distinct()
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similarity: float = SIMILARITY) -> DataFrame:
     """(k1, k2, item_id, coverage): the rows (by hashes of doc_id and text) that hold a benchmark item. ``docs`` has k1, k2 and text."""
     wanted = benchmark_windows(benchmark, window)
-    n = wanted.count()
+    sizes = wanted.groupBy("words").count().collect()
+    n, lengths, wanted = sum(r["count"] for r in sizes), sorted({window, *(r["words"] for r in sizes)}), wanted.drop("words")
     side = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
     words = docs.select("k1", "k2", _words(F.coalesce("text", F.lit(""))).alias("w"))
-    grams = _windows(with_templates(words), window).select("k1", "k2", F.inline_outer("win"))
+    grams = _windows(with_templates(words), lengths).select("k1", "k2", F.inline_outer("win"))
     met = grams.join(side, "h").select(
         "k1", "k2", "item_id", "item_windows", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos",
         F.when(F.col("slots") != "", F.arrays_zip(F.split("item_slots", "\x01").alias("a"), F.split("slots", "\x01").alias("b"))).alias("pairs"))
