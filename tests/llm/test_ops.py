@@ -1,6 +1,8 @@
 """The ten operators against brute force, on small tables with every edge case."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
 import zlib
@@ -82,8 +84,10 @@ def test_toxicity_giant_first_text(spark, monkeypatch):
     text[ids[0]], text[ids[3]] = "long " * 10_000, "long " * 9_000
     table = spark.createDataFrame([*text.items()], "doc_id long, text string")
     labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
-    texts, marks = toxicity.training_sample(table, labels, F.lit(True))
-    assert len(texts) == 199 and sum(marks) == 99 and texts[0] == ("long " * 10_000)[:30_000]
+    sample, shift = toxicity.training_sample(table, labels, F.lit(True))
+    rows = {r["text"]: r["toxic"] for r in sample.collect()}
+    assert sample.count() == 199 and sample.where("toxic = 1").count() == 99 and ("long " * 10_000)[:30_000] in rows
+    assert shift == pytest.approx(math.log(100 / 100) - math.log(99 / 100))
     found = {r["doc_id"]: r["score"] for r in toxicity.score_texts(table, toxicity.fit(table, labels, F.lit(True))).collect()}
     assert all((found[i] > 0.5) == k % 2 for k, i in enumerate(ids) if k not in (0, 3))
 
@@ -100,6 +104,60 @@ def test_toxicity_features():
         assert len(alone) == n + max(0, n - 1) + max(0, n - 2)
 
 
+def brute_features(text):
+    """Distinct buckets by plain integers, from words cut by a pattern."""
+    full = (1 << 64) - 1
+
+    def mix(h):
+        h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 & full
+        h = (h ^ h >> 29) * 0xA0761D6478BD642F & full
+        return h ^ h >> 32
+
+    step = 0x9E3779B97F4A7C15
+    words = [mix(sum(mix(b + (32 if 65 <= b <= 90 else 0) + 1) * pow(step, min(i, 63) + 1, 1 << 64) for i, b in enumerate(w)) & full) for w in re.findall(rb"[A-Za-z0-9\x80-\xff]+", text.encode())]
+    pairs = [mix((a * 0xC2B2AE3D27D4EB4F + b) & full) for a, b in zip(words, words[1:])]
+    skips = [mix((a * 0x165667B19E3779F9 + b) & full) for a, b in zip(words, words[2:])]
+    return sorted({h >> 64 - toxicity.BUCKET_BITS for h in words + pairs + skips})
+
+
+def brute_ftrl(rows, marks):
+    """Weights by bucket and bias, one coordinate at a time."""
+    texts = Counter(b for r in rows for b in r)
+    z, n, bias = defaultdict(float), defaultdict(float), "bias"
+
+    def weight(k):
+        if abs(z[k]) <= toxicity.L1:
+            return 0.0
+        return (math.copysign(toxicity.L1, z[k]) - z[k]) / ((toxicity.BETA + math.sqrt(n[k])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for r, y in zip(rows, marks, strict=True):
+            keys = [b for b in r if texts[b] >= toxicity.MIN_TEXTS] + [bias]
+            w = {k: weight(k) for k in keys}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for k in keys:
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / toxicity.ALPHA * w[k]
+                n[k] += g * g
+    return {k: weight(k) for k in z if k != bias and weight(k)}, weight(bias)
+
+
+def test_toxicity_against_plain_ftrl(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(60)] + ["é", "Ünder", "a" * 80]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) + rng.choice([" scum", " fine, fine", ""]) for _ in range(300)]
+    marks = [int("scum" in t or rng.random() < 0.05) for t in texts]
+    rows = [brute_features(t) for t in texts]
+    table = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: np.frombuffer(r["features"], "<i4").tolist() for r in toxicity.distinct_features(table).collect()}
+    assert [found[i] for i in range(300)] == rows
+    model = toxicity.train([np.array(r, np.int32) for r in rows], marks, 0.25)
+    want, bias = brute_ftrl(rows, marks)
+    assert dict(zip(model.buckets.tolist(), model.weights)) == pytest.approx(want) and len(want) > 5 and model.bias == pytest.approx(bias + 0.25)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score_texts(table, model).collect()}
+    for i, r in enumerate(rows):
+        assert scores[i] == pytest.approx(1 / (1 + math.exp(-bias - 0.25 - sum(want.get(b, 0.0) for b in r))), abs=1e-5)
+
+
 def brute_repeats(rows, length):
     windows = Counter()
     raws = [(t or "").encode() for _, t in rows]
@@ -294,6 +352,59 @@ def test_packing_plan():
         assert used == Counter(counts)
 
 
+def brute_best_fit(pieces, capacity):
+    """Sequences that best-fit decreasing opens, piece by piece."""
+    gaps = []
+    for p in sorted(pieces, reverse=True):
+        fits = [g for g in gaps if g >= p]
+        if fits:
+            gaps.remove(min(fits))
+            gaps.append(min(fits) - p)
+        else:
+            gaps.append(capacity - p)
+    return len(gaps)
+
+
+def test_packing_plan_is_never_longer_than_best_fit():
+    rng = random.Random(10)
+    for k in range(60):
+        cap = rng.choice([7, 30, 64, 100])
+        pieces = [rng.randint(1, cap) for _ in range(rng.randint(0, 150))] if k % 2 else [x for x in range(1, cap + 1) for _ in range(rng.randint(1, 3))]
+        used = sum(times for _, times in packing.plan_packing(dict(Counter(pieces)), cap))
+        assert -(-sum(pieces) // cap) <= used <= brute_best_fit(pieces, cap)
+
+
+def test_packing_sum_index():
+    rng = random.Random(12)
+    for _ in range(200):
+        cap = rng.randint(3, 40)
+        index = packing.SumIndex(dict(Counter(rng.randint(1, cap) for _ in range(rng.randint(0, 12)))), cap)
+        for _ in range(8):
+            index.set(rng.randint(1, cap), rng.randint(0, 2))
+            left = [x for x in range(1, cap + 1) for _ in range(int(index.avail[x]))]
+            kinds = Counter(a + b for a, b in set(itertools.combinations(left, 2)))
+            assert index.pairs.tolist() == [kinds[s] for s in range(cap + 1)]
+            gap = rng.randint(1, cap)
+            for most in (1, 2, 3):
+                found = index.complement(gap, most)
+                sizes = [k for k in range(1, most + 1) if any(sum(c) == gap for c in itertools.combinations(left, k))]
+                assert (len(found) if found else None) == min(sizes, default=None)
+                assert not found or (sum(found) == gap and not Counter(found) - Counter(left))
+
+
+def test_packing_words():
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    table, tok = packing.WordIds(path), Tokenizer.from_file(path)
+    rng = random.Random(14)
+    parts = ["the", "The,", "é", "É!", "İ", "ŉ", "ß", "naïve.", "l'été", "it's", "x1", "12", "...", "世界", "e\u0301", "\x00", "\u00a0", "<|endoftext|>", "a" * 90, "ǅ", "ȺȾ", "fi", "\x85"]
+    texts = [rng.choice([" ", "", "\n"]).join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(1500)]
+    got = table.encode(texts)
+    for t, raw in zip(texts, got, strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def test_language(spark, docs, empty):
     rng = random.Random(4)
     stems = {"en": ["the", "thing", "water", "and"], "de": ["schön", "und", "ich", "zeit"], "fr": ["être", "la", "vous", "où"]}

@@ -2,10 +2,11 @@
 
 The plan depends on the lengths alone, so it is made on their histogram, which has at
 most ``capacity`` entries however many documents there are. For the longest length left,
-the gap is looked up among single lengths, pair sums and triple sums that are available;
-what fills it exactly is consumed as often as the availability counts allow. What has no
-exact complement is packed best-fit: the longest available length that fits, again and
-again. The plan is a list of patterns with multiplicities; a piece finds its pattern
+the gap is looked up in an index of single lengths, pair sums and triple sums that are
+available; what fills it exactly is consumed as often as the availability counts allow,
+and the index follows the counts. What has no exact complement is packed best-fit
+decreasing. Where shorter complements, or none, give fewer sequences, that plan is taken,
+so no plan is longer than best-fit decreasing. The plan is a list of patterns with multiplicities; a piece finds its pattern
 from its number among the pieces of its length, so hot lengths are numbered in buckets.
 
 Edge cases: a null or empty text is one piece that holds the end id; a longer document
@@ -16,7 +17,9 @@ read.
 
 from __future__ import annotations
 
+import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,17 +31,21 @@ from vigil.llm.numbering import number_in_group
 from vigil.plans.materialize import materialize
 
 END_ID = 1
-ROWS_PER_BUCKET = 10_000
+ROWS_PER_BUCKET = 1000
 #: Encoded words that a worker keeps, and the longest one kept.
-CACHE_ENTRIES, CACHE_BYTES = 300_000, 64
-PUNCTUATION = b".,;:!?"
+CACHE_ENTRIES, CACHE_BYTES = 600_000, 64
+PUNCTUATION = ".,;:!?"
+#: Latin letters that keep their number of characters in lower case (all but the dotted capital I), and one mark.
+LETTERS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]?)").fullmatch
 
 
 class WordIds(dict):
     """Word between ASCII white space -> its ids as little-endian bytes.
 
     The tokenizer drops white space before it merges, so words are independent of each other. It also cuts between letters
-    and punctuation and ignores case, so a word of ASCII letters with one mark behind is looked up as letters and mark.
+    and punctuation and ignores case, so a word of Latin letters with at most one mark behind is looked up as letters and mark.
+    A word of letters alone is merged as one piece, whose last id is the only one that ends a word; so new ones are encoded
+    many in a line and cut apart at those ids.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -48,30 +55,47 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.marks = {m: self._encode([bytes([m])])[0] for m in PUNCTUATION}
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends_word[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self.marks = {"": b""} | {m: self._encode([m])[0] for m in PUNCTUATION}
         super().__init__()
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+    def _encode(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _encode_letters(self, stems: list[str]) -> list[bytes]:
+        """As ``_encode``, for words that LETTERS matches."""
+        out: list[bytes] = []
+        for i in range(0, len(stems), 4096):
+            part = stems[i : i + 4096]
+            ids = np.frombuffer(self._encode([" ".join(part)])[0], "<u4")
+            cuts = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+            if len(cuts) != len(part) or cuts[-1] != 4 * len(ids):  # another kind of vocabulary
+                out += self._encode(part)
+                continue
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
+        return out
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         """Add words; those of letters share the entry of their lower-case stem."""
-        stems, whole = {}, []
+        stems, whole = [], []
         for w in words:
-            stem = w[:-1] if w[-1] in self.marks else w
-            if stem.isalpha() and stem.isascii():
-                stems[w] = stem.lower()
+            m = LETTERS(w.decode())
+            if m:
+                stems.append((w, m[1].lower(), m[2]))
             else:
                 whole.append(w)
-        new = list({s for s in stems.values() if s not in self}) + whole
-        self.update(zip(new, self._encode(new), strict=True))
-        self.update((w, self[s] + (self.marks[w[-1]] if w[-1] in self.marks else b"")) for w, s in stems.items())
+        new = list({s for _, s, _ in stems if s not in self})
+        self.update(zip(new, self._encode_letters(new), strict=True))
+        self.update(zip(whole, self._encode([w.decode() for w in whole]), strict=True))
+        self.update((w, self[s] + self.marks[m]) for w, s, m in stems)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self) > CACHE_ENTRIES:
             self.clear()
         words = [t.encode().split() for t in texts]
-        new = set().union(*words) - self.keys()
+        new = [w for w in set().union(*words) if w not in self]
         if new:
             self._learn(new)
         out = [b"".join(map(self.__getitem__, w)) for w in words]
@@ -114,69 +138,120 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int) -> DataFra
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-def _complement(avail: np.ndarray, gap: int, longest: int) -> tuple[int, ...] | None:
-    """Available lengths, at most three and none over ``longest``, that sum to ``gap``; single before pair before triple."""
-    have = avail[: gap + 1] > 0
-    have[0] = False
-    have[longest + 1 :] = False
-    if have[gap]:
-        return (gap,)
-    a = np.flatnonzero(have)
-    pairs = a[have[gap - a]]
-    pairs = pairs[(2 * pairs != gap) | (avail[pairs] > 1)]
-    if len(pairs):
-        return int(pairs[-1]), gap - int(pairs[-1])
-    for x in a[::-1]:
-        left = gap - int(x)
-        b = a[a < left]
-        b = b[have[left - b]]
-        b = [int(y) for y in b[-8:] if min(avail[z] - [int(x), int(y), left - int(y)].count(z) for z in (int(x), int(y), left - int(y))) >= 0]
-        if b:
-            return int(x), b[-1], left - b[-1]
-    return None
-
+class SumIndex:
+    """Lengths that are left, with their numbers, and the sums that two of them make.
 
-def plan_packing(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
-    """[(lengths with their numbers in one sequence, sequences of this pattern)] for a histogram of lengths."""
-    avail = np.zeros(capacity + 1, np.int64)
-    for length, n in counts.items():
-        avail[length] = n
-    plan: list[tuple[dict[int, int], int]] = []
+    ``pairs[s]`` is the number of different pairs of lengths that are available and sum to ``s``; it follows every change of
+    the availability counts. A triple sum is a length and a pair sum.
+    """
 
-    def consume(lengths: list[int]) -> None:
-        use = {x: lengths.count(x) for x in lengths}
-        times = int(min(avail[x] // n for x, n in use.items()))
-        for x, n in use.items():
-            avail[x] -= n * times
-        plan.append((use, times))
-
-    for length in range(capacity, 0, -1):
-        while avail[length]:
-            if length == capacity:
-                consume([length])
+    def __init__(self, counts: dict[int, int], capacity: int):
+        self.capacity, self.avail, self.pairs = capacity, np.zeros(capacity + 1, np.int64), np.zeros(capacity + 1, np.int64)
+        for length, n in counts.items():
+            self.set(length, n)
+
+    def set(self, length: int, n: int) -> None:
+        was = int(self.avail[length])
+        self.avail[length] = n
+        if (was > 0) != (n > 0):
+            others = np.flatnonzero(self.avail[: self.capacity - length + 1])
+            self.pairs[length + others[others != length]] += 1 if n > 0 else -1
+        if 2 * length <= self.capacity and (was > 1) != (n > 1):
+            self.pairs[2 * length] += 1 if n > 1 else -1
+
+    def _pairs_of(self, total: int) -> np.ndarray:
+        """The larger lengths of the available pairs that sum to ``total``."""
+        larger = np.arange((total + 1) // 2, total)
+        larger = larger[(self.avail[larger] > 0) & (self.avail[total - larger] > 0)]
+        return larger[(2 * larger != total) | (self.avail[larger] > 1)]
+
+    def complement(self, gap: int, most: int) -> tuple[int, ...] | None:
+        """At most ``most`` (up to three) available lengths that sum to ``gap``; fewer before more, then those with the longest."""
+        if most > 0 and self.avail[gap]:
+            return (gap,)
+        if most > 1 and self.pairs[gap]:
+            x = int(self._pairs_of(gap)[-1])
+            return x, gap - x
+        if most > 2:
+            third = np.flatnonzero(self.avail[:gap])
+            for z in third[self.pairs[gap - third] > 0][::-1].tolist():
+                for x in self._pairs_of(gap - z)[::-1].tolist():
+                    found = (z, x, gap - z - x)
+                    if all(found.count(k) <= self.avail[k] for k in found):
+                        return found
+        return None
+
+
+def _best_fit(avail: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Best-fit decreasing: each piece, longest first, goes where the least is left over."""
+    open_: dict[int, list[tuple[dict[int, int], int]]] = {}
+    has = np.zeros(capacity + 1, bool)
+    done: list[tuple[dict[int, int], int]] = []
+
+    def leave(use: dict[int, int], n: int, gap: int) -> None:
+        if gap:
+            open_.setdefault(gap, []).append((use, n))
+            has[gap] = True
+        else:
+            done.append((use, n))
+
+    for length in np.flatnonzero(avail)[::-1].tolist():
+        left = int(avail[length])
+        while left:
+            gaps = np.flatnonzero(has[length:])
+            if not len(gaps):
+                each = min(capacity // length, left)
+                leave({length: each}, left // each, capacity - each * length)
+                left %= each
                 continue
-            avail[length] -= 1
-            found = _complement(avail, capacity - length, length)
-            avail[length] += 1
+            gap = length + int(gaps[0])
+            use, n = open_[gap].pop()
+            has[gap] = bool(open_[gap])
+            each = min(gap // length, left)
+            take = min(n, left // each)
+            leave(use | {length: use.get(length, 0) + each}, take, gap - each * length)
+            if n > take:
+                leave(use, n - take, gap)
+            left -= take * each
+    return done + [x for rows in open_.values() for x in rows]
+
+
+def _plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[dict[int, int], int]]:
+    """Exact complements of up to ``most`` lengths first, best fit for what has none."""
+    index = SumIndex(counts, capacity)
+    plan: list[tuple[dict[int, int], int]] = []
+    for length in sorted(counts, reverse=True):
+        while (n := int(index.avail[length])) and (most or length == capacity):
+            index.set(length, n - 1)
+            found = index.complement(capacity - length, most) if length < capacity else ()
+            index.set(length, n)
             if found is None:
                 break
-            consume([length, *found])
-    for length in range(capacity, 0, -1):
-        while avail[length]:
-            use, gap = {length: 1}, capacity - length
-            while gap:
-                fits = np.flatnonzero(avail[1 : gap + 1])
-                fits = [int(x) + 1 for x in fits[::-1] if avail[x + 1] > use.get(int(x) + 1, 0)][:1]
-                if not fits:
-                    break
-                n = min(gap // fits[0], int(avail[fits[0]]) - use.get(fits[0], 0))
-                use[fits[0]] = use.get(fits[0], 0) + n
-                gap -= n * fits[0]
-            times = int(min(avail[x] // n for x, n in use.items()))
-            for x, n in use.items():
-                avail[x] -= n * times
+            use = dict(Counter((length, *found)))
+            times = int(min(index.avail[x] // k for x, k in use.items()))
+            for x, k in use.items():
+                index.set(x, int(index.avail[x]) - k * times)
             plan.append((use, times))
-    return plan
+    return plan + _best_fit(index.avail, capacity)
+
+
+def plan_packing(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """[(lengths with their numbers in one sequence, sequences of this pattern)] for a histogram of lengths.
+
+    Complements of many lengths can use up what other lengths need, so plans with complements of up to three, two, one and no
+    lengths are made, and the first of those with the fewest sequences is taken.
+    """
+    counts = {x: n for x, n in counts.items() if n}
+    floor = -(-sum(x * n for x, n in counts.items()) // capacity)
+    best: tuple[int, list] | None = None
+    for most in (3, 2, 1, 0):
+        plan = _plan(counts, capacity, most)
+        used = sum(times for _, times in plan)
+        if best is None or used < best[0]:
+            best = used, plan
+        if used == floor:
+            break
+    return best[1]
 
 
 def _slots(plan: list[tuple[dict[int, int], int]]) -> np.ndarray:
@@ -199,9 +274,10 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = 4096) -
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots = _slots(plan_packing(counts, capacity))
     first = slots[:, 0] << 40 | slots[:, 1] if len(slots) else np.zeros(0, np.int64)
-    buckets = max(1, max(counts.values(), default=0) // ROWS_PER_BUCKET)
-    salt = F.xxhash64("doc_id", "piece")
-    ranked = number_in_group(pieces, "length", salt, buckets, ["doc_id", "piece", "start", "ids_crc32"])
+    # lengths that many pieces have are numbered in buckets; the list of bucket numbers by length has capacity + 1 entries
+    buckets = F.from_json(F.lit(str([max(1, counts.get(x, 0) // ROWS_PER_BUCKET) for x in range(capacity + 1)])), "array<int>")
+    salt = F.xxhash64("doc_id", "piece", "start", "ids_crc32")
+    ranked = number_in_group(pieces, "length", salt, F.get(buckets, F.col("length").cast("int")), ["doc_id", "piece", "start", "ids_crc32"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

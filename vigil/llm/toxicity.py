@@ -8,7 +8,9 @@ to the tasks as two short arrays. Scoring reads every text whole and needs no sh
 The sample holds the MAX_TOXIC toxic and MAX_CLEAN other labelled rows with the smallest
 hashes of doc_id, so that it is the same on every run. Of a longer text the model learns
 from the first TEXT_CHARS characters; a doc_id whose texts would pass MAX_BYTES together
-with those before is left out, and the sample goes on with the next.
+with those before is left out, and the sample goes on with the next. As the sample holds
+more toxic rows than the labels do, the bias is moved by the difference in log odds, so
+that a score of 0.5 means even odds among all labelled rows.
 
 Edge cases: a null or empty text has the bias alone as its score; without labels all
 scores are 0; repeated rows are scored one by one; columns besides doc_id and text are
@@ -17,6 +19,7 @@ not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +32,7 @@ from vigil.llm.arrow_text import byte_slices, mix, text_bytes
 
 BUCKET_BITS = 22
 MAX_TOXIC, MAX_CLEAN, MAX_BYTES, TEXT_CHARS = 4000, 6000, 48 << 20, 250_000
-EPOCHS, ALPHA, BETA, L1, L2, MIN_TEXTS = 3, 2.0, 1.0, 6.0, 0.01, 6
+EPOCHS, ALPHA, BETA, L1, L2, MIN_TEXTS = 6, 2.0, 1.0, 6.0, 0.01, 6
 
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -74,15 +77,15 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(out_doc), bucket
 
 
-def train(texts: list[str], labels: list[int]) -> Model:
-    """FTRL-proximal over the rows in the order given, EPOCHS times."""
-    rows = []
-    for t in texts:
-        raw = np.frombuffer((t or "").encode(), np.uint8)
-        rows.append(np.unique(features(raw, np.array([0, len(raw)]))[1]))
-    used, texts_with = np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]), return_counts=True)
-    used = used[texts_with >= MIN_TEXTS]  # what fewer texts have can only be learned by heart
-    rows = [np.append(np.searchsorted(used, r[np.isin(r, used, assume_unique=True)]), len(used)) for r in rows]  # the last coordinate is the bias
+def train(rows: list[np.ndarray], labels: list[int], shift: float = 0.0) -> Model:
+    """FTRL-proximal over rows of distinct buckets in the order given, EPOCHS times; ``shift`` is added to the learned bias."""
+    texts_with = np.zeros(1 << BUCKET_BITS, np.int32)
+    for r in rows:
+        texts_with[r] += 1
+    kept = texts_with >= MIN_TEXTS  # what fewer texts have can only be learned by heart
+    used = np.flatnonzero(kept)
+    place = np.cumsum(kept, dtype=np.int32)
+    rows = [np.append(place[r[kept[r]]] - 1, len(used)).astype(np.int32) for r in rows]  # the last coordinate is the bias
     z, n = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
 
     def weights(zi: np.ndarray, root: np.ndarray) -> np.ndarray:
@@ -98,34 +101,55 @@ def train(texts: list[str], labels: list[int]) -> Model:
             z[r] = zr + g - (np.sqrt(nr + g * g) - root) / ALPHA * w
     w = weights(z, np.sqrt(n))
     keep = np.flatnonzero(w[:-1])
-    return Model(used[keep], w[keep], float(w[-1]))
+    return Model(used[keep], w[keep], float(w[-1]) + shift)
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, allowed: Column) -> tuple[list[str], list[int]]:
-    """Bounded sample of labelled texts: ``allowed`` is a condition on doc_id."""
+def distinct_features(rows: DataFrame) -> DataFrame:
+    """``rows`` with the distinct buckets of text, as little-endian 32-bit numbers, in place of text."""
+    others = [f for f in rows.schema if f.name != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = text_bytes(batch.column("text"))
+            packed: list[bytes] = []
+            for i, j in byte_slices(off):
+                doc, bucket = features(data[off[i] : off[j]], off[i : j + 1] - off[i])
+                pairs = np.unique(doc << BUCKET_BITS | bucket)
+                ends = np.searchsorted(pairs, np.arange(j - i + 1) << BUCKET_BITS)
+                low = (pairs & ((1 << BUCKET_BITS) - 1)).astype("<i4")
+                packed += [low[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in others), pa.array(packed, pa.binary())], [*(f.name for f in others), "features"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
+    return rows.select(*(f.name for f in others), "text").mapInArrow(run, f"{schema}, features binary")
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, allowed: Column) -> tuple[DataFrame | None, float]:
+    """(rows of _order, _text, toxic and text of the bounded sample, log odds of toxic in all labels less those in the sample).
+
+    ``allowed`` is a condition on doc_id. Without a row of both kinds the sample is None.
+    """
     known = labels.where(allowed & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.withColumn("_order", F.xxhash64("doc_id"))
     picked = known.where("toxic = 1").orderBy("_order", "doc_id").limit(MAX_TOXIC).unionByName(known.where("toxic != 1").orderBy("_order", "doc_id").limit(MAX_CLEAN))
-    found = docs.select("doc_id", F.left(F.coalesce("text", F.lit("")), F.lit(TEXT_CHARS)).alias("text")).join(F.broadcast(picked), "doc_id")
-    sizes = found.select("_order", "doc_id", F.octet_length("text").alias("n")).orderBy("_order", "doc_id").limit(MAX_TOXIC + MAX_CLEAN).collect()
-    weight: dict[int, int] = {}
+    found = docs.select("doc_id", F.left(F.coalesce("text", F.lit("")), F.lit(TEXT_CHARS)).alias("text")).join(F.broadcast(picked), "doc_id").withColumn("_text", F.xxhash64("text"))
+    sizes = found.groupBy("_order", "toxic").agg(F.sum(F.octet_length("text")).alias("n")).orderBy("_order").collect()  # at most MAX_TOXIC + MAX_CLEAN rows
+    total, over, used = 0, [], {True: 0, False: 0}
     for r in sizes:
-        weight[r["_order"]] = weight.get(r["_order"], 0) + r["n"]
-    total, last, over = 0, None, []
-    for order, n in weight.items():
-        if total + n > MAX_BYTES:
-            over.append(order)
+        if total + r["n"] > MAX_BYTES:
+            over.append(r["_order"])
         else:
-            total, last = total + n, order
-    if last is None:
-        return [], []
-    rows = found.where((F.col("_order") <= last) & ~F.col("_order").isin(over)).select("_order", "text", "toxic").limit(MAX_TOXIC + MAX_CLEAN).collect()
-    rows.sort(key=lambda r: (r["_order"], r["text"]))
-    return [r["text"] for r in rows], [r["toxic"] for r in rows]
+            total += r["n"]
+            used[r["toxic"] == 1] += 1
+    if not all(used.values()):
+        return None, 0.0
+    natural = known.agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") != 1).alias("c")).first()
+    shift = math.log(natural["t"] / natural["c"]) - math.log(used[True] / used[False])
+    return found.where(~F.col("_order").isin(over)).select("_order", "_text", "toxic", "text"), shift
 
 
-def score_texts(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Add score to the columns ``keep`` of every row; without a model the score is 0."""
+def score_texts(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """Add the score, as column ``name``, to the columns ``keep`` of every row; without a model it is 0."""
     columns = [docs.schema[c] for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,15 +166,22 @@ def score_texts(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("
                 pairs = np.unique(doc[hit] << BUCKET_BITS | bucket[hit])
                 total[i:j] += np.bincount(pairs >> BUCKET_BITS, table[pairs & ((1 << BUCKET_BITS) - 1)], j - i)
             score = 1 / (1 + np.exp(-np.clip(total, -700, 700))) if model is not None else np.zeros(batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(score)], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(score)], [*keep, name])
 
     schema = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in columns)
-    return docs.select(*keep, *(["text"] if "text" not in keep else [])).mapInArrow(run, f"{schema}, score double")
+    return docs.select(*keep, *(["text"] if "text" not in keep else [])).mapInArrow(run, f"{schema}, `{name}` double")
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model | None:
-    texts, toxic = training_sample(docs, labels, allowed)
-    return train(texts, toxic) if len(set(toxic)) > 1 else None
+    """Features are taken in the tasks; the driver gets their numbers alone and needs a few bytes for each."""
+    sample, shift = training_sample(docs, labels, allowed)
+    if sample is None:
+        return None
+    table = distinct_features(sample).toArrow()
+    order = np.lexsort([table.column("_text").to_numpy(), table.column("_order").to_numpy()])
+    rows = [np.frombuffer(table.column("features")[int(k)].as_buffer(), "<i4") for k in order]
+    toxic = table.column("toxic").to_numpy()[order] == 1
+    return train(rows, toxic.astype(int).tolist(), shift)
 
 
 def held_out(remainder: int = 0, of: int = 5) -> Column:
