@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a folder of our own only where it is unset (tests)."""
+    """spark.checkpoint.dir of the session; where it is unset, a folder of our own in local mode, and an error on a cluster."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         where = f"file://{tempfile.gettempdir()}/vigil-checkpoints"
     return where.rstrip("/")
 
