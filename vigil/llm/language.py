@@ -1,24 +1,34 @@
 """Language ID by prediction by partial matching.
 
-Each language has a tree of byte contexts up to two bytes deep, counted by the tasks on
-all of its labelled texts; only the counts reach the driver. A byte that a context has not seen is coded by an escape
-(method C) and the next shorter context, with the bytes that the longer one knows
-excluded; below the empty context all bytes are alike. As the statistics are frozen,
-every (context, byte) has one exact code length, so the trees are laid out as one table
-of code lengths with a column a language, and a text's code length is a sum of look-ups.
-
-The bytes that are rare in all languages share one symbol, so that the table has at most
-(SYMBOLS + 1) ** 3 rows. It takes 3.5 MB a language; every language has a column.
+Each language has a tree of byte contexts of up to ORDER bytes, counted on a bounded sample
+of its labelled texts and then frozen. A text is coded byte by byte, as if ORDER zero bytes
+stood in front of it (A-Z count as a-z). A byte that the longest known context has seen n
+times gets n / (total + distinct); one that it has not seen is coded by an escape
+(distinct / (total + distinct), method C) and the next shorter context, with the bytes that
+the longer one knows excluded; below the empty context all 256 bytes are alike. As nothing
+is updated, every (context, byte) has one exact code length. The language with the shortest
+code of the whole text is predicted.
+
+The trees are kept as sorted arrays, one pair an order: (context, byte) with its code length,
+and context with the length of its escape. A task takes the distinct windows of ORDER + 1
+bytes of some megabytes of text, shortens them order by order, and looks each up once.
+
+The sample: SAMPLE_BYTES of text in all languages together, an equal share for each; where a
+language has more, the rows whose hash of doc_id and text is smallest. Of a longer text the
+first TEXT_CHARS characters are learned from. Contexts of three bytes or more that occur
+once are left out. So the trees have at most SAMPLE_BYTES * (ORDER + 1) entries of 16 bytes,
+however many languages or documents there are, and every language has a tree.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; without any
 labelled row all texts are ``und``; equal code lengths give the first language by name;
-texts of any length are read whole; repeated rows are judged one by one; columns besides
-doc_id, text and lang are not read.
+a language whose labelled texts are all empty codes every byte at eight bits; texts of any
+length are read whole; repeated rows are judged one by one; columns besides doc_id, text
+and lang are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,124 +37,160 @@ from pyspark.sql import functions as F
 
 from vigil.llm.arrow_text import byte_slices, text_bytes
 
-SYMBOLS, TEXTS = 95, 256
-_FOLD = np.arange(256)
-_FOLD[65:91] += 32
+ORDER = 4
+SAMPLE_BYTES, TEXT_CHARS = 8 << 20, 16_384
+#: Contexts of at least so many bytes are kept only if they occur twice.
+LONG = 3
+SLICE_BYTES = 2 << 20
+_FOLD = np.arange(256, dtype=np.uint64)
+_FOLD[65:91] += np.uint64(32)
+
+
+def windows(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """At every byte the ORDER bytes before it and the byte itself as one number; texts are preceded by zeros."""
+    byte = _FOLD[data]
+    out = byte.copy()
+    start = np.zeros(len(data), np.int64)
+    begins = off[:-1][off[:-1] < off[1:]]
+    start[begins[1:]] = np.diff(begins)
+    place = np.arange(len(data)) - (np.cumsum(start) + (begins[0] if len(begins) else 0))
+    for k in range(1, ORDER + 1):
+        before = np.zeros(len(data), np.uint64)
+        before[k:] = byte[:-k]
+        before[place < k] = 0
+        out |= before << np.uint64(8 * k)
+    return out
+
+
+def _mask(order: int) -> np.uint64:
+    return np.uint64((1 << 8 * (order + 1)) - 1)
+
+
+class Tree:
+    """Frozen statistics of one language: by order, ``seen`` (context and byte, nats) and ``escape`` (context, nats)."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        """keys: distinct windows in ascending order."""
+        self.seen: list[tuple[np.ndarray, np.ndarray]] = []
+        self.escape: list[tuple[np.ndarray, np.ndarray]] = []
+        lower = None
+        for order in range(ORDER + 1):
+            key, of = np.unique(keys & _mask(order), return_inverse=True)
+            n = np.bincount(of, counts, len(key))
+            if order >= LONG:
+                _, of, total = self._contexts(key, n)
+                key, n = key[total[of] > 1], n[total[of] > 1]
+            context, of, total = self._contexts(key, n)
+            distinct = np.bincount(of, minlength=len(context))
+            p = n / (total + np.where(distinct < 256, distinct, 0))[of]
+            shorter = 1 / 256 if lower is None else lower[1][np.searchsorted(lower[0], key & _mask(order - 1))]
+            rest = 1 - np.bincount(of, np.broadcast_to(shorter, len(key)), len(context))  # what the shorter context leaves to other bytes
+            with np.errstate(divide="ignore", invalid="ignore"):
+                escape = np.where(distinct < 256, -np.log(distinct / (total + distinct) / rest), 0.0)
+            self.seen.append((key, -np.log(p)))
+            self.escape.append((context, escape))
+            lower = key, p
+
+    @staticmethod
+    def _contexts(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        context, of = np.unique(key >> np.uint64(8), return_inverse=True)
+        return context, of, np.bincount(of, n, len(context))
+
+    def nats(self, keys: list[np.ndarray], parent: list[np.ndarray]) -> np.ndarray:
+        """Code lengths of ``keys[ORDER]``; ``keys[k]`` are distinct windows of order k, ``parent[k]`` their places in ``keys[k - 1]``."""
+        out = np.full(1, np.log(256))
+        for order in range(ORDER + 1):
+            context, nats = self.escape[order]
+            out = out[parent[order]]
+            if not len(context):
+                continue
+            mine = keys[order] >> np.uint64(8)
+            at = np.minimum(np.searchsorted(context, mine), len(context) - 1)
+            out += np.where(context[at] == mine, nats[at], 0.0)
+            seen, nats = self.seen[order]
+            at = np.minimum(np.searchsorted(seen, keys[order]), len(seen) - 1)
+            out = np.where(seen[at] == keys[order], nats[at], out)
+        return out
+
+    def nbytes(self) -> int:
+        return sum(x.nbytes for pair in self.seen + self.escape for x in pair)
 
 
-def triples(code: np.ndarray, off: np.ndarray, width: int) -> np.ndarray:
-    """Index of (two symbols before, symbol) at every byte; texts start after two start symbols."""
-    one = np.concatenate([[0], code])[:-1]
-    two = np.concatenate([[0, 0], code])[: len(code)]
-    first = off[:-1][off[:-1] < off[1:]]
-    one[first] = two[first] = 0
-    second = first[np.isin(first + 1, first, invert=True) & (first + 1 < len(code))] + 1
-    two[second] = 0
-    return (two * width + one) * width + code
+class Model:
+    """A tree for each language."""
+
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
+        self.languages = sorted(counts)
+        self.trees = [Tree(*counts[name]) for name in self.languages]
+
+    def lengths(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Code length in nats of every text (rows) under every language."""
+        out = np.zeros((len(off) - 1, len(self.languages)))
+        for i, j in byte_slices(off, SLICE_BYTES):
+            cut = off[i : j + 1] - off[i]
+            full = np.flatnonzero(np.diff(cut))
+            if not len(full):
+                continue
+            key, of = np.unique(windows(data[off[i] : off[j]], cut), return_inverse=True)
+            keys, parent = [key], []
+            for order in range(ORDER - 1, -1, -1):
+                shorter, place = np.unique(keys[0] & _mask(order), return_inverse=True)
+                keys.insert(0, shorter)
+                parent.insert(0, place)
+            parent.insert(0, np.zeros(len(keys[0]), np.int64))
+            for k, tree in enumerate(self.trees):
+                out[i + full, k] = np.add.reduceat(tree.nats(keys, parent)[of], cut[full])
+        return out
 
 
-def _counted(rows: DataFrame, symbols: Callable[[np.ndarray, np.ndarray], np.ndarray], extra: bool) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """By language the symbols that ``symbols`` finds in its texts and how many there are of each; ``extra`` adds TEXTS, one a text."""
+def count_windows(rows: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """By language (``rows`` has lang and text) the distinct windows in ascending order and their numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lang = batch.column("lang").dictionary_encode()
             of = lang.indices.to_numpy(zero_copy_only=False)
             for k, name in enumerate(lang.dictionary.to_pylist()):
                 data, off = text_bytes(batch.column("text").take(pa.array(np.flatnonzero(of == k))))
-                for i, j in byte_slices(off):
-                    s, n = np.unique(symbols(data[off[i] : off[j]], off[i : j + 1] - off[i]), return_counts=True)
-                    if extra:
-                        s, n = np.append(s, TEXTS), np.append(n, j - i)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(s), pa.string()), pa.array(s.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "s", "n"])
+                for i, j in byte_slices(off, SLICE_BYTES):
+                    w, n = np.unique(windows(data[off[i] : off[j]], off[i : j + 1] - off[i]), return_counts=True)
+                    w, n = np.append(w.astype(np.int64), -1), np.append(n, 0)  # -1: the language has a text
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(w), pa.string()), pa.array(w), pa.array(n.astype(np.int64))], ["lang", "w", "n"])
 
-    table = rows.mapInArrow(run, "lang string, s long, n long").groupBy("lang", "s").agg(F.sum("n").alias("n")).toArrow()
+    table = rows.mapInArrow(run, "lang string, w long, n long").groupBy("lang", "w").agg(F.sum("n").alias("n")).toArrow()
     lang = table.column("lang").combine_chunks().dictionary_encode()
-    of, s, n = lang.indices.to_numpy(zero_copy_only=False), table.column("s").to_numpy(), table.column("n").to_numpy()
-    return {name: (s[of == k], n[of == k]) for k, name in enumerate(lang.dictionary.to_pylist())}
+    of, w, n = lang.indices.to_numpy(zero_copy_only=False), table.column("w").to_numpy(), table.column("n").to_numpy()
+    out = {}
+    for k, name in enumerate(lang.dictionary.to_pylist()):
+        mine = np.flatnonzero((of == k) & (w >= 0))
+        mine = mine[np.argsort(w[mine])]
+        out[name] = w[mine].astype(np.uint64), n[mine]
+    return out
+
+
+def training_sample(docs: DataFrame, allowed: Column) -> DataFrame:
+    """(lang, text) of the sample that the module's text describes; ``allowed`` is a condition on doc_id."""
+    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "lang", F.left("text", F.lit(TEXT_CHARS)).alias("text"), F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).alias("_h"))
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("_bytes"), F.min("_h").alias("_least"))
+    languages = sizes.count()
+    share = F.least(F.lit(1.0), F.lit(SAMPLE_BYTES / max(1, languages)) / F.greatest(F.col("_bytes"), F.lit(1)))
+    limit = sizes.select("lang", F.greatest((share * F.lit(float(1 << 62))).cast("long"), "_least").alias("_limit"))
+    return rows.join(limit, "lang").where("_h <= _limit").select("lang", "text")
 
 
 def fit(docs: DataFrame, allowed: Column) -> Model | None:
-    """Count every labelled row; ``allowed`` is a condition on doc_id."""
-    rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    by_byte = _counted(rows, lambda data, off: data, True)
-    if not by_byte:
-        return None
-    total = np.zeros(TEXTS + 1, np.int64)
-    for s, n in by_byte.values():
-        np.add.at(total, s, n)
-    code, width = symbol_codes(total[:TEXTS])
-    counts = _counted(rows, lambda data, off: triples(code[data], off, width), False)
-    none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    return Model.of_counts(code, width, {name: counts.get(name, none) for name in by_byte})
-
-
-def symbol_codes(total: np.ndarray) -> tuple[np.ndarray, int]:
-    """Symbol of each byte (0: start of text, and rare bytes) by the bytes' counts, and the number of symbols."""
-    folded = np.bincount(_FOLD, total, minlength=256)
-    common = [b for b in np.argsort(-folded, kind="stable")[:SYMBOLS] if folded[b]]
-    code = np.zeros(256, np.int64)
-    code[common] = np.arange(1, len(common) + 1)
-    code[65:91] = code[97:123]
-    return code, len(common) + 1
-
-
-def _backed_off(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Code lengths of a context level. counts: (contexts, symbols); lower: probabilities of the shorter contexts (contexts, symbols)."""
-    seen = counts > 0
-    n, d = counts.sum(1, keepdims=True), seen.sum(1, keepdims=True)
-    whole = n + d
-    escape = np.where(n > 0, d / np.maximum(whole, 1), 1.0)
-    rest = np.where(seen, 0.0, lower)
-    left = rest.sum(1, keepdims=True)
-    shared = escape * rest / np.where(left > 0, left, 1.0)
-    return np.where(seen, counts / np.maximum(whole, 1), shared)
-
-
-class Model:
-    """``table``[context of two symbols, symbol, language]: nats."""
-
-    def __init__(self, samples: dict[str, list[str]]):
-        raw = {k: [np.frombuffer(t.encode(), np.uint8) for t in v] for k, v in samples.items()}
-        total = sum((np.bincount(t, minlength=256) for v in raw.values() for t in v), np.zeros(256, np.int64))
-        code, width = symbol_codes(total)
-        self._fill(code, width, {k: np.unique(np.concatenate([*(triples(code[t], np.array([0, len(t)]), width) for t in v), np.zeros(0, np.int64)]), return_counts=True) for k, v in raw.items()})
-
-    @classmethod
-    def of_counts(cls, code: np.ndarray, width: int, counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
-        model = cls.__new__(cls)
-        model._fill(code, width, counts)
-        return model
-
-    def _fill(self, code: np.ndarray, width: int, counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> None:
-        self.code, self.width, self.languages = code, width, sorted(counts)
-        a = width
-        self.table = np.zeros((a * a * a, len(self.languages)), np.float32)
-        for k, name in enumerate(self.languages):
-            c3 = np.zeros(a**3)
-            c3[counts[name][0]] = counts[name][1]
-            c3 = c3.reshape(a, a, a)
-            p = np.full((1, a), 1.0 / a)
-            p = _backed_off(c3.sum((0, 1))[None, :], p)
-            p = _backed_off(c3.sum(0), np.repeat(p, a, 0))
-            p = _backed_off(c3.reshape(a * a, a), np.tile(p, (a, 1)))
-            self.table[:, k] = -np.log(np.maximum(p, 1e-9)).reshape(-1)
-
-    def lengths(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """Code length of every text (rows) under every language."""
-        out = np.zeros((len(off) - 1, len(self.languages)))
-        for i, j in byte_slices(off):
-            part, cut = data[off[i] : off[j]], off[i : j + 1] - off[i]
-            full = np.flatnonzero(np.diff(cut))
-            if len(full):
-                out[np.arange(i, j)[full]] = np.add.reduceat(self.table[triples(self.code[part], cut, self.width)], cut[full], axis=0, dtype=np.float64)
-        return out
+    """Trees of the labelled rows; ``allowed`` is a condition on doc_id."""
+    counts = count_windows(training_sample(docs, allowed))
+    return Model(counts) if counts else None
 
 
 def predict_language(docs: DataFrame, model: Model | None) -> DataFrame:
     """Return doc_id, lang_pred and score (posterior of the best language under equal priors) for every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by SAMPLE_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
             text = batch.column("text")
             lettered = np.array([t is not None and any(map(str.isalpha, t)) for t in text.to_pylist()], bool)
