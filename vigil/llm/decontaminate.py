@@ -1,26 +1,31 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become template words: numbers turn into ``<num>``, a unit after a number into
-``<unit>``, a capitalised word inside a sentence into ``<name>``; the rest is lower-cased
-without outer punctuation. Whether a word is a name depends on its place and on capitals,
-so a window with names is also looked up with all of them lower-cased, and with its first
-word lower-cased alone (an item's first word is never a name): copies in capitals, in title
-case or in the middle of a sentence are the item's too. Windows of WINDOW template words of the documents are
-hash-joined with those of the benchmark items. A window brings the values of its slots
-along; at one alignment (document position minus item position) each slot value of the
-item must always stand for the same value of the document, or the alignment doesn't
-count. A document holds an item if at least SIMILARITY of the item's windows are in it,
-at alignments that are consistent. So a question asked again with other numbers, names
-or units is caught, and a chance mix of matching windows with clashing values is not.
-
-Only SQL functions and joins are used. The benchmark's windows are broadcast while they
-are fewer than BROADCAST_ROWS; beyond, the join shuffles.
+Words lose their outer punctuation, signs and currency marks. Numbers (digits in front, or
+spelled out) turn into a number slot, a unit after a number into a unit slot, and a word with a
+capital in front and small letters behind into a name slot; all else is lower-cased. Windows of
+WINDOW such words of the documents are hash-joined with those of the benchmark items.
+
+Whether a capital means a name can't be told at the start of a sentence or in a title, so an item's
+window is listed in every form in which each of its names is a slot or a plain word, and a
+document's window is looked up with its names as slots and with all of them plain. Copies in
+capitals, in title case, in small letters or in the middle of a sentence are the item's too.
+A window of slots alone counts only as it is written.
+
+A window brings the values of its slots along. At one alignment (document position minus item
+position) the values must stand for each other one to one: an item's value always for the same
+value of the document, and no two for one; else the alignment doesn't count. A document holds an
+item if at least SIMILARITY of the item's windows are in it, at alignments that are consistent. So
+a question asked again with other numbers, names or units is caught, and a chance mix of matching
+windows with clashing values is not.
+
+Only SQL functions and joins are used. A bitmap of the items' window hashes, at most 2 **
+BITMAP_BITS bits, drops most other windows where they are made; the join decides. The benchmark's windows
+are broadcast while they are fewer than BROADCAST_ROWS; beyond, the join shuffles.
 
 Edge cases: a null text or one without a word holds nothing; an item of fewer words than
-a window is one window of all its words, which the documents' windows of as many words meet
-(one of slots alone only as it is written); items without a word are ignored; repeated rows
-are judged alike; an empty benchmark leaves all documents clean; columns besides doc_id
-and text are not read.
+a window is one window of all its words, which the documents' windows of as many words meet;
+items without a word are ignored; repeated rows are judged alike; an empty benchmark leaves
+all documents clean; ids may be of any type; columns besides doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -30,13 +35,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigil.llm.names import free_names
+
 WINDOW, SIMILARITY = 5, 0.8
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BITMAP_BITS = 200_000, 22
 #: Words taken for units when a number stands before them.
 UNITS = ("%", "cm", "m", "km", "mm", "g", "kg", "mg", "t", "lb", "oz", "l", "ml", "s", "ms", "min", "h", "hours", "hour", "minutes", "days", "day", "weeks",
-         "months", "years", "year", "miles", "mile", "feet", "foot", "ft", "inches", "inch", "usd", "eur", "dollars", "euros", "cents", "$", "€", "£", "°c", "°f", "k", "hz", "khz", "mhz", "w", "kw", "v", "kb", "mb", "gb")
-_OUTER = ".,;:!?()[]{}\"'«»"
-_NUM, _NAME, _UNIT = "<num>", "<name>", "<unit>"
+         "months", "years", "year", "miles", "mile", "feet", "foot", "ft", "inches", "inch", "usd", "eur", "dollars", "euros", "cents", "°c", "°f", "k", "hz", "khz", "mhz", "w", "kw", "v", "kb", "mb", "gb")
+#: Spelled-out numbers; joined ones (twenty-one) are known by their first part.
+SPELLED = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen",
+           "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million", "billion")
+#: Characters that don't count at either end of a word: punctuation, signs, currency marks.
+_OUTER = ".,;:!?()[]{}\"'«»$€£¥+-−~#"
+#: Template words of slots; other words have a 64-bit hash.
+_NUM, _UNIT, _NAME = 1, 2, 3
 
 
 def _words(text: Column) -> Column:
@@ -45,97 +57,123 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, " "), "")
 
 
-def _is_number(word: str) -> str:
-    return f"({word} >= '0' AND {word} < ':')"
-
-
 def with_templates(df: DataFrame) -> DataFrame:
-    """Add ``raw`` (words without outer punctuation) and ``tmpl`` (template words) from the words ``w``."""
-    quoted = _OUTER.replace("\\", "\\\\").replace("'", "\\'")
+    """From the words ``w`` add ``low`` (lower-cased, without outer marks), ``lw`` (their hashes), ``wt`` (template words) and ``wl`` (those with names as plain words)."""
+    quoted = _OUTER.replace("'", "\\'")
+    listed = lambda words: ", ".join(f"'{x}'" for x in words)
     df = df.withColumn("raw", F.expr(f"transform(w, x -> trim(BOTH '{quoted}' FROM x))"))
-    units = ", ".join(f"'{u}'" for u in UNITS)
-    inside = "i > 0 AND substr(get(w, i - 1), -1) NOT IN ('.', '!', '?', ':', '\"')"
-    df = df.withColumn("low", F.expr(
-        f"transform(raw, (x, i) -> CASE WHEN {_is_number('x')} THEN '{_NUM}' "
-        f"WHEN i > 0 AND {_is_number('get(raw, i - 1)')} AND lower(x) IN ({units}) THEN '{_UNIT}' ELSE lower(x) END)"))
-    return df.withColumn("tmpl", F.expr(f"transform(low, (x, i) -> CASE WHEN get(raw, i) >= 'A' AND get(raw, i) < '[' AND {inside} AND x != '{_UNIT}' THEN '{_NAME}' ELSE x END)"))
+    df = df.withColumn("low", F.expr("transform(raw, x -> lower(x))"))
+    df = df.withColumns({
+        "lw": F.expr("transform(low, x -> xxhash64(x))"),
+        "num": F.expr(f"transform(low, x -> x >= '0' AND x < ':' OR substring_index(x, '-', 1) IN ({listed(SPELLED)}))")})
+    df = df.withColumn("wt", F.expr(
+        f"transform(low, (x, i) -> CASE WHEN get(num, i) THEN {_NUM}L WHEN get(num, i - 1) AND x IN ({listed(UNITS)}) THEN {_UNIT}L "
+        f"WHEN get(raw, i) != x AND char_length(x) > 1 AND substr(get(raw, i), 2) = substr(x, 2) THEN {_NAME}L ELSE get(lw, i) END)"))
+    return df.withColumn("wl", F.expr(f"CASE WHEN array_contains(wt, {_NAME}L) THEN transform(wt, (h, i) -> CASE WHEN h = {_NAME} THEN get(lw, i) ELSE h END) ELSE wt END"))
+
 
+def _hash(cells: list[str], plain: list[str]) -> str:
+    """SQL of a window's hash: of its template words, or of the words as written if all are slots."""
+    slots_only = " AND ".join(f"{c} BETWEEN 1 AND 3" for c in cells)
+    return f"CASE WHEN {slots_only} THEN xxhash64(0L, {', '.join(plain)}) ELSE xxhash64({', '.join(cells)}) END"
 
-def _structs(at: str, cells: list[str]) -> str:
-    """SQL of an array of (h, pos, slots) for the windows at the positions ``at``; ``cells`` are the words of the one at i."""
-    values = ", ".join(f"CASE WHEN startswith({c}, '<') THEN get(raw, i + {k}) END" for k, c in enumerate(cells))
-    hashed = f"xxhash64({', '.join(cells)})"
-    if len(cells) < WINDOW:
-        slots_only = " AND ".join(f"startswith({c}, '<')" for c in cells)
-        hashed = f"CASE WHEN {slots_only} THEN xxhash64('=', {', '.join(f'lower(get(raw, i + {k}))' for k in range(len(cells)))}) ELSE {hashed} END"
-    return f"transform({at}, i -> struct({hashed} AS h, i AS pos, lower(concat_ws('\\u0001', {values})) AS slots))"
 
+def _slots(cells: list[str], values: list[str]) -> str:
+    return f"concat_ws('\\u0001', {', '.join(f'CASE WHEN {c} BETWEEN 1 AND 3 THEN {v} END' for c, v in zip(cells, values, strict=True))})"
 
-def _of_length(n: int) -> str:
-    """SQL of the windows of ``n`` words: as they are, with names lower-cased, with the first word's name lower-cased."""
-    tmpl, low = ([f"get({c}, i + {k})" for k in range(n)] for c in ("tmpl", "low"))
-    at = f"CASE WHEN size(tmpl) >= {n} THEN sequence(0, size(tmpl) - {n}) ELSE array() END"
-    named = f"CASE WHEN array_contains(tmpl, '{_NAME}') THEN filter({at}, i -> {' OR '.join(f"{c} = '{_NAME}'" for c in tmpl)}) ELSE array() END"
-    first = f"CASE WHEN array_contains(tmpl, '{_NAME}') THEN filter({at}, i -> {tmpl[0]} = '{_NAME}') ELSE array() END"
-    return f"concat({_structs(at, tmpl)}, {_structs(named, low)}, {_structs(first, [low[0], *tmpl[1:]])})"
 
+def _cells(array: str, i: str, n: int) -> list[str]:
+    return [f"get({array}, {i} + {k})" for k in range(n)]
 
-def _windows(df: DataFrame, lengths: list[int]) -> DataFrame:
-    """Add ``win``, structs (h, pos, slots): hash of the window's template words, its position, the values in its slots.
 
-    Explode it with ``inline_outer``: for ``inline`` the optimizer would test the array's size first, by all its expressions again.
-    """
-    return df.withColumn("win", F.expr(f"concat({', '.join(map(_of_length, lengths))})"))
+def _known(bits: int) -> str:
+    """SQL: the bit of the hash s.h is set in the bitmap ``bitmap`` of 2 ** ``bits`` bits."""
+    place = f"shiftrightunsigned(s.h, {64 - bits})"
+    return f"(get(bitmap, cast(shiftrightunsigned({place}, 6) AS int)) & shiftleft(1L, cast({place} & 63L AS int))) != 0L"
+
+
+def _document_windows(n: int, bits: int) -> str:
+    """SQL of an array of (h, pos, slots): the windows of ``n`` words with names as slots, and with plain ones, that the bitmap lets through."""
+    at = f"CASE WHEN size(wt) >= {n} THEN sequence(0, size(wt) - {n}) ELSE array() END"
+    named = f"CASE WHEN array_contains(wt, {_NAME}L) THEN filter({at}, i -> {' OR '.join(f'{c} = {_NAME}' for c in _cells('wt', 'i', n))}) ELSE array() END"
+    parts = []
+    for places, array in ((at, "wt"), (named, "wl")):
+        found = f"filter(transform({places}, i -> struct({_hash(_cells(array, 'i', n), _cells('lw', 'i', n))} AS h, i AS pos)), s -> {_known(bits)})"
+        parts.append(f"transform({found}, s -> struct(s.h AS h, s.pos AS pos, {_slots(_cells(array, 's.pos', n), _cells('low', 's.pos', n))} AS slots))")
+    return f"concat({', '.join(parts)})"
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, item_windows, words, h, item_pos, item_slots), one row a window and way to write it."""
+    """(item_id, item_windows, words, h, item_pos, item_slots), one row a window and form of it."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", _words(F.col("text")).alias("w")).where("size(w) > 0")
     # an item text that is repeated counts once
-    items = items.groupBy("w").agg(F.min("item_id").alias("item_id"))
-    items = with_templates(items)
-    cut = [_windows(items.where(F.size("w") >= window), [window]), *(_windows(items.where(F.size("w") == n), [n]) for n in range(1, window))]
-    return reduce(DataFrame.unionByName, cut).select("item_id", F.greatest(F.size("w") - window + 1, F.lit(1)).alias("item_windows"), F.least(F.size("w"), F.lit(window)).alias("words"), F.inline_outer("win")).select(
-        "item_id", "item_windows", "words", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots")).distinct()
+    items = with_templates(items.groupBy("w").agg(F.min("item_id").alias("item_id")))
+
+    def cut(n: int) -> DataFrame:
+        rows = items.where(F.size("w") >= n) if n == window else items.where(F.size("w") == n)
+        rows = rows.withColumn("i", F.explode(F.expr(f"sequence(0, size(w) - {n})"))).withColumn("form", F.explode(F.sequence(F.lit(0), F.lit((1 << n) - 1))))
+        names_alone = " AND ".join(f"((form & {1 << k}) = 0 OR {c} = {_NAME})" for k, c in enumerate(_cells("wt", "i", n)))
+        cells = [f"CASE WHEN (form & {1 << k}) != 0 THEN {_NAME}L ELSE {c} END" for k, c in enumerate(_cells("wl", "i", n))]
+        cells = [f"({c})" for c in cells]
+        return rows.where(names_alone).select(
+            "item_id", (F.size("w") - n + 1).alias("item_windows"), F.lit(n).alias("words"), F.expr(_hash(cells, _cells("lw", "i", n))).alias("h"), F.col("i").alias("item_pos"),
+            F.expr(_slots(cells, _cells("low", "i", n))).alias("item_slots"))
+
+    return reduce(DataFrame.unionByName, map(cut, range(1, window + 1))).distinct()
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similarity: float = SIMILARITY) -> DataFrame:
     """(k1, k2, item_id, coverage): the rows (by hashes of doc_id and text) that hold a benchmark item. ``docs`` has k1, k2 and text."""
     wanted = benchmark_windows(benchmark, window)
-    sizes = wanted.groupBy("words").count().collect()
-    n, lengths, wanted = sum(r["count"] for r in sizes), sorted({window, *(r["words"] for r in sizes)}), wanted.drop("words")
+    # one row a word of the bitmap and a length of windows: bounded whatever the benchmark's size
+    place = F.shiftrightunsigned("h", 64 - BITMAP_BITS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    marks = wanted.groupBy(F.shiftrightunsigned(place, 6).cast("int").alias("at"), "words").agg(F.bit_or(bit).alias("bits"), F.count(F.lit(1)).alias("n")).collect()
+    bitmap = [0] * (1 << BITMAP_BITS - 6)
+    for r in marks:
+        bitmap[r["at"]] |= r["bits"]
+    n, lengths, wanted = sum(r["n"] for r in marks), sorted({window, *(r["words"] for r in marks)}), wanted.drop("words")
     side = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
     words = docs.select("k1", "k2", _words(F.coalesce("text", F.lit(""))).alias("w"))
-    grams = _windows(with_templates(words), lengths).select("k1", "k2", F.inline_outer("win"))
+    words = with_templates(words).withColumn("bitmap", F.from_json(F.lit(str(bitmap)), "array<bigint>"))
+    # exploded outer: for ``inline`` the optimizer would test the array's size first, by all its expressions again
+    win = F.expr(f"concat({', '.join(_document_windows(k, BITMAP_BITS) for k in lengths)})")
+    grams = words.withColumn("win", win).select("k1", "k2", F.inline_outer("win"))
     met = grams.join(side, "h").select(
         "k1", "k2", "item_id", "item_windows", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos",
         F.when(F.col("slots") != "", F.arrays_zip(F.split("item_slots", "\x01").alias("a"), F.split("slots", "\x01").alias("b"))).alias("pairs"))
     aligned = met.groupBy("k1", "k2", "item_id", "item_windows", "shift").agg(
         F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"])))
-    per_item = aligned.where(consistent).groupBy("k1", "k2", "item_id", "item_windows").agg(
+    one_to_one = " AND ".join(f"size(array_distinct(pairs.{side})) = size(pairs)" for side in ("a", "b"))
+    per_item = aligned.where(one_to_one).groupBy("k1", "k2", "item_id", "item_windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n"))
     return per_item.select("k1", "k2", "item_id", (F.col("n") / F.col("item_windows")).alias("coverage")).where(F.col("coverage") >= similarity)
 
 
-def with_row_keys(docs: DataFrame) -> DataFrame:
-    """Two hashes that name a row; repeated rows share them."""
+def row_keys() -> tuple[Column, Column]:
+    """Two hashes that name a row by doc_id and text; repeated rows share them."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns({"k1": F.xxhash64("doc_id", text), "k2": F.xxhash64(F.lit(5), text, F.octet_length(text))})
+    return F.xxhash64("doc_id", text), F.xxhash64(F.lit(5), text, F.octet_length(text))
+
+
+def with_row_keys(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the row's keys k1 and k2."""
+    k1, k2 = row_keys()
+    return docs.select("doc_id", "text", k1.alias("k1"), k2.alias("k2"))
 
 
 def flag_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Return doc_id, contaminated, n_items, item_id (of the fullest match, the smallest on ties) and coverage for every row."""
     keyed = with_row_keys(docs)
     found = contaminations(keyed, benchmark).groupBy("k1", "k2").agg(
-        F.count(F.lit(1)).alias("n_items"), F.max(F.struct("coverage", (-F.col("item_id")).alias("minus"))).alias("best"))
+        F.count(F.lit(1)).alias("n_items"), F.min(F.struct((-F.col("coverage")).alias("minus"), "item_id")).alias("best"))
     return keyed.select("doc_id", "k1", "k2").join(found, ["k1", "k2"], "left").select(
         "doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
-        (-F.col("best.minus")).alias("item_id"), F.col("best.coverage").alias("coverage"))
+        F.col("best.item_id").alias("item_id"), (-F.col("best.minus")).alias("coverage"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item."""
-    keyed = with_row_keys(docs)
-    found = contaminations(keyed, benchmark).select("k1", "k2").distinct()
-    return keyed.join(found, ["k1", "k2"], "left_anti").select(docs.columns)
+    names = free_names(docs, "_k1", "_k2")
+    found = contaminations(with_row_keys(docs), benchmark).select(*(F.col(k).alias(n) for k, n in zip(("k1", "k2"), names, strict=True))).distinct()
+    return docs.withColumns(dict(zip(names, row_keys(), strict=True))).join(found, names, "left_anti").select(docs.columns)
