@@ -428,21 +428,45 @@ def test_language_giant_text_and_many_languages(spark):
     assert found == {i: lang for i, _, lang in data}
 
 
-def test_language_code_lengths():
-    model = language.Model({"a": ["abcabcabd", "xyz"], "b": ["zzz"]})
-    texts = ["abc", "", "zq", "abcabd"]
+def brute_ppm(samples, text):
+    """Code length of a text under the trees of ``samples``, by recursion over dictionaries."""
+    fold = lambda t: bytes(language.ORDER) + bytes(b + 32 if 65 <= b <= 90 else b for b in t.encode())
+    counts = [defaultdict(Counter) for _ in range(language.ORDER + 1)]
+    for t in map(fold, samples):
+        for i in range(language.ORDER, len(t)):
+            for k in range(language.ORDER + 1):
+                counts[k][t[i - k : i]][t[i]] += 1
+
+    def p(context, byte):
+        order = len(context)
+        shorter = (lambda b: p(context[1:], b)) if order else (lambda b: 1 / 256)
+        here = counts[order].get(context)
+        if not here or order >= language.LONG and sum(here.values()) < 2:
+            return shorter(byte)
+        total, distinct = sum(here.values()), len(here)
+        if byte in here:
+            return here[byte] / (total + distinct)
+        return distinct / (total + distinct) * shorter(byte) / (1 - sum(map(shorter, here)))
+
+    t = fold(text)
+    whole = [p(t[-language.ORDER :], b) for b in range(256)]
+    assert sum(whole) == pytest.approx(1)
+    return -sum(math.log(p(t[i - language.ORDER : i], t[i])) for i in range(language.ORDER, len(t)))
+
+
+@pytest.mark.parametrize("slice_bytes", [2 << 20, 16])
+def test_language_code_lengths(spark, slice_bytes, monkeypatch):
+    monkeypatch.setattr(language, "SLICE_BYTES", slice_bytes)
+    rng = random.Random(15)
+    samples = {"a": ["abcabcabd", "xyz", "Ab" * 9], "b": ["zzz", ""], "c": ["".join(rng.choice("ab é\x00") for _ in range(200)) for _ in range(5)], "d": [""]}
+    rows = spark.createDataFrame([(k, t) for k, v in samples.items() for t in v], "lang string, text string").repartition(3)
+    model = language.Model(language.count_windows(rows))
+    texts = ["abc", "", "zq", "ABcabd", "\x00a", "é b", "".join(rng.choice("abz é") for _ in range(90))]
     raw = [t.encode() for t in texts]
     off = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
     got = model.lengths(np.frombuffer(b"".join(raw), np.uint8), off)
-    # a context's code lengths are those of a distribution
-    p = np.exp(-model.table.reshape(-1, model.width, 2)).sum(1)
-    assert np.allclose(p, 1, atol=1e-3)
-    for k, r in enumerate(raw):
-        code, two, one, want = model.code[np.frombuffer(r, np.uint8)], 0, 0, np.zeros(2)
-        for s in code:
-            want = want + model.table[(two * model.width + one) * model.width + s]
-            two, one = one, s
-        assert np.allclose(got[k], want)
+    assert model.languages == [*samples]
+    assert got == pytest.approx(np.array([[brute_ppm(v, t) if t else 0.0 for v in samples.values()] for t in texts]))
 
 
 def brute_contaminated(rows, items):
