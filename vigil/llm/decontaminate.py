@@ -19,7 +19,7 @@ a question asked again with other numbers, names or units is caught, and a chanc
 windows with clashing values is not.
 
 Only SQL functions and joins are used. A bitmap of the items' window hashes, at most 2 **
-BITMAP_BITS bits, drops most other windows where they are made; the join decides. The benchmark's windows
+MOST_BITS bits, drops most other windows where they are made; the join decides. The benchmark's windows
 are broadcast while they are fewer than BROADCAST_ROWS; beyond, the join shuffles.
 
 Edge cases: a null text or one without a word holds nothing; an item of fewer words than
@@ -36,9 +36,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.names import free_names
+from vigil.plans.materialize import materialize
 
 WINDOW, SIMILARITY = 5, 0.8
-BROADCAST_ROWS, BITMAP_BITS = 200_000, 22
+BROADCAST_ROWS = 200_000
+#: log2 of the bits of the bitmap: for few windows, and at most; between them there are 16 bits or more a window.
+LEAST_BITS, MOST_BITS = 14, 20
 #: Words taken for units when a number stands before them.
 UNITS = ("%", "cm", "m", "km", "mm", "g", "kg", "mg", "t", "lb", "oz", "l", "ml", "s", "ms", "min", "h", "hours", "hour", "minutes", "days", "day", "weeks",
          "months", "years", "year", "miles", "mile", "feet", "foot", "ft", "inches", "inch", "usd", "eur", "dollars", "euros", "cents", "°c", "°f", "k", "hz", "khz", "mhz", "w", "kw", "v", "kb", "mb", "gb")
@@ -47,7 +50,7 @@ SPELLED = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight
            "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million", "billion")
 #: Characters that don't count at either end of a word: punctuation, signs, currency marks.
 _OUTER = ".,;:!?()[]{}\"'«»$€£¥+-−~#"
-#: Template words of slots; other words have a 64-bit hash.
+#: Template words of slots; other words have their 64-bit hash.
 _NUM, _UNIT, _NAME = 1, 2, 3
 
 
@@ -58,86 +61,107 @@ def _words(text: Column) -> Column:
 
 
 def with_templates(df: DataFrame) -> DataFrame:
-    """From the words ``w`` add ``low`` (lower-cased, without outer marks), ``lw`` (their hashes), ``wt`` (template words) and ``wl`` (those with names as plain words)."""
+    """From the words ``w`` add ``raw`` (without outer marks), ``lw`` (hashes of them in small letters), ``wt`` (template words) and ``wl`` (those with names as plain words).
+
+    Tests that most words fail stand first, as these expressions run for every word of the corpus.
+    """
     quoted = _OUTER.replace("'", "\\'")
-    listed = lambda words: ", ".join(f"'{x}'" for x in words)
+    hashed = lambda words: ", ".join(f"xxhash64('{x}')" for x in words)
     df = df.withColumn("raw", F.expr(f"transform(w, x -> trim(BOTH '{quoted}' FROM x))"))
-    df = df.withColumn("low", F.expr("transform(raw, x -> lower(x))"))
-    df = df.withColumns({
-        "lw": F.expr("transform(low, x -> xxhash64(x))"),
-        "num": F.expr(f"transform(low, x -> x >= '0' AND x < ':' OR substring_index(x, '-', 1) IN ({listed(SPELLED)}))")})
+    df = df.withColumn("lw", F.expr("transform(raw, x -> xxhash64(lower(x)))"))
+    number = lambda x, h: f"({x} >= '0' AND {x} < ':' OR {h} IN ({hashed(SPELLED)}) OR contains({x}, '-') AND xxhash64(lower(substring_index({x}, '-', 1))) IN ({hashed(SPELLED)}))"
+    capital = "(x >= 'A' AND x < '[' OR x > '~' AND substr(x, 1, 1) != lower(substr(x, 1, 1)))"
     df = df.withColumn("wt", F.expr(
-        f"transform(low, (x, i) -> CASE WHEN get(num, i) THEN {_NUM}L WHEN get(num, i - 1) AND x IN ({listed(UNITS)}) THEN {_UNIT}L "
-        f"WHEN get(raw, i) != x AND char_length(x) > 1 AND substr(get(raw, i), 2) = substr(x, 2) THEN {_NAME}L ELSE get(lw, i) END)"))
-    return df.withColumn("wl", F.expr(f"CASE WHEN array_contains(wt, {_NAME}L) THEN transform(wt, (h, i) -> CASE WHEN h = {_NAME} THEN get(lw, i) ELSE h END) ELSE wt END"))
+        f"transform(raw, (x, i) -> CASE WHEN {number('x', 'get(lw, i)')} THEN {_NUM}L WHEN get(lw, i) IN ({hashed(UNITS)}) AND {number('get(raw, i - 1)', 'get(lw, i - 1)')} THEN {_UNIT}L "
+        f"WHEN {capital} AND char_length(x) > 1 AND substr(x, 2) = lower(substr(x, 2)) THEN {_NAME}L ELSE get(lw, i) END)"))
+    return df.withColumn("wl", F.expr(f"CASE WHEN array_contains(wt, {_NAME}L) THEN transform(wt, (h, i) -> CASE WHEN h = {_NAME} THEN get(lw, i) ELSE h END) END"))
+
+
+def _with_window_hashes(df: DataFrame, words: str, lengths: list[int], name: str) -> DataFrame:
+    """Add name1, name2, ...: by position the hash of the window of so many ``words``, made of those of its parts. Windows that don't fit have some hash too."""
+    step = {1: (1, 0), 2: (1, 1), 3: (2, 2), 4: (2, 2), 5: (4, 4)}  # length: that of the first part, where the second begins
+    second = {2: 1, 3: 1, 4: 2, 5: 1}
+    needed = {1, *lengths} | {2 for n in lengths if n > 2} | {4 for n in lengths if n > 4}
+    df = df.withColumn(f"{name}1", F.col(words))
+    for n in sorted(needed - {1}):
+        first, at = step[n]
+        df = df.withColumn(f"{name}{n}", F.expr(f"transform({name}{first}, (h, i) -> xxhash64(h, get({name}{second[n]}, i + {at})))"))
+    return df
+
+
+def _slots_only(cells: list[str]) -> str:
+    return " AND ".join(f"{c} BETWEEN 1 AND 3" for c in cells)
 
 
-def _hash(cells: list[str], plain: list[str]) -> str:
-    """SQL of a window's hash: of its template words, or of the words as written if all are slots."""
-    slots_only = " AND ".join(f"{c} BETWEEN 1 AND 3" for c in cells)
-    return f"CASE WHEN {slots_only} THEN xxhash64(0L, {', '.join(plain)}) ELSE xxhash64({', '.join(cells)}) END"
+def _written(plain: list[str]) -> str:
+    """SQL of the hash of a window of slots alone: of its words as written."""
+    return f"xxhash64(0L, {', '.join(plain)})"
 
 
 def _slots(cells: list[str], values: list[str]) -> str:
-    return f"concat_ws('\\u0001', {', '.join(f'CASE WHEN {c} BETWEEN 1 AND 3 THEN {v} END' for c, v in zip(cells, values, strict=True))})"
+    return f"lower(concat_ws('\\u0001', {', '.join(f'CASE WHEN {c} BETWEEN 1 AND 3 THEN {v} END' for c, v in zip(cells, values, strict=True))}))"
 
 
 def _cells(array: str, i: str, n: int) -> list[str]:
     return [f"get({array}, {i} + {k})" for k in range(n)]
 
 
-def _known(bits: int) -> str:
-    """SQL: the bit of the hash s.h is set in the bitmap ``bitmap`` of 2 ** ``bits`` bits."""
-    place = f"shiftrightunsigned(s.h, {64 - bits})"
-    return f"(get(bitmap, cast(shiftrightunsigned({place}, 6) AS int)) & shiftleft(1L, cast({place} & 63L AS int))) != 0L"
+def _known(h: str, bits: int) -> str:
+    """SQL: the bit of the hash ``h`` is set in ``bitmap``."""
+    return f"(get(bitmap, cast(shiftrightunsigned({h}, {70 - bits}) AS int)) & shiftleft(1L, cast(shiftrightunsigned({h}, {64 - bits}) & 63L AS int))) != 0L"
 
 
 def _document_windows(n: int, bits: int) -> str:
     """SQL of an array of (h, pos, slots): the windows of ``n`` words with names as slots, and with plain ones, that the bitmap lets through."""
-    at = f"CASE WHEN size(wt) >= {n} THEN sequence(0, size(wt) - {n}) ELSE array() END"
-    named = f"CASE WHEN array_contains(wt, {_NAME}L) THEN filter({at}, i -> {' OR '.join(f'{c} = {_NAME}' for c in _cells('wt', 'i', n))}) ELSE array() END"
     parts = []
-    for places, array in ((at, "wt"), (named, "wl")):
-        found = f"filter(transform({places}, i -> struct({_hash(_cells(array, 'i', n), _cells('lw', 'i', n))} AS h, i AS pos)), s -> {_known(bits)})"
-        parts.append(f"transform({found}, s -> struct(s.h AS h, s.pos AS pos, {_slots(_cells(array, 's.pos', n), _cells('low', 's.pos', n))} AS slots))")
+    for name, array, differs in (("a", "wt", "true"), ("b", "wl", f"h != get(a{n}, i)")):
+        places = f"array_compact(transform({name}{n}, (h, i) -> CASE WHEN {differs} AND {_known('h', bits)} AND i <= size(wt) - {n} THEN i END))"
+        cells = _cells(array, "p", n)
+        h = f"CASE WHEN {_slots_only(cells)} THEN {_written(_cells('lw', 'p', n))} ELSE get({name}{n}, p) END"
+        parts.append(f"coalesce(transform({places}, p -> struct({h} AS h, p AS pos, {_slots(cells, _cells('raw', 'p', n))} AS slots)), array())")
     return f"concat({', '.join(parts)})"
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, item_windows, words, h, item_pos, item_slots), one row a window and form of it."""
+    """(item_id, item_windows, words, shape, h, item_pos, item_slots), one row a window and form of it; ``shape`` is the hash of its template words, ``h`` what it is joined on."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", _words(F.col("text")).alias("w")).where("size(w) > 0")
     # an item text that is repeated counts once
-    items = with_templates(items.groupBy("w").agg(F.min("item_id").alias("item_id")))
+    items = with_templates(items.groupBy("w").agg(F.min("item_id").alias("item_id"))).withColumn("wl", F.coalesce("wl", "wt"))
 
     def cut(n: int) -> DataFrame:
         rows = items.where(F.size("w") >= n) if n == window else items.where(F.size("w") == n)
         rows = rows.withColumn("i", F.explode(F.expr(f"sequence(0, size(w) - {n})"))).withColumn("form", F.explode(F.sequence(F.lit(0), F.lit((1 << n) - 1))))
         names_alone = " AND ".join(f"((form & {1 << k}) = 0 OR {c} = {_NAME})" for k, c in enumerate(_cells("wt", "i", n)))
         cells = [f"CASE WHEN (form & {1 << k}) != 0 THEN {_NAME}L ELSE {c} END" for k, c in enumerate(_cells("wl", "i", n))]
-        cells = [f"({c})" for c in cells]
-        return rows.where(names_alone).select(
-            "item_id", (F.size("w") - n + 1).alias("item_windows"), F.lit(n).alias("words"), F.expr(_hash(cells, _cells("lw", "i", n))).alias("h"), F.col("i").alias("item_pos"),
-            F.expr(_slots(cells, _cells("low", "i", n))).alias("item_slots"))
+        rows = rows.where(names_alone).withColumn("cells", F.expr(f"array({', '.join(cells)})"))
+        rows = _with_window_hashes(rows, "cells", [n], "a")
+        own = _cells("cells", "0", n)
+        return rows.select(
+            "item_id", (F.size("w") - n + 1).alias("item_windows"), F.lit(n).alias("words"), F.expr(f"get(a{n}, 0)").alias("shape"),
+            F.expr(f"CASE WHEN {_slots_only(own)} THEN {_written(_cells('lw', 'i', n))} ELSE get(a{n}, 0) END").alias("h"), F.col("i").alias("item_pos"), F.expr(_slots(own, _cells("raw", "i", n))).alias("item_slots"))
 
     return reduce(DataFrame.unionByName, map(cut, range(1, window + 1))).distinct()
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similarity: float = SIMILARITY) -> DataFrame:
     """(k1, k2, item_id, coverage): the rows (by hashes of doc_id and text) that hold a benchmark item. ``docs`` has k1, k2 and text."""
-    wanted = benchmark_windows(benchmark, window)
-    # one row a word of the bitmap and a length of windows: bounded whatever the benchmark's size
-    place = F.shiftrightunsigned("h", 64 - BITMAP_BITS)
+    wanted = materialize(benchmark_windows(benchmark, window), "items")
+    sizes = wanted.groupBy("words").count().collect()
+    n, lengths = sum(r["count"] for r in sizes), sorted({window, *(r["words"] for r in sizes)})
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * n).bit_length()))
+    # one row a word of the bitmap: bounded whatever the benchmark's size
+    place = F.shiftrightunsigned("shape", 64 - bits)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
-    marks = wanted.groupBy(F.shiftrightunsigned(place, 6).cast("int").alias("at"), "words").agg(F.bit_or(bit).alias("bits"), F.count(F.lit(1)).alias("n")).collect()
-    bitmap = [0] * (1 << BITMAP_BITS - 6)
-    for r in marks:
-        bitmap[r["at"]] |= r["bits"]
-    n, lengths, wanted = sum(r["n"] for r in marks), sorted({window, *(r["words"] for r in marks)}), wanted.drop("words")
+    bitmap = [0] * (1 << bits - 6)
+    for r in wanted.groupBy(F.shiftrightunsigned(place, 6).cast("int").alias("at")).agg(F.bit_or(bit).alias("bits")).collect():
+        bitmap[r["at"]] = r["bits"]
+    wanted = wanted.drop("words", "shape").distinct()
     side = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
     words = docs.select("k1", "k2", _words(F.coalesce("text", F.lit(""))).alias("w"))
     words = with_templates(words).withColumn("bitmap", F.from_json(F.lit(str(bitmap)), "array<bigint>"))
+    words = _with_window_hashes(_with_window_hashes(words, "wt", lengths, "a"), "wl", lengths, "b")
     # exploded outer: for ``inline`` the optimizer would test the array's size first, by all its expressions again
-    win = F.expr(f"concat({', '.join(_document_windows(k, BITMAP_BITS) for k in lengths)})")
+    win = F.expr(f"concat({', '.join(_document_windows(k, bits) for k in lengths)})")
     grams = words.withColumn("win", win).select("k1", "k2", F.inline_outer("win"))
     met = grams.join(side, "h").select(
         "k1", "k2", "item_id", "item_windows", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos",

@@ -181,7 +181,10 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model | None:
     order = np.lexsort([table.column("_text").to_numpy(), table.column("_order").to_numpy()])
     rows = [np.frombuffer(table.column("features")[int(k)].as_buffer(), "<i4") for k in order]
     toxic = table.column("toxic").to_numpy()[order] == 1
-    return train(rows, toxic.astype(int).tolist(), shift)
+    model = train(rows, toxic.astype(int).tolist(), shift)
+    del rows, table
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def held_out(remainder: int = 0, of: int = 5) -> Column:
