@@ -4,30 +4,57 @@ from vigil.operators import analyst, extract
 from vigil.plans.queries import TLDS
 
 
+def psl_of(spark, *more):
+    return spark.createDataFrame([(r, "normal") for r in ("com", "org", "net", "io", *more)], "rule string, kind string")
+
+
+def board(spark, rows, intel=(), resolvers=("8.8.8.8", "dns.google"), brands=("vendor.com",), suffixes=("github.io",)):
+    articles = spark.createDataFrame(rows, "url string, title string, body string, warnings array<string>")
+    evidence = extract.extract_evidence(articles.selectExpr("*", "array('news.org') AS publisher_hosts"), (*TLDS, "io", "google")).cache()
+    known = spark.createDataFrame(list(intel), "cve_id string, kev boolean, cvss_score double, cvss_severity string, epss_score double")
+    found = analyst.build_actions(articles, evidence, known, spark.createDataFrame([(x,) for x in resolvers], "value string"), spark.createDataFrame([(x,) for x in brands], "host string"), psl_of(spark, *suffixes))
+    return {(r["url"], r["target"]): r for r in found.collect()}
+
+
+IOC = "## Indicators of compromise\n"
+
+
 def test_actions(spark):
-    ioc = "## Indicators of compromise\n"
-    articles = spark.createDataFrame([
-        ("u1", "Flaw", "CVE-2024-1111 allows remote code execution, CVSS 7.5\n" + ioc + "8.8.8.8\n5.6.7.8\nabc.com\nx.abc.com\nlogin.vendor.com\nd41d8cd98f00b204e9800998ecf8427e", None),
-        ("u2", "Phishing campaign hits banks", "nothing to see", None), ("u3", "Plain", "words", None), ("u4", "Gone", "", ["HTTP 403 Forbidden"])],
-        "url string, title string, body string, warnings array<string>")
-    hosts = articles.selectExpr("*", "array('news.org') AS publisher_hosts")
-    evidence = extract.extract_evidence(hosts, TLDS)
-    intel = spark.createDataFrame([("CVE-2024-1111", True, 9.8, 0.5)], "cve_id string, kev boolean, cvss_score double, epss_score double")
-    found = analyst.build_actions(articles, evidence, intel, spark.createDataFrame([("8.8.8.8",)], "value string"), spark.createDataFrame([("vendor.com",)], "host string")).collect()
-    got = {(r["url"], r["target"]): (r["action"], r["priority"], r["reason_code"]) for r in found}
-    assert got == {
-        ("u1", "CVE-2024-1111"): ("patch", "high", "kev_listed"), ("u1", "8.8.8.8"): ("hunt", "high", "public_resolver_registry"), ("u1", "5.6.7.8"): ("block", "high", "publisher_indicator"),
-        ("u1", "abc.com"): ("hunt", "high", "domain_boundary_rule"), ("u1", "x.abc.com"): ("block", "high", "publisher_indicator"), ("u1", "login.vendor.com"): ("hunt", "high", "vendor_brand_apex"),
-        ("u1", "d41d8cd98f00b204e9800998ecf8427e"): ("hunt", "high", "publisher_indicator"), ("u2", "Phishing campaign hits banks"): ("monitor", "low", "phishing"),
-        ("u3", "Plain"): ("observe", "low", "no_indicator"), ("u4", "Gone"): ("review", "medium", "forbidden")}
+    got = board(spark, [
+        ("u1", "Flaw", "CVE-2024-1111 allows remote code execution, CVSS 7.5\n" + IOC + "8.8.8.8\n5.6.7.8\nabc.com\nx.abc.com\nlogin.vendor.com\ngithub.io\ndns.google\nd41d8cd98f00b204e9800998ecf8427e\n2606:4700:4700::1234", None),
+        ("u2", "Phishing campaign hits banks", "nothing to see", None), ("u3", "Plain", "words", None), ("u4", "Gone", "", ["HTTP 403 Forbidden"]), ("u5", "A data breach at a shop", "nothing", None)],
+        [("CVE-2024-1111", True, 9.8, "CRITICAL", 0.5)])
+    assert {k: (r["action"], r["priority"], r["reason_code"]) for k, r in got.items()} == {
+        ("u1", "CVE-2024-1111"): ("patch", "high", "kev_listed"), ("u1", "8.8.8.8"): ("hunt", "low", "public_resolver_registry"), ("u1", "5.6.7.8"): ("block", "medium", "publisher_indicator"),
+        ("u1", "abc.com"): ("hunt", "low", "domain_boundary_rule"), ("u1", "x.abc.com"): ("block", "medium", "publisher_indicator"), ("u1", "login.vendor.com"): ("hunt", "low", "vendor_brand_apex"),
+        ("u1", "github.io"): ("hunt", "low", "domain_boundary_rule"), ("u1", "dns.google"): ("hunt", "low", "public_resolver_registry"), ("u1", "d41d8cd98f00b204e9800998ecf8427e"): ("hunt", "medium", "publisher_indicator"),
+        ("u1", "2606:4700:4700::1234"): ("block", "medium", "publisher_indicator"), ("u2", "Phishing campaign hits banks"): ("observe", "low", "phishing"), ("u4", "Gone"): ("review", "medium", "forbidden"),
+        ("u5", "A data breach at a shop"): ("monitor", "medium", "data_breach")}
+    assert got["u1", "CVE-2024-1111"]["reason"] == "KEV 已知遭利用；CVSS 9.8 CRITICAL（NVD）" and got["u1", "8.8.8.8"]["benign_basis"] == "public_resolver_registry"
+
+
+def test_each_cve_keeps_its_own_score_and_impacts(spark):
+    body = "CVE-2024-1001 is bad\nCVSS 9.8\nremote code execution\n\nCVE-2024-1002 is mild\nCVSS: 4\nCVE-2024-1003 in passing\n## Related articles\nCVE-2024-1004 ransomware\n"
+    got = board(spark, [("u", "Two flaws", body, None)], [("CVE-2024-1003", False, None, None, None)])
+    assert {k[1]: (r["priority"], r["article_cvss_score"], r["reason_code"]) for k, r in got.items()} == {
+        "CVE-2024-1001": ("high", 9.8, "cve_reported"), "CVE-2024-1002": ("medium", 4.0, "cve_reported"), "CVE-2024-1003": ("medium", None, "cve_reported")}
+
+
+def test_command_and_control_is_urgent_and_headings_are_not_read(spark):
+    body = "Intro\n## Remote code execution\n" + IOC + "5.6.7.8 command and control\n5.6.7.9\n"
+    got = board(spark, [("u", "Campaign", body, None)])
+    assert {k[1]: r["priority"] for k, r in got.items()} == {"5.6.7.8": "high", "5.6.7.9": "medium"}
 
 
 def test_backtest(spark):
     table = lambda *v: spark.createDataFrame([(x,) for x in v], "value_lc string")
-    asked = spark.createDataFrame([(x,) for x in ("a.com", "b.com", "c.com", "d.com", "10.0.0.1")], "value string")
-    out = analyst.backtest_observables(asked, table("a.com", "b.com"), table("b.com"), table("c.com"))
-    assert {r["value"]: r["status"] for r in out.collect()} == {"a.com": "hit", "b.com": "excluded", "c.com": "candidate", "d.com": "unseen", "10.0.0.1": "skipped"}
-    assert analyst.observable_rates(out).first().asDict() == {"submitted": 5, "skipped": 1, "hits": 1, "excluded": 1, "unseen": 1, "processed": 4, "hit_rate": 0.25}
+    asked = spark.createDataFrame([(x,) for x in ("a.com", "b.com", "c.com", "d.com", "10.0.0.1", "x.a.com", "deep.org", "com", "word", " ")], "value string")
+    out = analyst.backtest_observables(asked, table("a.com", "b.com", "one.two.deep.org", "z.deep.org", "http://w.net/p"), table("b.com"), table("c.com"), psl_of(spark))
+    assert {r["value"]: (r["status"], r["match_method"], r["matched_on"]) for r in out.collect()} == {
+        "a.com": ("hit", "exact", "a.com"), "b.com": ("excluded", None, None), "c.com": ("candidate", None, None), "d.com": ("unseen", None, None), "10.0.0.1": ("skipped", None, None),
+        "x.a.com": ("hit", "parent_domain", "a.com"), "deep.org": ("hit", "child_domain", "z.deep.org"), "com": ("skipped", None, None), "word": ("skipped", None, None)}
+    got = analyst.observable_rates(out).first().asDict()
+    assert got == {"submitted": 9, "skipped": 3, "hits": 3, "by_exact": 1, "by_parent": 1, "by_child": 1, "excluded": 1, "candidates": 1, "unseen": 2, "processed": 6, "hit_rate": 0.5}
 
 
 def test_source_for_url(spark):

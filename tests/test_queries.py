@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from vigil.operators import corpus, extract, matching
 from vigil.operators.graph import connected_components
 from vigil.plans import inputs
-from vigil.plans.queries import ORACLES, QUERIES, TLDS
+from vigil.plans import report_queries  # noqa: F401  registers its queries
+from vigil.plans.queries import TLDS
+from vigil.plans.registry import ORACLES, QUERIES
 from vigil.sources import readers
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("supplier", "events", "documents", "pages")
+TABLES = ("supplier", "customer", "part", "lineitem", "events", "documents", "pages")
 
 
 def plain(rows):
@@ -109,8 +111,10 @@ def test_write_day_is_idempotent(spark, tmp_path):
 
 
 def test_chain_and_version(spark):
-    w = spark.createDataFrame([("d", "e"), ("c", "d"), ("a", "b"), ("b", "c2")], "window_start string, window_end string")
-    assert sorted(r["window_start"] for r in corpus.unbroken_chain(w).collect()) == ["c", "d"]
+    day = lambda n: f"2024-01-{n:02d} 00:00:00"
+    w = spark.createDataFrame([(day(a), day(b)) for a, b in ((19, 20), (18, 19), (16, 17), (20, 21), (17, 18), (9, 10))], "a string, b string").selectExpr("CAST(a AS timestamp) AS window_start", "CAST(b AS timestamp) AS window_end")
+    starts = lambda since, days=7: sorted(r["window_start"].day for r in corpus.unbroken_chain(w, F.lit(since).cast("timestamp"), days).collect())
+    assert starts(day(20)) == [16, 17, 18, 19] and starts(day(20), 2) == [18, 19] and starts(day(22)) == [] and starts(day(10)) == [9]
     rows = spark.createDataFrame([(i, str(i)) for i in range(50)], "a int, b string")
     one, two = (corpus.content_version(x, ["a", "b"]).first()[0] for x in (rows, rows.orderBy(F.desc("a")).repartition(7)))
     assert one == two != corpus.content_version(rows.where("a != 3"), ["a", "b"]).first()[0]
@@ -127,7 +131,7 @@ def test_event_clusters(spark):
             met = [g for g in groups if g[1] & values]
             groups = [g for g in groups if not g[1] & values] + [({url}.union(*(g[0] for g in met)), values.union(*(g[1] for g in met)))]
         want += [(day, sorted(c), sorted(u)) for u, c in groups if len(u) > 1]
-    found = QUERIES["event_clusters"](spark, SF).collect()
+    found = QUERIES["event_clusters"](spark, SF).withColumns({"cves": F.split("cves", " "), "article_urls": F.split("article_urls", " ")}).collect()
     assert sorted((r["report_date"], r["cves"], r["article_urls"]) for r in found) == sorted(want)
     assert len({day for day, _, _ in want}) > 10 and all(r["n_articles"] == len(r["article_urls"]) for r in found)
     assert all(r["cluster_id"] == hashlib.sha256("\n".join(r["cves"]).encode()).hexdigest()[:16] and r["label"].startswith(r["cves"][0]) for r in found)

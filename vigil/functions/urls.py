@@ -41,7 +41,7 @@ def _within(n: Column, ranges: tuple[str, ...]) -> Column:
 def url_host(url: Column) -> Column:
     """Host in lower case, without userinfo and port; '' when there is none."""
     rest = F.regexp_extract(F.coalesce(url, F.lit("")), r"^\s*[A-Za-z][A-Za-z0-9+.-]*://([^/?#\s]*)", 1)
-    return F.lower(F.regexp_replace(F.regexp_replace(rest, r"^.*@", ""), r":[0-9]*$", ""))
+    return F.lower(F.regexp_replace(F.regexp_replace(F.regexp_replace(rest, r"^.*@", ""), r":[0-9]*$", ""), r"^\[([0-9A-Fa-f:.]+)\]$", "$1"))
 
 
 def canonical_url(url: Column) -> Column:
@@ -108,9 +108,13 @@ def ipv4_to_long(value: Column) -> Column:
     return let(value, lambda v: F.when(v.rlike(r"^(0|[1-9]\d{0,2})(\.(0|[1-9]\d{0,2})){3}$"), let(F.split(v, r"\."), number)))
 
 
+def is_global_number(n: Column) -> Column:
+    return ~_within(n, _NOT_GLOBAL) | _within(n, _GLOBAL_INSIDE)
+
+
 def is_global_ip(value: Column) -> Column:
     """Lookup's test for IPv4: multicast counts as global, shared address space does not; null for other values."""
-    return let(ipv4_to_long(value), lambda n: ~_within(n, _NOT_GLOBAL) | _within(n, _GLOBAL_INSIDE))
+    return let(ipv4_to_long(value), is_global_number)
 
 
 def is_public_ip(value: Column) -> Column:
@@ -122,7 +126,7 @@ def detect_type(value: Column) -> Column:
     """cve, md5, sha1, sha256, url, ip, domain, unknown or empty."""
     return let(F.trim(F.coalesce(value, F.lit(""))), lambda v: (
         F.when(v == "", "empty").when(v.rlike(r"(?i)^CVE-\d{4}-\d{4,7}$"), "cve").when(hash_type(v).isNotNull(), hash_type(v))
-        .when(v.rlike(r"(?i)^https?://"), "url").when(ipv4_to_long(v).isNotNull() | v.rlike(r"(?i)^[0-9a-f]{0,4}(:[0-9a-f]{0,4}){2,7}$"), "ip")
+        .when(v.rlike(r"(?i)^https?://"), "url").when(ipv4_to_long(v).isNotNull() | v.rlike(r"(?i)^\[?[0-9a-f]{0,4}(:[0-9a-f]{0,4}){2,7}(:?[0-9.]{7,15})?\]?$"), "ip")
         .when(v.rlike(r"(?i)^([a-z0-9_]([a-z0-9_-]{0,61}[a-z0-9_])?\.)+([a-z]{2,63}|xn--[a-z0-9-]{2,59})$"), "domain").otherwise("unknown")))
 
 
@@ -140,9 +144,12 @@ def normalize_indicator(value: Column, kind: Column) -> Column:
 
 
 def normalize_observable(value: Column, kind: Column) -> Column:
-    """Lookup key of a submitted value: a URL stands for its host, the rest is trimmed, restored and lower-cased."""
+    """Lookup key of a submitted value: a URL stands for its host, an IPv6 address for its short form, the rest is trimmed, restored and lower-cased."""
+    from vigil.functions.addresses import canonical_ip
+
     v = F.lower(undefang(value))
-    return F.when(kind == "url", url_host(v)).otherwise(v)
+    host = F.when(kind == "url", url_host(v)).otherwise(v)
+    return F.when(host.contains(":"), F.coalesce(canonical_ip(host), host)).otherwise(host)
 
 
 def host_suffixes(host: Column) -> Column:
@@ -151,23 +158,38 @@ def host_suffixes(host: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
 
 
+def looked_up_host(plain: Column) -> Column:
+    """The host that a restored value stands for: a URL's, else the value in lower case."""
+    return F.when(plain.rlike(r"(?i)^https?://"), url_host(plain)).otherwise(F.lower(plain))
+
+
+def judge_guard(value: Column, plain: Column, host: Column, v4: Column, v6: Column) -> Column:
+    """``guard_reason`` from its parts: the trimmed value, the restored one, its host, and the host as IPv4 number and IPv6 digits."""
+    from vigil.functions.addresses import is_global_digits
+
+    quad = host.rlike(r"^\d+(\.\d+){3}$")
+    return (
+        F.when(value == "", "empty").when((F.length(value) > 512) | value.rlike(r"[\s\x00-\x1f\x7f]") | (F.size(F.split(host, r"\.")) > 16) | (quad & v4.isNull()), "invalid")
+        .when(~F.coalesce(is_global_number(v4), is_global_digits(v6), F.lit(True)), "non_public_ip").when(host.rlike(r"(^|\.)(local|internal|lan|home|corp|localhost|intranet)$"), "internal_name")
+        .when(plain.rlike(r"(?i)^https?://[^/?#]*@"), "credentials_in_url"))
+
+
 def guard_reason(value: Column) -> Column:
     """Why a submitted value is not looked up; null when it is."""
-    def judge(v: Column, plain: Column, host: Column) -> Column:
-        quad = host.rlike(r"^\d+(\.\d+){3}$")
-        return (
-            F.when(v == "", "empty").when((F.length(v) > 512) | v.rlike(r"[\s\x00-\x1f\x7f]") | (F.size(F.split(host, r"\.")) > 16) | (quad & ipv4_to_long(host).isNull()), "invalid")
-            .when(quad & ~is_global_ip(host), "non_public_ip").when(host.rlike(r"(^|\.)(local|internal|lan|home|corp|localhost|intranet)$"), "internal_name")
-            .when(plain.rlike(r"(?i)^https?://[^/?#]*@"), "credentials_in_url"))
+    from vigil.functions.addresses import ipv6_hex
+
+    parts = lambda v, p, h: judge_guard(v, p, h, ipv4_to_long(h), F.when(h.contains(":"), ipv6_hex(h)))
+    return let(F.trim(F.coalesce(value, F.lit(""))), lambda v: let(undefang(v), lambda p: let(looked_up_host(p), lambda h: parts(v, p, h))))
+
 
-    host_of = lambda p: F.when(p.rlike(r"(?i)^https?://"), url_host(p)).otherwise(F.lower(p))
-    return let(F.trim(F.coalesce(value, F.lit(""))), lambda v: let(undefang(v), lambda p: let(host_of(p), lambda h: judge(v, p, h))))
+def judge_skip(guard: Column, kind: Column) -> Column:
+    """Offline skip reason from the guard's and the type used; safety outranks what the caller called the value."""
+    return F.when(guard.isin("non_public_ip", "internal_name", "credentials_in_url", "empty"), guard).when(kind.isin("unknown", "empty"), "unsupported_type")
 
 
 def skip_reason(value: Column, supplied: Column, detected: Column) -> Column:
     """Offline skip reason; a private address or internal name outranks what the caller called the value."""
-    return let(guard_reason(value), lambda g: F.when(g.isin("non_public_ip", "internal_name", "credentials_in_url", "empty"), g).when(
-        F.coalesce(supplied, detected).isin("unknown", "empty"), "unsupported_type"))
+    return let(guard_reason(value), lambda g: judge_skip(g, F.coalesce(supplied, detected)))
 
 
 def clip(text: Column, most: int = 300) -> Column:

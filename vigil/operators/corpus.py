@@ -6,6 +6,8 @@ seen_at, seq (its place in the day's order) and further columns named where used
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,10 +24,14 @@ def ordered_unique(df: DataFrame, key: list[str], value: str, order: str, name:
     return first.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_o", value))), lambda x: x[value]).alias(name))
 
 
-def corpus_values(sightings: DataFrame) -> DataFrame:
+#: Types that the corpus of values holds; filenames and claims stay outside it.
+VALUE_TYPES = ("md5", "sha1", "sha256", "ip", "domain", "url", "cve")
+
+
+def corpus_values(sightings: DataFrame, types: tuple[str, ...] = VALUE_TYPES) -> DataFrame:
     """One row a value: dates, publishers in first-seen order, citation count, first and last day, latest action."""
     key = F.lower("value")
-    rows = sightings.where("status = 'confirmed'").withColumn("value_lc", key)
+    rows = sightings.where((F.col("status") == "confirmed") & F.col("indicator_type").isin(*types)).withColumn("value_lc", key)
     core = rows.groupBy("value_lc").agg(
         F.min_by("indicator_type", F.struct("report_date", "seq")).alias("indicator_type"), F.countDistinct("report_date").alias("report_count"),
         F.countDistinct("publisher").alias("source_count"), F.countDistinct("publisher", "article_url").alias("citation_count"),
@@ -34,22 +40,27 @@ def corpus_values(sightings: DataFrame) -> DataFrame:
 
 
 def corpus_excluded(sightings: DataFrame) -> DataFrame:
-    """Rejected values with their reasons in first-seen order."""
+    """Rejected values of every type with their reasons in first-seen order; where a column ``kept`` tells, those of kept articles alone."""
     rows = sightings.where("status = 'rejected'").withColumn("value_lc", F.lower("value"))
+    if "kept" in rows.columns:
+        rows = rows.where("kept")
     days = rows.groupBy("value_lc").agg(F.countDistinct("report_date").alias("n_days"), F.min("report_date").alias("first_day"))
     return days.join(ordered_unique(rows, ["value_lc"], "reason", "seq", "reason_codes"), "value_lc")
 
 
-def daily_sets(sightings: DataFrame) -> DataFrame:
-    """New, repeated and gone confirmed values of each day against the day before; null where that day is absent."""
+def daily_sets(sightings: DataFrame, days: DataFrame | None = None) -> DataFrame:
+    """New, repeated and gone confirmed values of each report day against the day before; null where that day has no report.
+
+    ``days`` (report_date) are the days with a report, by default those of any sighting.
+    """
     rows = sightings.where("status = 'confirmed'").select("report_date", "indicator_type", F.lower("value").alias("v")).distinct()
-    days = rows.select("report_date").distinct()
+    days = (sightings if days is None else days).select("report_date").distinct()
     before = rows.select(F.date_add("report_date", 1).alias("report_date"), "indicator_type", "v", F.lit(1).alias("was"))
     both = rows.withColumn("is", F.lit(1)).join(before, ["report_date", "indicator_type", "v"], "full")
     counts = both.groupBy("report_date").agg(F.count_if(F.expr("is = 1 AND was IS NULL")).alias("n_new"), F.count_if(F.expr("is = 1 AND was = 1")).alias("n_repeat"), F.count_if(F.col("is").isNull()).alias("n_gone"))
     had = days.select(F.date_add("report_date", 1).alias("report_date"), F.lit(True).alias("had"))
-    return days.join(counts, "report_date").join(had, "report_date", "left").select(
-        "report_date", *[F.when(F.col("had"), F.col(c)).alias(c) for c in ("n_new", "n_repeat", "n_gone")])
+    return days.join(counts, "report_date", "left").join(had, "report_date", "left").select(
+        "report_date", *[F.when(F.col("had"), F.coalesce(c, F.lit(0).cast("long"))).alias(c) for c in ("n_new", "n_repeat", "n_gone")])
 
 
 def recurrence(sightings: DataFrame) -> DataFrame:
@@ -60,12 +71,16 @@ def recurrence(sightings: DataFrame) -> DataFrame:
 
 
 def day_summary(sightings: DataFrame) -> DataFrame:
-    """Counts of each day: articles, publishers, distinct confirmed values, targets by action."""
-    target = F.struct("indicator_type", "value")
-    named = [F.countDistinct(F.when((F.col("status") == "confirmed") & (F.col("action") == a), target)).alias(f"n_{a}") for a in ("patch", "block", "hunt")]
-    return sightings.groupBy("report_date").agg(
-        F.countDistinct("article_url").alias("n_articles"), F.countDistinct("publisher").alias("n_publishers"),
-        F.countDistinct(F.when(F.col("status") == "confirmed", target)).alias("n_confirmed"), *named)
+    """Counts of each day: articles, publishers, distinct confirmed values, targets by action.
+
+    Values are made distinct first, once for all counts, so that no row is multiplied by the number of counts.
+    """
+    seen = sightings.groupBy("report_date").agg(F.countDistinct("article_url").alias("n_articles"), F.countDistinct("publisher").alias("n_publishers"))
+    flag = lambda a: F.max((F.col("action") == a).cast("int")).alias(f"n_{a}")
+    values = sightings.where("status = 'confirmed'").groupBy("report_date", "indicator_type", "value").agg(*map(flag, ("patch", "block", "hunt")))
+    counts = values.groupBy("report_date").agg(F.count(F.lit(1)).alias("n_confirmed"), *(F.sum(f"n_{a}").alias(f"n_{a}") for a in ("patch", "block", "hunt")))
+    return seen.join(counts, "report_date", "left").select(
+        "report_date", "n_articles", "n_publishers", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_confirmed", "n_patch", "n_block", "n_hunt")))
 
 
 def latest_sighting(rows: DataFrame, keys: list[str], time: str, seq: str, later_wins: bool = False) -> DataFrame:
@@ -75,20 +90,27 @@ def latest_sighting(rows: DataFrame, keys: list[str], time: str, seq: str, later
 
 
 def failure_streaks(failures: DataFrame, days: DataFrame, threshold: int = 2) -> DataFrame:
-    """Unbroken run of failed days that reaches the newest day, by source; notify at threshold times a power of two."""
+    """Unbroken run of failed days that reaches the newest day, by source; notify at threshold times a power of two.
+
+    ``newest_error`` is the newest one that says something; null if none does.
+    """
     newest_first = days.select("report_date").distinct().withColumn("i", F.row_number().over(Window.orderBy(F.desc("report_date"))))  # one row a day
-    failed = failures.groupBy("source", "report_date").agg(F.max("error").alias("error")).join(F.broadcast(newest_first), "report_date")
+    failed = failures.groupBy("source", "report_date").agg(F.max(F.when(F.trim("error") != "", F.col("error"))).alias("error")).join(F.broadcast(newest_first), "report_date")
     run = failed.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("i"))).where("i = k")
-    out = run.groupBy("source").agg(F.count(F.lit(1)).alias("streak_days"), F.min("report_date").alias("since"), F.min_by("error", "i").alias("newest_error"))
+    out = run.groupBy("source").agg(F.count(F.lit(1)).alias("streak_days"), F.min("report_date").alias("since"), F.min_by("error", F.when(F.col("error").isNotNull(), F.col("i"))).alias("newest_error"))
     ratio = F.expr(f"streak_days DIV {threshold}")
     return out.withColumn("notify", (F.col("streak_days") % threshold == 0) & (F.bit_count(ratio) == 1))
 
 
-def unbroken_chain(windows: DataFrame) -> DataFrame:
-    """Report windows that join up, going back from the newest."""
+def unbroken_chain(windows: DataFrame, since: Column, days: int = 7) -> DataFrame:
+    """Report windows that join up, going back from the one that ends at ``since``, while they end within ``days`` before it.
+
+    windows: window_start, window_end. The bound on days comes first, so that the one task that walks the chain gets a week of windows.
+    """
     order = Window.orderBy(F.desc("window_end"))
-    linked = F.coalesce(F.lag("window_start").over(order) == F.col("window_end"), F.lit(True))
-    return windows.withColumn("_ok", linked.cast("int")).withColumn("_all", F.min("_ok").over(order.rowsBetween(Window.unboundedPreceding, 0))).where("_all = 1").drop("_ok", "_all")
+    near = windows.where((F.col("window_end") <= since) & (F.col("window_end") > since - F.expr(f"INTERVAL {days} DAYS")))
+    linked = F.coalesce(F.lag("window_start").over(order), since) == F.col("window_end")
+    return near.withColumn("_ok", linked.cast("int")).withColumn("_all", F.min("_ok").over(order.rowsBetween(Window.unboundedPreceding, 0))).where("_all = 1").drop("_ok", "_all")
 
 
 def rank_patches(actions: DataFrame) -> DataFrame:
@@ -147,20 +169,32 @@ def merge_sides(news: DataFrame, samples: DataFrame, feeds: DataFrame) -> DataFr
     return n.join(s, keys, "full").join(f, keys, "full").withColumn("last_seen", F.greatest("news_last", "sample_last", "feed_last"))
 
 
-def merge_feed(current: DataFrame, incoming: DataFrame, ok_sources: DataFrame, now: Column, keep_days: int = 30) -> DataFrame:
-    """Next state of a blocklist table: new rows in, changed rows replaced, rows that an answering source no longer lists out, old rows out.
+#: How each list is kept: whether rows that it no longer lists go, even when it lists nothing; whether a listed row is never rewritten; whether rows expire by age.
+FEED_RULES = {"threatfox": ("stays", False, True), "feodo": ("mirror", False, False), "et_compromised": ("mirror unless empty", True, False)}
+TRACKED = ("last_seen", "malware", "confidence", "threat_type", "port")
+
 
-    Keys: source, value. A source missing from ``ok_sources`` keeps its rows. Adds ``change``: insert, update or keep.
+def merge_feed(current: DataFrame, incoming: DataFrame, ok_sources: DataFrame, now: Column, keep_days: int = 30, rules: dict[str, tuple[str, bool, bool]] = FEED_RULES) -> DataFrame:
+    """Next state of a blocklist table, with ``change``: insert, update or keep.
+
+    Keys: source, indicator_type, value. A source missing from ``ok_sources`` keeps its rows and adds none. A stored row is rewritten
+    when one of TRACKED changed; ``rules`` say by source which rows that are not listed any more go, which sources keep their first row,
+    and which expire ``keep_days`` after the last sighting. Expiry runs whether or not the source answered.
     """
-    keys = ["source", "value"]
-    was, now_listed = current.alias("c"), incoming.alias("i")
-    both = was.join(now_listed, [F.col(f"c.{k}").eqNullSafe(F.col(f"i.{k}")) for k in keys], "full").join(
-        ok_sources.select(F.col("source").alias("_ok")).distinct(), F.coalesce("c.source", "i.source") == F.col("_ok"), "left")
-    same = F.col("c.threat_type").eqNullSafe(F.col("i.threat_type")) & F.col("c.last_seen").eqNullSafe(F.col("i.last_seen"))
-    change = F.when(F.col("c.value").isNull(), "insert").when(F.col("i.value").isNull(), F.when(F.col("_ok").isNull(), "keep").otherwise("delist")).when(same, "keep").otherwise("update")
-    pick = lambda c: F.when(F.col("change").isin("insert", "update"), F.col(f"i.{c}")).otherwise(F.col(f"c.{c}")).alias(c)
-    out = both.withColumn("change", change).where("change != 'delist'").select(*[pick(c) for c in (*keys, "threat_type", "first_seen", "last_seen")], "change")
-    return out.where(F.coalesce("last_seen", "first_seen") >= now - F.expr(f"INTERVAL {keep_days} DAYS"))
+    keys = ["source", "indicator_type", "value"]
+    rule = lambda test: F.col("source").isin(*[k for k, v in rules.items() if test(v)])
+    columns = [c for c in current.columns if c not in keys]
+    listed = incoming.join(ok_sources.select("source").distinct(), "source", "left_semi").select(*keys, F.struct(*columns).alias("i"))
+    stored = current.select(*keys, F.struct(*columns).alias("c"))
+    answered = ok_sources.select("source").distinct().join(listed.select("source").distinct().withColumn("_some", F.lit(True)), "source", "left").withColumn("_ok", F.lit(True))
+    both = stored.join(listed, keys, "full").join(answered, "source", "left")
+    same = reduce(lambda a, b: a & b, [F.col(f"c.{c}").eqNullSafe(F.col(f"i.{c}")) for c in TRACKED if c in columns])
+    gone = F.col("_ok") & (rule(lambda r: r[0] == "mirror") | rule(lambda r: r[0] == "mirror unless empty") & F.col("_some"))
+    change = F.when(F.col("c").isNull(), "insert").when(F.col("i").isNull(), F.when(gone, "delist").otherwise("keep")).when(same | rule(lambda r: r[1]), "keep").otherwise("update")
+    out = both.withColumn("change", change).where("change != 'delist'")
+    row = F.when(F.col("change").isin("insert", "update"), F.col("i")).otherwise(F.col("c"))
+    out = out.withColumn("row", row).select(*keys, *(F.col(f"row.{c}").alias(c) for c in columns), "change").select(*current.columns, "change")
+    return out.where(~rule(lambda r: r[2]) | (F.coalesce("last_seen", "first_seen") >= now - F.expr(f"INTERVAL {keep_days} DAYS")))
 
 
 def strongest_reading(rows: DataFrame) -> DataFrame:
@@ -173,23 +207,48 @@ def top_k(rows: DataFrame, key: str, order: list[Column], k: int = 5) -> DataFra
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("rank") <= k)
 
 
+def refused_calls(calls: DataFrame, limits: DataFrame, per_minute: int = 60, per_day: int = 5000) -> DataFrame:
+    """``calls`` (ts, token) with ``refused``: minute, day or null. The first calls of a UTC minute, then of a UTC day, pass; a limit of 0 refuses all.
+
+    Calls over the minute's limit don't count for the day. Windows are a token's minutes and days, so no task gets more than a token's calls of one day.
+    """
+    known = calls.join(F.broadcast(limits), "token", "left").withColumns({"pm": F.coalesce("per_minute", F.lit(per_minute)), "pd": F.coalesce("per_day", F.lit(per_day))})
+    minute = Window.partitionBy("token", F.date_trunc("minute", "ts")).orderBy("ts")
+    known = known.withColumn("_over", F.row_number().over(minute) > F.col("pm"))
+    day = Window.partitionBy("token", F.to_date("ts")).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    passed = F.count_if(~F.col("_over")).over(day)
+    return known.withColumn("refused", F.when(F.col("_over"), "minute").when(passed > F.col("pd"), "day")).drop("_over", "pm", "pd", "per_minute", "per_day")
+
+
 def call_usage(calls: DataFrame, limits: DataFrame, per_minute: int = 60, per_day: int = 5000) -> DataFrame:
-    """Calls of each token and UTC day: made, refused by the minute limit, and whether 80 % of the day's limit is reached."""
+    """Calls of each token and UTC day: made, refused by the minute's or the day's limit, and whether 80 % of the day's limit is reached.
+
+    Counted by minutes first, so that rows are folded before they travel. limits: token, per_minute, per_day, one row a token.
+    """
     minutes = calls.groupBy("token", F.date_trunc("minute", "ts").alias("minute")).agg(F.count(F.lit(1)).alias("n"))
     known = minutes.join(limits, "token", "left").withColumns({"pm": F.coalesce("per_minute", F.lit(per_minute)), "pd": F.coalesce("per_day", F.lit(per_day))})
-    return known.groupBy("token", F.to_date("minute").alias("day")).agg(
-        F.sum("n").alias("n_calls"), F.sum(F.greatest(F.col("n") - F.col("pm"), F.lit(0))).alias("n_refused"), F.max("pd").alias("_pd")).select(
-        "token", "day", "n_calls", "n_refused", (F.col("n_calls") >= 0.8 * F.col("_pd")).alias("alert"))
+    days = known.groupBy("token", F.to_date("minute").alias("day")).agg(
+        F.sum("n").alias("n_calls"), F.sum(F.greatest(F.col("n") - F.col("pm"), F.lit(0))).alias("over_minute"), F.max("pd").alias("pd"))
+    passed = F.col("n_calls") - F.col("over_minute")
+    return days.select("token", "day", "n_calls", (F.col("over_minute") + F.greatest(passed - F.col("pd"), F.lit(0))).alias("n_refused"), (F.col("n_calls") >= 0.8 * F.col("pd")).alias("alert"))
 
 
 def freshness(reports: DataFrame, today: Column) -> DataFrame:
-    """current, behind or empty, with the days behind."""
+    """current, behind or empty, with the days behind; unreadable where days are stored but none can be read as a date.
+
+    reports: report_date, one row a stored day.
+    """
     state = reports.agg(F.max("report_date").alias("newest"), F.count(F.lit(1)).alias("total"))
     late = F.datediff(today, "newest")
-    return state.select("newest", "total", late.alias("days_behind"), F.when(F.col("total") == 0, "empty").when(late <= 0, "current").otherwise("behind").alias("state"))
+    return state.select("newest", "total", late.alias("days_behind"), F.when(F.col("total") == 0, "empty").when(F.col("newest").isNull(), "unreadable").when(late <= 0, "current").otherwise("behind").alias("state"))
+
+
+def is_stale(exported_at: Column, now: Column, hours: int = 26) -> Column:
+    """A side whose last export is missing or older than ``hours``."""
+    return F.coalesce(exported_at < now - F.expr(f"INTERVAL {hours} HOURS"), F.lit(True))
 
 
-def content_version(df: DataFrame, columns: list[str], buckets: int = 256) -> DataFrame:
+def content_version(df: DataFrame, columns: list[str]) -> DataFrame:
     """One digest of a table's content, whatever the row order; folded in two levels so that no task gets all rows."""
     row = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]), 256)
     part = df.select(row.alias("h")).groupBy(F.substring("h", 1, 4).alias("p")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("d"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vigil.functions import addresses as A
 from vigil.functions import text as T
 from vigil.functions import urls as U
 
@@ -13,87 +14,163 @@ from vigil.functions import urls as U
 PATTERNS = (
     ("cve", r"(?iU)\bCVE-\d{4}-\d{4,7}\b"),
     ("hash", r"(?i)(?<![0-9a-f])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![0-9a-f])"),
-    ("url", r"(?i)\b(?:hxxps?|https?)://[^\s<>\"']+"),
+    ("url", r"(?iU)\b(?:hxxps?|https?)://[^\s<>\"']+"),
     ("ip", r"(?<!\d)(?:\d{1,3}(?:\.|\[\.\]|\(\.\))){3}\d{1,3}(?!\d)"),
+    ("ip", r"(?i)(?<![0-9a-f:])(?:[0-9a-f]{0,4}:){2,7}[0-9a-f]{0,4}(?![0-9a-f:])"),
     ("filename", r"(?iU)(?<![\w.-])[\w@+-][\w@().+-]*\.(?:exe|dll|sys|ps1|bat|cmd|vbs|js|jar|py|zip|rar|7z|hta|msi|scr|elf|bin|dat|pem|lnk|iso|img|doc|docx|xls|xlsx|ppt|pptx|pdf|"
                  r"tmp|enc|dmp|bak|log|apk|jse|wsf|pif|mov)(?![\w-]|\.[a-z0-9])"),
     ("domain", r"(?iU)(?<![\w@.-])(?:[a-z0-9-]{1,63}(?:\.|\[\.\]|\(\.\))){1,}(?:[a-z]{2,63}|xn--[a-z0-9-]{2,59}|i2p)(?![\w-]|\.[a-z0-9])"),
 )
+# Words before a match that make it a version number, or a file's name.
 VERSION_BEFORE = r"(?i)(?:versions?\s+up\s+to(?:\s*,\s*and\s+including)?|\band\s+including|\bversions?\b)\s*,?\s*$"
 FILE_BEFORE = r"(?i)\b(?:file\s*names?(?:\(s\))?|attachments?|documents?|payloads?|files?)\s*(?:is|are|named|called)?\s*[:=]?\s*$"
+# How a text names a malware family (group 1: named, 2: named by a verb, 3: stands before its kind, 4: Chinese) and a technique.
+FAMILY = (
+    r"""(?U)(?:(?i:malware(?:\s+family)?|ransomware(?:\s+family)?|backdoor|trojan|botnet|wiper|stealer|rat|implant|loader|toolset|threat\s+(?:group|actor)|apt(?:\s+group)?)"""
+    r"""\s+(?i:family\s+)?(?i:known\s+as|named|called|tracked\s+as|dubbed)\s+["']?([A-Z][A-Za-z0-9][\w+.-]{2,40}))"""
+    r"""|(?:(?i:known|tracked|dubbed|named|called)\s+(?:(?i:the|this|a|an)\s+)?(?i:malware|ransomware|backdoor|trojan|botnet|wiper|stealer|rat|implant|loader|toolset|campaign|family)\s+"""
+    r"""(?i:as|to\s+be)\s+["']?([A-Z][A-Za-z0-9][\w+.-]{2,40}))"""
+    r"""|(?:["']?([A-Z][A-Za-z0-9][\w+.-]{2,40})["']?\s+(?i:ransomware|backdoor|stealer|wiper|botnet)\b)"""
+    r"""|(?:(?:惡意程式|勒索軟體|後門|木馬|間諜軟體|攻擊組織)\s*(?:家族)?(?:稱為|名為|即)\s*["']?([A-Za-z0-9][\w+.-]{2,40}))""")
+TECHNIQUE = r"(?iU)(?:(?:MITRE\s+)?ATT(?:&|＆)CK|MITRE)\s+(?:technique\s+)?(?:ID\s*)?(T\d{4}(?:\.\d{3})?)|(T\d{4}(?:\.\d{3})?)\s*(?:(?:MITRE\s+)?ATT(?:&|＆)CK)"
+DESCRIPTOR = r"(?i)-(?:based|delivered|powered|themed|style|linked|related|driven)$"
+GENERIC_NAMES = (
+    "after", "against", "alleged", "another", "android", "attackers", "before", "claims", "confirms", "custom", "cyber", "during", "element", "encrypted", "following", "generic", "group", "hackers",
+    "incident", "into", "java", "known", "latest", "linux", "macos", "major", "malicious", "new", "node.js", "python", "recent", "related", "researchers", "suspected", "that", "their", "these", "this",
+    "those", "unknown", "when", "where", "which", "while", "windows", "with")
 NETWORK = ("ip", "domain", "url")
+#: A line that none of the patterns can match has none of these.
+_INDICATOR_SIGN = r"(?i)[.\])][a-z0-9\[(@_+-]|:[0-9a-f]*:|cve-|[0-9a-f]{32}|://"
+_CLAIM_SIGN = r"(?i)malware|ransomware|backdoor|trojan|botnet|wiper|stealer|\brat\b|implant|loader|toolset|threat|\bapt\b|campaign|family|t\d{4}|[惡勒後木間攻]"
 
 
 def lines_of(articles: DataFrame) -> DataFrame:
-    """One row a line with its section and zone, carried forward from the last heading."""
-    lines = articles.select("url", "publisher_hosts", F.posexplode(T.body_lines(F.col("body"))).alias("ln", "line"))
-    kind = T.heading_kind(F.col("line"))
-    marked = F.col("line").rlike(r"^\s*#{1,6}\s+")
-    order = Window.partitionBy("url").orderBy("ln")
-    heading = F.when(marked | kind.isNotNull(), F.struct(T.normalize_heading(F.col("line")).alias("section"), F.when(kind == "ioc", "ioc").when(kind == "excluded", "excluded").otherwise("general").alias("zone")))
-    carried = F.last(heading, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    context = F.array_join(F.filter(F.array(F.trim(F.lag("line").over(order)), F.trim("line"), F.trim(F.lead("line").over(order))), lambda x: x.isNotNull() & (x != "")), "\n")
-    out = lines.withColumns({"is_heading": heading.isNotNull(), "at": carried, "context": context})
-    zone = F.when(F.lower(F.trim("line")).startswith("related:"), "excluded").otherwise(F.coalesce("at.zone", F.lit("general")))
-    return out.select("url", "publisher_hosts", "ln", "line", "is_heading", F.col("at.section").alias("section"), zone.alias("zone"), "context")
+    """One row a line with its section and zone, which the last heading before it decides, and its context.
 
+    Works on each article's array of lines, without a shuffle, so that it serves streams too.
+    """
+    others = [c for c in ("publisher_hosts",) if c in articles.columns]
+    rows = articles.select("url", *others, F.sha2(F.coalesce("body", F.lit("")), 256).alias("body_sha256"), T.body_lines(F.col("body")).alias("ls"))
+    kind = lambda x: F.when(T.heading_kind(x) == "ioc", "ioc").when(T.heading_kind(x) == "excluded", "excluded").otherwise("general")
+    heads = F.array_compact(F.transform("ls", lambda x, i: F.when(T.is_heading(x), F.struct(i.alias("i"), F.trim(x).alias("section"), kind(x).alias("zone")))))
+    rows = rows.withColumn("heads", heads)
+    rows = rows.select("*", F.posexplode("ls").alias("ln", "line"))
+    last = F.try_element_at(F.filter("heads", lambda h: h["i"] <= F.col("ln")), F.lit(-1))
+    near = F.array(F.trim(F.get("ls", F.col("ln") - 1)), F.trim("line"), F.trim(F.get("ls", F.col("ln") + 1)))
+    rows = rows.select("url", *others, "body_sha256", "ln", "line", last.alias("at"), F.array_join(F.filter(near, lambda x: x != ""), "\n").alias("context"))
+    zone = F.when(F.col("line").rlike(T.RELATED_LINE), "excluded").otherwise(F.coalesce("at.zone", F.lit("general")))
+    return rows.select("url", *others, "body_sha256", "ln", "line", F.coalesce(F.col("at.i") == F.col("ln"), F.lit(False)).alias("is_heading"),
+                       F.coalesce("at.section", F.lit("article body")).alias("section"), zone.alias("zone"), "context")
 
-def line_matches(lines: DataFrame) -> DataFrame:
-    """One row a match: kind, prio, start and end (0-based, end exclusive) of each pattern in each line."""
-    def cells(prio: int, kind: str, pattern: str) -> Column:
-        # pieces between marks: even ones are text, odd ones matches
-        def marked(pieces: Column) -> Column:
-            def cell(x: Column, i: Column) -> Column:
-                start = F.aggregate(F.slice(pieces, F.lit(1), i), F.lit(0), lambda a, p: a + F.length(p))
-                return F.when(i % 2 == 1, F.struct(F.lit(prio).alias("prio"), start.alias("start"), (start + F.length(x)).alias("end"), F.lit(kind).alias("kind"), x.alias("raw")))
 
-            return F.array_compact(F.transform(pieces, cell))
+def _matches(line: Column, prio: int, kind: str, pattern: str) -> Column:
+    """Array of (prio, start, end, kind, raw) of a pattern's matches; start and end are 0-based, end exclusive."""
+    def marked(pieces: Column) -> Column:  # pieces between marks: even ones are text, odd ones matches
+        def cell(x: Column, i: Column) -> Column:
+            start = F.aggregate(F.slice(pieces, F.lit(1), i), F.lit(0), lambda a, p: a + F.length(p))
+            return F.when(i % 2 == 1, F.struct(F.lit(prio).alias("prio"), start.alias("start"), (start + F.length(x)).alias("end"), F.lit(kind).alias("kind"), x.alias("raw")))
+
+        return F.array_compact(F.transform(pieces, cell))
+
+    return U.let(F.split(F.regexp_replace(line, f"({pattern})", "\x01$1\x01"), "\x01"), marked)
 
-        return U.let(F.split(F.regexp_replace("line", f"({pattern})", "\x01$1\x01"), "\x01"), marked)
 
-    found = [cells(prio, kind, pattern) for prio, (kind, pattern) in enumerate(PATTERNS)]
-    return lines.where("NOT is_heading").withColumn("found", F.flatten(F.array(*found))).where(F.size("found") > 0)
+_MATCH = "array<struct<prio int, start int, end int, kind string, raw string>>"
+
+
+def line_matches(lines: DataFrame) -> DataFrame:
+    """Add ``found``, the matches of all indicator patterns, and ``claims``, those of the claim patterns; headings are not read."""
+    line = F.translate("line", "\x01", " ")
+    empty = F.array().cast(_MATCH)
+    found = F.flatten(F.array(*[_matches(line, prio, kind, pattern) for prio, (kind, pattern) in enumerate(PATTERNS)]))
+    claims = F.concat(_matches(line, 90, "malware_family", FAMILY), _matches(line, 91, "attack_technique", TECHNIQUE))
+    return lines.where("NOT is_heading").withColumns({
+        "found": F.when(F.col("line").rlike(_INDICATOR_SIGN), found).otherwise(empty),
+        "claims": F.when(F.col("line").rlike(_CLAIM_SIGN), claims).otherwise(empty)})
+
+
+def _judged(line: Column, m: Column, tlds: tuple[str, ...]) -> Column:
+    """The match under its final kind; null if it is no indicator. A name that the line introduces as a file is one, whatever its ending."""
+    before = F.substr(line, F.lit(1), m["start"])
+    as_file = (m["kind"] == "domain") & F.right(before, F.lit(80)).rlike(FILE_BEFORE)
+    normal = U.normalize_indicator(m["raw"], m["kind"])
+    labels = F.split(normal, r"\.")
+    host = F.element_at(labels, -1).isin(*tlds) & F.forall(labels, lambda x: (x != "") & (F.length(x) <= 63) & ~x.startswith("-") & ~x.endswith("-"))
+    good = (F.when(m["kind"] == "ip", (U.ipv4_to_long(normal).isNotNull() | A.ipv6_hex(normal).isNotNull()) & ~before.rlike(VERSION_BEFORE))
+            .when(m["kind"] == "domain", ~before.rlike(r"[/\\]$") & (as_file | host)).otherwise(True))
+    kind = F.when(as_file, "filename").when(m["kind"] == "hash", U.hash_type(m["raw"])).otherwise(m["kind"])
+    return F.when(good, F.struct(m["prio"].alias("prio"), m["start"].alias("start"), m["end"].alias("end"), kind.alias("kind"), m["raw"].alias("raw")))
+
+
+def _claimed(m: Column) -> Column:
+    """The claim with the name it makes in ``raw``; null for generic names and for words that describe."""
+    groups = [F.nullif(F.regexp_extract(m["raw"], FAMILY, g), F.lit("")) for g in range(1, 5)]
+    family = F.regexp_replace(F.coalesce(*groups), r"[.,;:]+$", "")
+    technique = F.coalesce(*[F.nullif(F.regexp_extract(m["raw"], TECHNIQUE, g), F.lit("")) for g in (1, 2)])
+    weak = (m["kind"] == "malware_family") & groups[0].isNull() & groups[1].isNull() & groups[2].isNotNull()
+    good = F.when(m["kind"] == "malware_family", ~F.lower(family).isin(*GENERIC_NAMES) & ~family.rlike(DESCRIPTOR)).otherwise(True)
+    name = F.when(m["kind"] == "malware_family", family).otherwise(technique)
+    return F.when(good, F.struct(F.when(weak, 92).otherwise(m["prio"]).alias("prio"), m["start"].alias("start"), m["end"].alias("end"), m["kind"].alias("kind"), name.alias("raw")))
 
 
 def resolve_overlaps(matches: DataFrame, tlds: tuple[str, ...]) -> DataFrame:
-    """Valid matches by precedence, then from the left; one that overlaps an accepted one is dropped, an invalid one takes no space."""
-    before = F.expr("substr(line, 1, m.start)")
-    normal = U.undefang(F.col("m.raw"))
-    rows = matches.select("url", "publisher_hosts", "ln", "line", "section", "zone", "context", F.explode("found").alias("m"))
-    good = (
-        F.when(F.col("m.kind") == "ip", U.ipv4_to_long(normal).isNotNull() & ~before.rlike(VERSION_BEFORE))
-        .when(F.col("m.kind") == "domain", ~before.rlike(r"[/\\]$") & F.lower(F.element_at(F.split(normal, r"\."), -1)).isin(*tlds) & ~normal.rlike(r"(^|\.)-|-(\.|$)"))
-        .otherwise(True))
-    kind = F.when((F.col("m.kind") == "domain") & F.expr("right(substr(line, 1, m.start), 80)").rlike(FILE_BEFORE), "filename").when(
-        F.col("m.kind") == "hash", U.hash_type(F.col("m.raw"))).otherwise(F.col("m.kind"))
-    rows = rows.where(good).withColumn("m", F.struct("m.prio", "m.start", "m.end", kind.alias("kind"), "m.raw"))
-    per_line = rows.groupBy("url", "publisher_hosts", "ln", "section", "zone", "context").agg(F.array_sort(F.collect_list("m")).alias("ms"))
-    empty = F.slice("ms", 1, 0)
+    """Valid matches by precedence, then from the left; one that overlaps an accepted one is dropped, an invalid one takes no space. Claims overlap nothing."""
+    valid = matches.withColumn("valid", F.array_compact(F.transform("found", lambda m: _judged(F.col("line"), m, tlds))))
     free = lambda acc, m: ~F.exists(acc, lambda a: (a["start"] < m["end"]) & (m["start"] < a["end"]))
-    taken = F.aggregate("ms", empty, lambda acc, m: F.when(free(acc, m), F.concat(acc, F.array(m))).otherwise(acc))
-    return per_line.select("url", "publisher_hosts", "ln", "section", "zone", "context", F.inline(taken))
+    taken = F.aggregate("valid", F.array().cast(_MATCH), lambda acc, m: F.when(free(acc, m), F.concat(acc, F.array(m.cast("struct<prio int, start int, end int, kind string, raw string>")))).otherwise(acc))
+    claims = F.array_compact(F.transform("claims", _claimed)).cast(_MATCH)
+    rows = valid.withColumn("all", F.concat(taken, claims))
+    kept = [c for c in matches.columns if c not in ("line", "found", "claims")]
+    # exploded outer: for a plain one the optimizer would test the array's size first, by all its expressions again
+    return rows.select(*kept, F.inline_outer("all")).where("kind IS NOT NULL")
 
 
 def classify(found: DataFrame) -> DataFrame:
-    """Status and reason: excluded zone, publisher, unreadable URL, non-public address, CVE, indicator section, else candidate."""
+    """Status, kind of assertion and reason: excluded zone, publisher, unreadable URL, non-public address, CVE, claim, indicator section, else candidate."""
     value = U.normalize_indicator(F.col("raw"), F.col("kind"))
-    host = F.when(F.col("kind") == "url", U.url_host(value)).when(F.col("kind") == "domain", value)
-    ours = F.exists("publisher_hosts", lambda h: (host == h) | host.endswith(F.concat(F.lit("."), h)))
+    bare = lambda h: F.regexp_replace(h, r"^www\.", "")
+    host = bare(F.when(F.col("kind") == "url", U.url_host(value)).when(F.col("kind") == "domain", value))
+    ours = F.exists("publisher_hosts", lambda h: (h != "") & ((host == bare(h)) | host.endswith(F.concat(F.lit("."), bare(h)))))
+    readable = U.url_host(value).rlike(r"^[a-z0-9._-]+$|^[0-9a-f:.]*:[0-9a-f:.]*$")
     reason = (
         F.when(F.col("zone") == "excluded", "excluded_editorial_section").when(ours, "publisher_domain")
-        .when((F.col("kind") == "url") & ~host.rlike(r"^[a-z0-9._-]+$"), "unreadable_url").when((F.col("kind") == "ip") & ~U.is_public_ip(value), "non_public_ip")
-        .when(F.col("kind") == "cve", "explicit_cve_identifier").when(F.col("zone") == "ioc", "explicit_ioc_section").otherwise("context_requires_human_review"))
-    status = F.when(reason.isin("explicit_cve_identifier", "explicit_ioc_section"), "confirmed").when(reason == "context_requires_human_review", "candidate").otherwise("rejected")
-    return found.select("url", F.col("kind").alias("indicator_type"), F.col("raw").alias("raw_value"), value.alias("normalized_value"), (F.col("ln") + 1).alias("line_number"),
-                        (F.col("start") + 1).alias("column_start"), (F.col("end") + 1).alias("column_end"), "section", "context", status.alias("status"), F.array(reason).alias("reason_codes"))
+        .when((F.col("kind") == "url") & ~readable, "unreadable_url").when((F.col("kind") == "ip") & ~F.coalesce(A.is_public_address(value), F.lit(False)), "non_public_ip")
+        .when(F.col("kind") == "cve", "explicit_cve_identifier").when(F.col("prio") == 92, "apposition_requires_human_review")
+        .when(F.col("kind").isin("malware_family", "attack_technique"), "explicit_source_label")
+        .when(F.col("zone") == "ioc", "explicit_ioc_section").otherwise("context_requires_human_review"))
+    rows = found.withColumns({"normalized_value": value, "reason": reason})
+    confirmed = F.col("reason").isin("explicit_cve_identifier", "explicit_source_label", "explicit_ioc_section")
+    candidate = F.col("reason").isin("context_requires_human_review", "apposition_requires_human_review")
+    pick = lambda a, b, c: F.when(confirmed, a).when(candidate, b).otherwise(c)
+    return rows.select("url", "body_sha256", F.col("kind").alias("indicator_type"), F.col("raw").alias("raw_value"), "normalized_value", (F.col("ln") + 1).alias("line_number"),
+                       (F.col("start") + 1).alias("column_start"), (F.col("end") + 1).alias("column_end"), "section", "context", pick("confirmed", "candidate", "rejected").alias("status"),
+                       pick("source_explicit", "machine_candidate", "machine_rejected").alias("assertion_kind"), F.array("reason").alias("reason_codes"))
 
 
 def extract_evidence(articles: DataFrame, tlds: tuple[str, ...]) -> DataFrame:
-    """Evidence rows of all articles, with a stable id."""
+    """Evidence rows of all articles (url, body, publisher_hosts), with a stable id. Row by row, without a shuffle: batch and stream alike."""
     found = classify(resolve_overlaps(line_matches(lines_of(articles)), tlds))
-    body = articles.select("url", F.sha2(F.coalesce("body", F.lit("")), 256).alias("body_sha256"))
-    key = F.concat_ws("\n", "body_sha256", "url", "line_number", "column_start", "column_end", "indicator_type", "normalized_value")
-    return found.join(body, "url").withColumn("evidence_id", F.substring(F.sha2(key, 256), 1, 20)).drop("body_sha256")
+    key = F.concat_ws("\n", "body_sha256", "url", "line_number", F.col("column_start") - 1, F.col("column_end") - 1, "indicator_type", "normalized_value")
+    return found.withColumn("evidence_id", F.substring(F.sha2(key, 256), 1, 20)).drop("body_sha256")
+
+
+def local_windows(evidence: DataFrame, articles: DataFrame) -> DataFrame:
+    """Add ``window``: the words next to each value. For a CVE its line and up to four more, until a blank line or another CVE; else its line, and the next if that names a score and no other CVE.
+
+    Lines are those of ``impact_lines``; a value that only stands elsewhere has the lines of its context that name it. articles: url, body, one row a url.
+    """
+    rows = evidence.join(articles.select("url", T.impact_lines(F.coalesce("body", F.lit(""))).alias("_ls")), "url", "left")
+    names = lambda x: F.lower(x).contains(F.lower("normalized_value")) | F.lower(x).contains(F.lower("raw_value"))
+    other = lambda x: F.exists(F.regexp_extract_all(x, F.lit(T.CVE), F.lit(0)), lambda c: F.upper(c) != F.upper("normalized_value"))
+    place = F.array_position(F.transform("_ls", names), F.lit(True))
+    rows = rows.withColumn("_p", F.coalesce(place, F.lit(0)))
+    after = F.slice("_ls", F.col("_p").cast("int") + 1, 4)
+    stop = F.array_position(F.transform(after, lambda x: (x == "") | other(x)), F.lit(True))
+    cve = F.slice(after, F.lit(1), F.when(stop > 0, stop.cast("int") - 1).otherwise(4))
+    score = F.filter(F.slice("_ls", F.col("_p").cast("int") + 1, 1), lambda x: x.rlike(T.CVSS) & ~other(x))
+    own = F.concat(F.slice("_ls", F.col("_p").cast("int"), 1), F.when(F.col("indicator_type") == "cve", cve).otherwise(score))
+    text = F.when(F.col("_p") > 0, F.array_join(own, "\n")).otherwise(F.array_join(F.filter(F.split("context", "\n"), names), "\n"))
+    return rows.withColumn("window", text).drop("_ls", "_p")
 
 
 def first_per_article(evidence: DataFrame) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vigil.functions import urls as U
+from vigil.functions.addresses import canonical_ipv6, ipv6_hex
 from vigil.plans.materialize import materialize
 
 
@@ -39,22 +42,42 @@ def parents(host: Column, suffix_labels: Column) -> Column:
     return F.when(spare > 0, F.transform(F.sequence(F.lit(2), spare + 1), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).otherwise(F.array().cast("array<string>"))
 
 
+def parse_observables(observables: DataFrame, psl: DataFrame, skip: Callable[[Column, Column], Column]) -> DataFrame:
+    """input_index, value, type_used, skip, whole (the text or URL as compared), key (a URL's host, an address's short form) and suffix_labels, written once.
+
+    Parsing is long expressions, made column by column; the joins that follow read the written result. ``skip`` takes (guard's reason, type used).
+    """
+    if "type_supplied" not in observables.columns:
+        observables = observables.withColumn("type_supplied", F.lit(None).cast("string"))
+    rows = observables.select("input_index", "value", F.nullif("type_supplied", F.lit("")).alias("type_supplied"), F.trim(F.coalesce("value", F.lit(""))).alias("v"))
+    rows = materialize(rows.withColumn("plain", U.undefang(F.col("v"))), "restored")
+    rows = rows.withColumns({"host": U.looked_up_host(F.col("plain")), "type_used": F.coalesce("type_supplied", U.detect_type(F.col("plain")))})
+    rows = rows.withColumns({"v4": U.ipv4_to_long(F.col("host")), "v6": F.when(F.col("host").contains(":"), ipv6_hex(F.col("host")))})
+    guard = U.judge_guard(F.col("v"), F.col("plain"), F.col("host"), F.col("v4"), F.col("v6"))
+    named = F.when(F.col("type_used") == "url", F.coalesce(F.nullif("host", F.lit("")), F.lit(""))).otherwise(F.lower("plain"))
+    key = F.when(F.col("v6").isNotNull(), canonical_ipv6(F.col("v6"))).otherwise(named)
+    whole = F.when(F.col("type_used") == "ip", key).otherwise(U.whole_url_key(F.col("plain")))
+    parsed = materialize(rows.select("input_index", "value", "type_used", skip(guard, F.col("type_used")).alias("skip"), whole.alias("whole"), key.alias("key")), "parsed")
+    return materialize(public_suffix_depth(parsed, "key", psl), "asked")
+
+
 def match_observables(observables: DataFrame, corpus: DataFrame, excluded: DataFrame, psl: DataFrame) -> DataFrame:
-    """One verdict for every observable.
+    """One verdict for every observable (input_index, value and, where given, type_supplied), with the offline skip rules. See ``match_parsed``."""
+    return match_parsed(parse_observables(observables, psl, U.judge_skip), corpus, excluded, psl)
+
+
+def match_parsed(rows: DataFrame, corpus: DataFrame, excluded: DataFrame, psl: DataFrame) -> DataFrame:
+    """One verdict for every row of ``parse_observables``.
 
-    observables: input_index, value, type_supplied (may be null). corpus: value_lc, indicator_type, benign_basis (null or why the value
-    matches only exactly). excluded: value_lc. Precedence: exact match, whole exclusion, same host, host exclusion, nearest parent, smallest child.
-    Every relation is an equi-join; children meet at their registrable domain.
+    corpus: value_lc, benign_basis (null or why the value matches only exactly) and, where known, indicator_type. excluded: value_lc.
+    Precedence: exact match, whole exclusion, same host, host exclusion, nearest parent, smallest child. Every relation is an equi-join.
+    Of the names beneath a host only the smallest travels, so a domain with very many names costs no pairs. A value that the corpus has
+    twice is held back if one of its rows says so, by the smallest reason.
     """
-    known = corpus.select("value_lc", "benign_basis").dropDuplicates(["value_lc"])
-    detected = U.detect_type(U.undefang(F.col("value")))
-    # values are parsed once; six joins read the result
-    rows = materialize(observables.select("input_index", "value", "type_supplied", detected.alias("detected"), U.undefang(F.col("value")).alias("plain")), "parsed")
-    rows = materialize(rows.select(
-        "input_index", "value", F.coalesce("type_supplied", "detected").alias("type_used"), U.skip_reason(F.col("value"), F.col("type_supplied"), F.col("detected")).alias("skip"),
-        U.whole_url_key(F.col("plain")).alias("whole"), F.when(F.coalesce("type_supplied", "detected") == "url", U.url_host(F.col("plain"))).otherwise(F.lower("plain")).alias("key")), "observables")
-    asked = materialize(public_suffix_depth(rows.where("skip IS NULL").select("input_index", "type_used", "whole", "key"), "key", psl), "asked")
-    is_name = F.col("type_used").isin("domain", "url") & U.ipv4_to_long(F.col("key")).isNull()
+    kind = F.min("indicator_type") if "indicator_type" in corpus.columns else F.lit(None).cast("string")
+    known = corpus.groupBy("value_lc").agg(F.min("benign_basis").alias("benign_basis"), kind.alias("kind"))
+    asked = rows.where("skip IS NULL").select("input_index", "type_used", "whole", "key", "suffix_labels")
+    is_name = F.col("type_used").isin("domain", "url") & U.ipv4_to_long(F.col("key")).isNull() & ~F.col("key").contains(":")
 
     def hit(df: DataFrame, rank: int, method: str, depth: Column | None = None) -> DataFrame:
         return df.select("input_index", F.lit(rank).alias("rank"), (depth if depth is not None else F.lit(0)).alias("depth"), F.col("value_lc").alias("matched_value"), F.lit(method).alias("match_method"))
@@ -66,10 +89,10 @@ def match_observables(observables: DataFrame, corpus: DataFrame, excluded: DataF
     host_out = hit(asked.where("type_used = 'url'").join(excluded, F.col("key") == F.col("value_lc")), 4, "excluded_host")
     up = asked.where(is_name).select("input_index", F.posexplode(parents(F.col("key"), F.col("suffix_labels"))).alias("depth", "value_lc"))
     parent = hit(up.join(free, "value_lc"), 5, "parent_domain", F.col("depth"))
-    named = free.where(U.detect_type(F.col("value_lc")) == "domain")
-    under = public_suffix_depth(named, "value_lc", psl).select("value_lc", registrable(F.col("value_lc"), F.col("suffix_labels")).alias("apex")).where("apex != ''")
-    below = asked.where(is_name).withColumn("apex", registrable(F.col("key"), F.col("suffix_labels"))).where("apex != ''")
-    child = hit(below.join(under, "apex").where("endswith(value_lc, concat('.', key))"), 6, "child_domain")
+    # each name's ancestors down to its registrable domain; the smallest name of each meets the hosts
+    named = public_suffix_depth(free.where(F.when(F.col("kind").isNotNull(), F.col("kind")).otherwise(U.detect_type(F.col("value_lc"))) == "domain").select("value_lc"), "value_lc", psl)
+    under = named.select("value_lc", F.explode(parents(F.col("value_lc"), F.col("suffix_labels"))).alias("key")).groupBy("key").agg(F.min("value_lc").alias("value_lc"))
+    child = hit(asked.where(is_name).join(under, "key"), 6, "child_domain")
     found = exact
     for more in (whole_out, host, host_out, parent, child):
         found = found.unionByName(more)

@@ -28,16 +28,15 @@ SELECT report_date, seq, action, user_id % 17 = 0 AS kev,
   CASE WHEN user_id % 2 = 0 THEN '2024-02-0' || (1 + user_id % 9) END AS due_date, value AS target
 FROM ({SIGHTINGS}) s WHERE status = 'confirmed' AND indicator_type IN ('cve', 'domain')"""
 
-#: Blocklist rows now stored, and those of the newest read (other days, other threats, some gone).
-FEED_STORED = """
-SELECT 'feed' || (s_nationkey % 4) AS source, 'h' || s_suppkey || '.example.net' AS value, 'botnet' AS threat_type,
-  CAST('2024-01-01' AS DATE) + CAST(s_suppkey % 20 AS INT) AS first_seen, CAST('2024-01-05' AS DATE) + CAST(s_suppkey % 40 AS INT) AS last_seen
+#: Blocklist rows now stored, and those of the newest read (other days, other threats, some gone). One list is read without an answer.
+_FEED = """
+SELECT CASE s_nationkey % 3 WHEN 0 THEN 'threatfox' WHEN 1 THEN 'feodo' ELSE 'et_compromised' END AS source, 'domain' AS indicator_type, 'h' || {key} || '.example.net' AS value,
+  {threat} AS threat_type, 'family' || (s_suppkey % 5) AS malware, CAST(75 + s_suppkey % 20 AS INT) AS confidence, CAST(443 AS INT) AS port,
+  CAST('2024-01-01' AS DATE) + CAST(s_suppkey % 20 AS INT) AS first_seen, CAST({last} AS DATE) + CAST({key} % 40 AS INT) AS last_seen
 FROM supplier"""
-FEED_READ = """
-SELECT 'feed' || (s_nationkey % 4) AS source, 'h' || (s_suppkey + 10) || '.example.net' AS value,
-  CASE WHEN s_suppkey % 3 = 0 THEN 'phishing' ELSE 'botnet' END AS threat_type,
-  CAST('2024-01-01' AS DATE) + CAST(s_suppkey % 20 AS INT) AS first_seen, CAST('2024-01-15' AS DATE) + CAST((s_suppkey + 10) % 40 AS INT) AS last_seen
-FROM supplier WHERE s_suppkey % 5 != 0"""
+FEED_STORED = _FEED.format(key="s_suppkey", threat="'botnet'", last="'2024-01-05'")
+FEED_READ = _FEED.format(key="(s_suppkey + 10)", threat="CASE WHEN s_suppkey % 3 = 0 THEN 'phishing' ELSE 'botnet' END", last="'2024-01-05'") + " WHERE s_suppkey % 5 != 0 AND s_nationkey % 3 != 1"
+FEED_ANSWERED = "SELECT DISTINCT CASE s_nationkey % 3 WHEN 0 THEN 'threatfox' ELSE 'et_compromised' END AS source FROM supplier WHERE s_nationkey % 3 != 1"
 
 
 def view(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:

@@ -1,41 +1,26 @@
-"""Registered queries over the supplied tables, each beside the SQL text of the same result where SQL has one."""
+"""Registered queries over sightings, documents and pages, each beside the SQL text of the same result where SQL has one."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.functions import dates, text, urls
-from vigil.operators import analyst, corpus, extract, matching
+from vigil.functions import dates, html, text, urls
+from vigil.operators import analyst, corpus, extract, matching, report
 from vigil.operators.graph import connected_components
-from vigil.plans import inputs
-from vigil.plans.inputs import ACTIONS, FEED_READ, FEED_STORED, SIGHTINGS, articles, sightings, view
+from vigil.plans.inputs import ACTIONS, FEED_ANSWERED, FEED_READ, FEED_STORED, SIGHTINGS, articles, sightings, view
+from vigil.plans.registry import query
 from vigil.sources.tables import read_table
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 #: Delegated top-level domains that the documents and pages use.
 TLDS = ("com", "net", "org", "io", "uk", "onion", "i2p", "bit")
 PSL = [("com", "normal"), ("net", "normal"), ("org", "normal"), ("uk", "normal"), ("co.uk", "normal"), ("io", "normal"), ("example.net", "normal"), ("ck", "wildcard"), ("www.ck", "exception")]
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 S = f"WITH s AS ({SIGHTINGS}) "
 
 
-@query(S + """, c AS (SELECT *, lower(value) AS value_lc FROM s WHERE status = 'confirmed'),
+@query(S + """, c AS (SELECT *, lower(value) AS value_lc FROM s WHERE status = 'confirmed' AND indicator_type != 'filename'),
 f AS (SELECT value_lc, publisher, min(seq) AS o FROM c GROUP BY ALL),
 p AS (SELECT value_lc, array_to_string(list(publisher ORDER BY o), ',') AS publishers FROM f GROUP BY 1)
 SELECT value_lc, arg_min(indicator_type, report_date * 0 + 0 + seq) AS indicator_type, count(DISTINCT report_date) AS report_count, count(DISTINCT publisher) AS source_count,
@@ -55,7 +40,7 @@ def corpus_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(S + """, v AS (SELECT DISTINCT report_date, indicator_type, lower(value) AS v FROM s WHERE status = 'confirmed'),
-d AS (SELECT DISTINCT report_date FROM v),
+d AS (SELECT DISTINCT report_date FROM s),
 x AS (SELECT d.report_date, (SELECT count(*) FROM d y WHERE y.report_date = d.report_date - 1) AS had FROM d)
 SELECT x.report_date,
   CASE WHEN had > 0 THEN (SELECT count(*) FROM (SELECT indicator_type, v FROM v WHERE report_date = x.report_date EXCEPT SELECT indicator_type, v FROM v WHERE report_date = x.report_date - 1)) END AS n_new,
@@ -94,13 +79,13 @@ def latest_sighting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(S + """, d AS (SELECT report_date, row_number() OVER (ORDER BY report_date DESC) AS i FROM (SELECT DISTINCT report_date FROM s)),
-f AS (SELECT publisher, report_date, max(reason) AS error FROM s WHERE status = 'rejected' AND seq % 2 = 0 GROUP BY 1, 2),
+f AS (SELECT publisher, report_date, max(reason) AS error FROM s WHERE status = 'rejected' GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY publisher ORDER BY i) AS k FROM f JOIN d USING (report_date))
 SELECT publisher AS source, count(*) AS streak_days, min(report_date) AS since, arg_min(error, i) AS newest_error,
   count(*) % 2 = 0 AND bit_count(count(*) // 2) = 1 AS notify FROM r WHERE i = k GROUP BY 1""")
 def failure_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sightings(spark, sf_dir)
-    failed = rows.where("status = 'rejected' AND seq % 2 = 0").select(F.col("publisher").alias("source"), "report_date", F.col("reason").alias("error"))
+    failed = rows.where("status = 'rejected'").select(F.col("publisher").alias("source"), "report_date", F.col("reason").alias("error"))
     return corpus.failure_streaks(failed, rows.select("report_date"))
 
 
@@ -150,17 +135,19 @@ def merge_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.merge_sides(rows.where("status = 'confirmed'"), samples, feeds).select("indicator_type", "value_lc", "action", "news_first", "n_samples", "least_sha256", "n_listings", "last_seen")
 
 
-@query(f"""WITH c AS ({FEED_STORED}), i AS ({FEED_READ}),
-j AS (SELECT coalesce(c.source, i.source) AS source, coalesce(c.value, i.value) AS value, c.value AS cv, i.value AS iv, c.threat_type AS ct, i.threat_type AS it,
-  c.first_seen AS cf, i.first_seen AS if_, c.last_seen AS cl, i.last_seen AS il FROM c FULL JOIN i ON c.source = i.source AND c.value = i.value),
-k AS (SELECT *, CASE WHEN cv IS NULL THEN 'insert' WHEN iv IS NULL THEN CASE WHEN source = 'feed3' THEN 'keep' ELSE 'delist' END
-  WHEN ct IS NOT DISTINCT FROM it AND cl IS NOT DISTINCT FROM il THEN 'keep' ELSE 'update' END AS change FROM j),
-r AS (SELECT source, value, CASE WHEN change IN ('insert', 'update') THEN it ELSE ct END AS threat_type, CASE WHEN change IN ('insert', 'update') THEN if_ ELSE cf END AS first_seen,
+@query(f"""WITH c AS ({FEED_STORED}), i AS (SELECT * FROM ({FEED_READ}) r WHERE source IN ({FEED_ANSWERED})), a AS ({FEED_ANSWERED}), full_ AS (SELECT DISTINCT source FROM i),
+j AS (SELECT coalesce(c.source, i.source) AS source, coalesce(c.indicator_type, i.indicator_type) AS indicator_type, coalesce(c.value, i.value) AS value, c.value AS cv, i.value AS iv,
+  c.threat_type AS ct, i.threat_type AS it, c.malware AS cm, i.malware AS im, c.confidence AS cc, i.confidence AS ic, c.port AS cp, i.port AS ip, c.first_seen AS cf, i.first_seen AS if_, c.last_seen AS cl, i.last_seen AS il
+  FROM c FULL JOIN i ON c.source = i.source AND c.value = i.value),
+k AS (SELECT *, CASE WHEN cv IS NULL THEN 'insert'
+  WHEN iv IS NULL THEN CASE WHEN source IN (SELECT source FROM a) AND (source = 'feodo' OR source = 'et_compromised' AND source IN (SELECT source FROM full_)) THEN 'delist' ELSE 'keep' END
+  WHEN source = 'et_compromised' OR (ct IS NOT DISTINCT FROM it AND cl IS NOT DISTINCT FROM il AND cm IS NOT DISTINCT FROM im AND cc IS NOT DISTINCT FROM ic AND cp IS NOT DISTINCT FROM ip) THEN 'keep' ELSE 'update' END AS change FROM j),
+r AS (SELECT source, indicator_type, value, CASE WHEN change IN ('insert', 'update') THEN it ELSE ct END AS threat_type, CASE WHEN change IN ('insert', 'update') THEN im ELSE cm END AS malware,
+  CASE WHEN change IN ('insert', 'update') THEN ic ELSE cc END AS confidence, CASE WHEN change IN ('insert', 'update') THEN ip ELSE cp END AS port, CASE WHEN change IN ('insert', 'update') THEN if_ ELSE cf END AS first_seen,
   CASE WHEN change IN ('insert', 'update') THEN il ELSE cl END AS last_seen, change FROM k WHERE change != 'delist')
-SELECT * FROM r WHERE coalesce(last_seen, first_seen) >= DATE '2024-02-10' - 30""")
+SELECT * FROM r WHERE source != 'threatfox' OR coalesce(last_seen, first_seen) >= DATE '2024-02-10' - 30""")
 def merge_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored, read = view(spark, sf_dir, FEED_STORED, "supplier"), view(spark, sf_dir, FEED_READ, "supplier")
-    ok = read_table(spark, sf_dir, "supplier").select(F.concat(F.lit("feed"), F.col("s_nationkey") % 4).alias("source")).where("source != 'feed3'").distinct()
+    stored, read, ok = (view(spark, sf_dir, sql, "supplier") for sql in (FEED_STORED, FEED_READ, FEED_ANSWERED))
     return corpus.merge_feed(stored, read, ok, F.lit("2024-02-10").cast("date"))
 
 
@@ -171,7 +158,7 @@ def top_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH c AS (SELECT 'u' || (user_id % 3) AS token, date_trunc('minute', ts) AS minute, count(*) AS n FROM events GROUP BY 1, 2)
-SELECT token, CAST(minute AS DATE) AS day, CAST(sum(n) AS BIGINT) AS n_calls, CAST(sum(greatest(n - 1, 0)) AS BIGINT) AS n_refused, sum(n) >= 0.8 * 100 AS alert FROM c GROUP BY 1, 2""")
+SELECT token, CAST(minute AS DATE) AS day, CAST(sum(n) AS BIGINT) AS n_calls, CAST(sum(greatest(n - 1, 0)) + greatest(sum(n) - sum(greatest(n - 1, 0)) - 100, 0) AS BIGINT) AS n_refused, sum(n) >= 0.8 * 100 AS alert FROM c GROUP BY 1, 2""")
 def call_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls = read_table(spark, sf_dir, "events").select(F.concat(F.lit("u"), F.col("user_id") % 3).alias("token"), "ts")
     limits = calls.select("token").distinct().withColumns({"per_minute": F.lit(1), "per_day": F.lit(100)})
@@ -183,12 +170,12 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.freshness(sightings(spark, sf_dir).select("report_date").distinct(), F.lit("2024-02-01").cast("date"))
 
 
-@query(S + """, m AS (SELECT report_date, seq, value, action FROM s WHERE status = 'confirmed' AND contains(lower(value || ' ' || publisher), 'h1') AND action = 'block'),
+@query(S + """, m AS (SELECT report_date, seq, value, action FROM s WHERE status = 'confirmed' AND contains(lower(value || ' ' || publisher), 'h1') AND action = 'block' AND report_date >= DATE '2024-01-03'),
 x AS (SELECT *, row_number() OVER (ORDER BY report_date DESC, seq) AS k, count(*) OVER () > 50 AS truncated FROM m)
 SELECT report_date, seq, value, action, truncated FROM x WHERE k <= 50""")
 def search_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sightings(spark, sf_dir).where("status = 'confirmed' AND action = 'block'").where(F.contains(F.lower(F.concat_ws(" ", "value", "publisher")), F.lit("h1")))
-    return corpus.limit_with_flag(rows.select("report_date", "seq", "value", "action"), 50, [F.desc("report_date"), F.asc("seq")])
+    rows = sightings(spark, sf_dir).withColumnRenamed("publisher", "source")
+    return report.search_iocs(rows, "H1", action="block", since="2024-01-03").select("report_date", "seq", "value", "action", "truncated")
 
 
 @query(S + """, p AS (SELECT publisher, user_id, indicator_type, value, reading, seq FROM s)
@@ -270,7 +257,13 @@ def document_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("doc_id", "ip", urls.ipv4_to_long(F.col("ip")).alias("n"), urls.is_global_ip(F.col("ip")).alias("is_global")).where("n IS NOT NULL")
 
 
-@query()
+@query((S + """, c AS (SELECT DISTINCT report_date AS d, article_url AS a, value AS v FROM s WHERE status = 'confirmed' AND indicator_type = 'cve'),
+e AS (SELECT DISTINCT x.d, x.a, y.a AS b FROM c x JOIN c y USING (d, v)),
+r AS (SELECT d, a, b FROM e UNION SELECT r.d, r.a, e.b FROM r JOIN e ON r.d = e.d AND r.b = e.a),
+m AS (SELECT d, a, min(b) AS g FROM r GROUP BY 1, 2),
+g AS (SELECT d, g, list_sort(list(DISTINCT v)) AS cves, list_sort(list(DISTINCT a)) AS article_urls FROM m JOIN c USING (d, a) GROUP BY 1, 2)
+SELECT d AS report_date, left(sha256(array_to_string(cves, chr(10))), 16) AS cluster_id, CASE WHEN len(cves) > 1 THEN cves[1] || ' 等 ' || len(cves) || ' 個 CVE' ELSE cves[1] END AS label,
+  array_to_string(cves, ' ') AS cves, array_to_string(article_urls, ' ') AS article_urls, CAST(len(article_urls) AS INT) AS n_articles FROM g WHERE len(article_urls) >= 2""").replace("WITH s AS", "WITH RECURSIVE s AS"))
 def event_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles of a day joined by shared confirmed CVEs, one cluster of two articles or more a row; id and label as the reference names them."""
     rows = sightings(spark, sf_dir).where("status = 'confirmed' AND indicator_type = 'cve'").select("report_date", "article_url", "value").distinct()
@@ -282,13 +275,19 @@ def event_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, first = F.size("cves"), F.get("cves", F.lit(0))
     return found.select(
         "report_date", F.substring(F.sha2(F.array_join("cves", "\n"), 256), 1, 16).alias("cluster_id"), F.when(n > 1, F.concat(first, F.lit(" 等 "), n, F.lit(" 個 CVE"))).otherwise(first).alias("label"),
-        "cves", "article_urls", F.size("article_urls").alias("n_articles"))
+        F.array_join("cves", " ").alias("cves"), F.array_join("article_urls", " ").alias("article_urls"), F.size("article_urls").alias("n_articles"))
 
 
-@query("""SELECT page_id, length(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]*>', '', 'g')) > 0 AS has_body FROM pages""")
+@query(r"""WITH a AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS h FROM pages),
+p AS (SELECT page_id, list_filter(string_split(regexp_replace(h, '<(/?)(h[1-6]|p|li|pre|blockquote|tr)\b[^>]*>', chr(1) || '\1\2' || chr(2), 'g'), chr(1))[2:], lambda x: NOT starts_with(x, '/')) AS ps FROM a),
+t AS (SELECT page_id, list_transform(ps, lambda x: [string_split(x, chr(2))[1], trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(string_split(x, chr(2))[2], '<[^>]*>', ' ', 'g'),
+  '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '[ \t\n]+', ' ', 'g'))]) AS ts FROM p),
+b AS (SELECT page_id, list_transform(list_filter(ts, lambda y: y[2] != ''), lambda y: CASE WHEN y[1] LIKE 'h_' THEN '## ' ELSE '' END || y[2]) AS bs FROM t),
+c AS (SELECT page_id, array_to_string(list_filter(bs, lambda z, i: i = 1 OR z != bs[i - 1]), chr(10)) AS body FROM b)
+SELECT page_id, CASE WHEN length(body) >= 500 THEN 'semantic-selector:article' ELSE 'failed' END AS method, CASE WHEN length(body) >= 500 THEN body ELSE '' END AS body FROM c""")
 def page_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    html = text.strip_boilerplate(F.col("html"))
-    return read_table(spark, sf_dir, "pages").select("page_id", (F.length(text.clean_text(F.regexp_extract(html, r"(?s)<article>(.*)</article>", 1))) > 0).alias("has_body"))
+    pages = read_table(spark, sf_dir, "pages").withColumn("title", F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1))
+    return html.choose_body(pages).select("page_id", "method", "body")
 
 
 @query("""SELECT event_id, CAST(ts + INTERVAL 8 HOUR - INTERVAL 6 HOUR AS DATE) AS slot_day FROM events""")
@@ -299,12 +298,12 @@ def report_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(S + """, d AS (SELECT publisher, max(seen_at) AS newest FROM s GROUP BY 1), c AS (SELECT publisher, max(seen_at) AS collected FROM s WHERE status = 'confirmed' GROUP BY 1)
 SELECT publisher, collected IS NULL OR newest > collected AS missed FROM d LEFT JOIN c USING (publisher)""")
 def missed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sightings(spark, sf_dir)
-    newest = rows.groupBy("publisher").agg(F.max("seen_at").alias("newest"), F.max(F.when(F.col("status") == "confirmed", F.col("seen_at"))).alias("collected"))
-    return newest.select("publisher", (F.col("collected").isNull() | (F.col("newest") > F.col("collected"))).alias("missed"))
+    entries = sightings(spark, sf_dir).select(F.col("publisher").alias("source"), F.col("seen_at").alias("published_at"), "status")
+    return report.missed_sources(entries, entries.where("status = 'confirmed'")).select(F.col("source").alias("publisher"), "missed")
 
 
-@query()
+@query(S + """, h AS (SELECT sha256(concat_ws(chr(31), CAST(seq AS VARCHAR), CAST(report_date AS VARCHAR), value, status)) AS h FROM s),
+p AS (SELECT left(h, 4) AS p, sha256(string_agg(h, '' ORDER BY h)) AS d FROM h GROUP BY 1) SELECT sha256(string_agg(p || d, '' ORDER BY p || d)) AS version FROM p""")
 def corpus_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.content_version(sightings(spark, sf_dir), ["seq", "report_date", "value", "status"])
 
@@ -327,28 +326,3 @@ def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = spark.createDataFrame([("first", "blog.tionble.example.com", 1), ("com", "example.com", 2), ("net", "example.net", 3)], "source_key string, host string, pos int")
     pages = read_table(spark, sf_dir, "pages").select("page_id", urls.url_host(F.col("url")).alias("h"))
     return analyst.source_for_url(pages, "h", registry).select("page_id", "source_key")
-
-
-_BACKTEST_SQL = r"""WITH p AS (SELECT page_id, url, regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1) AS host FROM pages),
-v AS (SELECT CASE WHEN host IN (SELECT host FROM p WHERE page_id % 50 = 0) THEN 'excluded' WHEN host IN (SELECT regexp_replace(host, '^(m|blog)\.', '') FROM p WHERE page_id % 3 = 0) THEN 'hit' ELSE 'unseen' END AS status FROM p)
-"""
-
-
-@query(_BACKTEST_SQL + """SELECT count(*) AS submitted, 0 AS skipped, count(*) FILTER (status = 'hit') AS hits, count(*) FILTER (status = 'excluded') AS excluded, count(*) FILTER (status = 'unseen') AS unseen,
-count(*) AS processed, round(count(*) FILTER (status = 'hit') / count(*), 5) AS hit_rate FROM v""")
-def backtest_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked, known, excluded = _corpus_of_pages(spark, sf_dir)
-    return analyst.observable_rates(analyst.backtest_observables(asked.select("value"), known, excluded, known.limit(0)))
-
-
-@query()
-def action_board(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Actions of all documents read as articles."""
-    read = articles(spark, sf_dir).withColumns({"title": F.substring("body", 1, 80), "warnings": F.array().cast("array<string>")})
-    intel = spark.createDataFrame([], "cve_id string, kev boolean, cvss_score double, epss_score double")
-    resolvers = spark.createDataFrame([("8.8.8.8",), ("8.8.4.4",), ("1.1.1.1",), ("1.0.0.1",), ("9.9.9.9",)], "value string")
-    brands = spark.createDataFrame([("example.org",)], "host string")
-    return analyst.build_actions(read, extract.extract_evidence(read, TLDS), intel, resolvers, brands)
-
-
-__all__ = ["ORACLES", "QUERIES", "inputs"]

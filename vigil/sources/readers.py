@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -91,7 +91,7 @@ def read_watchlist(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 def read_observables(spark: SparkSession, path: str) -> DataFrame:
     """input_index, value, type_supplied, sample_id of one value a line or CSV with the header value[,type][,sample_id]; comments and blanks are skipped.
 
-    The file is read in one piece, as its line numbers name the rows.
+    The file is read in one piece and numbered in one task, as its line numbers name the rows; it is what a person hands in, at most some 100,000 lines.
     """
     text = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", "^\\ufeff", ""), "\r?\n")).alias("line", "text"))
     rows = text.where(~F.trim("text").startswith("#") & (F.trim("text") != ""))
@@ -129,10 +129,47 @@ def write_day(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report_date").parquet(path)
 
 
+CSV_COLUMNS = ("action", "priority", "is_new", "indicator_type", "normalized_value", "article_title", "article_url", "reason", "kev", "kev_due_date", "cvss_score", "cvss_severity", "epss_score", "epss_percentile")
+
+
 def to_action_csv(actions: DataFrame) -> DataFrame:
-    """Text columns of the actionable rows (patch, block, hunt): missing scores are blank, not zero; EPSS with five, its percentile with three decimals."""
-    blank = lambda c, f: F.coalesce(F.format_string(f, F.col(c)), F.lit(""))
-    scored = lambda c, f: F.when(F.col(c).isNull(), "").otherwise(blank(c, f))
-    return actions.where(F.col("action").isin("patch", "block", "hunt")).select(
-        "action", "priority", "target_type", "target", scored("cvss_score", "%.1f").alias("cvss_score"), scored("epss_score", "%.5f").alias("epss_score"),
-        scored("epss_percentile", "%.3f").alias("epss_percentile"), F.coalesce("reason", F.lit("")).alias("reason"))
+    """Text columns of the actionable rows (patch, block, hunt): what is missing is blank, not zero; EPSS has five decimals, its percentile three."""
+    def text(name: str) -> Column:
+        source = {"indicator_type": "target_type", "normalized_value": "target", "article_url": "url"}.get(name, name)
+        if source not in actions.columns:
+            return F.lit("")
+        value = F.col(source)
+        form = {"cvss_score": "%.1f", "epss_score": "%.5f", "epss_percentile": "%.3f"}.get(name)
+        shown = F.format_string(form, value) if form else value.cast("string")
+        return F.when(value.isNull(), "").otherwise(shown)
+
+    return actions.where(F.col("action").isin("patch", "block", "hunt")).select(*(text(c).alias(c) for c in CSV_COLUMNS))
+
+
+def write_validation(verdicts: DataFrame, summary: DataFrame, path: str) -> None:
+    """Verdicts as CSV with a header under ``path``/results, their rates as JSON under ``path``/summary."""
+    flat = [F.array_join(c, " ").alias(c) if t.startswith("array") else F.col(c) for c, t in verdicts.dtypes]
+    verdicts.select(*flat).write.mode("overwrite").option("header", True).csv(f"{path}/results")
+    summary.write.mode("overwrite").json(f"{path}/summary")
+
+
+def write_snapshot(tables: dict[str, DataFrame], path: str) -> None:
+    """Each table of a snapshot (values, excluded, cve, coverage, rules, version) as Parquet in its own folder."""
+    for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def pack_json(value: Column) -> Column:
+    """JSON text of an array, struct or map; null for null."""
+    return F.to_json(value)
+
+
+def unpack_json(text: Column, schema: str) -> Column:
+    """The value of a JSON text; null where it can't be read."""
+    return F.from_json(text, schema, {"mode": "PERMISSIVE"})
+
+
+def rules_version(rules: DataFrame, columns: tuple[str, ...] = ("rule", "kind")) -> DataFrame:
+    """One digest of a rule table, whatever its order; rule lists have some thousand rows."""
+    row = F.concat_ws("\t", *columns)
+    return rules.agg(F.sha2(F.array_join(F.array_sort(F.collect_set(row)), "\n"), 256).alias("version"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions import urls
-from vigil.operators.corpus import merge_feed
+from vigil.operators.corpus import is_stale, merge_feed, refused_calls
+from vigil.operators.extract import extract_evidence
+from vigil.operators.samples import merge_samples
 from vigil.sources.readers import write_day
 
 #: A report day starts at 06:00 in Taipei, which is 22:00 UTC.
@@ -33,6 +35,36 @@ def quota(calls: DataFrame, delay: str = "2 minutes") -> DataFrame:
     return calls.withWatermark("ts", delay).groupBy(F.window("ts", "1 minute").alias("minute"), "token").agg(F.count(F.lit(1)).alias("n_calls"))
 
 
+def refuse_calls(limits: DataFrame, write: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: marks the calls of a batch that the limits refuse. A batch holds whole minutes, as its trigger is a minute or more."""
+    return lambda batch, batch_id: write(refused_calls(batch, limits))
+
+
+def stream_evidence(articles: DataFrame, tlds: tuple[str, ...]) -> DataFrame:
+    """Evidence of arriving articles (url, body, publisher_hosts). Extraction works row by row, so the stream keeps no state."""
+    return extract_evidence(articles, tlds)
+
+
+def stream_samples(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Finished sample jobs as files arrive under ``path``; the checkpoint's file log is the high-water mark."""
+    return spark.readStream.schema(schema).json(path)
+
+
+def upsert_samples(read: Callable[[], DataFrame], write: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: a batch's samples replace the stored ones of the same hash, the last finished counts. Repeating a batch changes nothing."""
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        rest = [c for c in batch.columns if c != "sha256"]
+        last = batch.groupBy("sha256").agg(F.max_by(F.struct(*rest), "finished_at").alias("r")).select("sha256", "r.*").select(batch.columns)
+        write(merge_samples(read(), last))
+
+    return merge
+
+
+def staleness(sides: DataFrame, now: Callable[[], Column], alarm: Callable[[DataFrame], None], hours: int = 26) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function over ticks: hands over the sides (side, exported_at) whose last export is older than ``hours``."""
+    return lambda batch, batch_id: alarm(sides.where(is_stale(F.col("exported_at"), now(), hours)))
+
+
 def live_lookup(observables: DataFrame, corpus: DataFrame) -> DataFrame:
     """Each arriving observable (value) with the corpus row that it equals; stream to static join on the lookup key."""
     keyed = observables.withColumn("value_lc", urls.normalize_observable(F.col("value"), urls.detect_type(F.col("value"))))
