@@ -42,6 +42,8 @@ from vigil.plans.materialize import materialize
 LENGTH, ANCHOR = 200, 32
 #: Contents of one anchor that a block may hold, and bytes from which a block is closed.
 ANCHOR_RUNS, BLOCK_BYTES = 3000, 1 << 18
+#: Windows of a very long text that are worked at once, and tasks over which a window found very often is dealt.
+PIECE, SALTS = 4 << 20, 16
 _PLACE_BITS = 28
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64))
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -78,6 +80,18 @@ def runs_of(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np
     return starts, ends - starts + 1, h[anchor[starts]]
 
 
+def pieces(data: np.ndarray, off: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, place in it, bytes, offsets) of runs of whole texts, and of a very long text in pieces that share length - 1 bytes, so that each window is in one."""
+    for i, j in byte_slices(off):
+        part = data[off[i] : off[j]]
+        if j > i + 1 or len(part) <= PIECE:
+            yield i, 0, part, off[i : j + 1] - off[i]
+            continue
+        for at in range(0, len(part) - length + 1, PIECE):
+            piece = part[at : at + PIECE + length - 1]
+            yield i, at, piece, np.array([0, len(piece)])
+
+
 def _runs(keyed: DataFrame, length: int) -> DataFrame:
     """(h, fh, k1, k2, s, n): anchor hash, content hash, row, first window, windows."""
 
@@ -87,8 +101,7 @@ def _runs(keyed: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             data, off = text_bytes(batch.column("text"))
             k1, k2 = (batch.column(c).to_numpy() for c in ("k1", "k2"))
-            for i, j in byte_slices(off):
-                part, cut = data[off[i] : off[j]], off[i : j + 1] - off[i]
+            for i, begin, part, cut in pieces(data, off, length):
                 s, n, h = runs_of(part, cut, length)
                 if not len(s):
                     continue
@@ -97,7 +110,7 @@ def _runs(keyed: DataFrame, length: int) -> DataFrame:
                 doc = np.searchsorted(cut, s, "right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.view(np.int64)), pa.array(fh.view(np.int64)), pa.array(k1[i + doc]), pa.array(k2[i + doc]),
-                     pa.array((s - cut[doc]).astype(np.int32)), pa.array(n.astype(np.int32))], ["h", "fh", "k1", "k2", "s", "n"])
+                     pa.array((begin + s - cut[doc]).astype(np.int32)), pa.array(n.astype(np.int32))], ["h", "fh", "k1", "k2", "s", "n"])
 
     return keyed.select("k1", "k2", "text").mapInArrow(run, "h long, fh long, k1 long, k2 long, s int, n int")
 
@@ -207,8 +220,10 @@ def _repeated_by_count(segments: DataFrame, length: int) -> DataFrame:
                     ["w1", "w2", "alone", "k1", "k2", "s"])
 
     windows = segments.select("bytes", "alone", "k1", "k2", "s").mapInArrow(run, "w1 long, w2 long, alone boolean, k1 long, k2 long, s long")
-    often = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("w1", "w2")
-    return windows.where("alone").join(often, ["w1", "w2"], "left_semi").select("k1", "k2", "s", (F.col("s") + length).alias("e"))
+    # a passage that very many texts share has as many equal windows; they are dealt over SALTS tasks, the list of windows goes to each
+    often = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("w1", "w2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = windows.where("alone").withColumn("salt", F.pmod(F.xxhash64("k1", "s"), F.lit(SALTS)).cast("int"))
+    return dealt.join(often, ["w1", "w2", "salt"], "left_semi").select("k1", "k2", "s", (F.col("s") + length).alias("e"))
 
 
 def _with_keys(docs: DataFrame) -> DataFrame:
