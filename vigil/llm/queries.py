@@ -61,7 +61,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = spark.sql(f"SELECT * FROM VALUES {_RULES_SQL} AS rules(host, path, verdict)")
     return url_filter.filter_urls(read_table(spark, sf_dir, "pages"), rules)
 
 

@@ -89,6 +89,6 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", id_c
     hits = possible.join(hint(listed), ["key", "host_chars"]).groupBy("host", "path").agg(
         F.max(F.struct(F.length("key").alias("n"), "host_chars", "key", "verdict")).alias("best")
     )
-    return out.join(hits, ["host", "path"], "left").select(
-        id_col, "host", "path", F.col("best.key").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
-    )
+    # rows without a host fit no rule; kept out of the join, where they would all have one key
+    judged = out.where("host != ''").join(hits, ["host", "path"], "left").unionByName(out.where("host = ''"), allowMissingColumns=True)
+    return judged.select(id_col, "host", "path", F.col("best.key").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
