@@ -5,8 +5,9 @@ the exact bytes between the probes of every splitter's open interval, across all
 partitions, and keeps the sub-interval in which the splitter's target falls. A splitter
 is settled when an edge of its interval is within the tolerance of the target, or when
 the interval holds one key. Equal texts have one first key, so a group of copies is cut
-only where the tolerance cannot be met otherwise; then the second key splits it. Rows
-travel once, with the number that they have in their shard.
+only where the tolerance cannot be met otherwise; then the second key splits it. That is
+at most one group a splitter, and only one of more bytes than the tolerance; ``cut_groups``
+counts them. Rows travel once, with the number that they have in their shard.
 
 Only SQL functions are used. A round sends shards times probes rows to the driver,
 whatever the input's size. Edge cases: a null text has size 1; repeated rows share both
@@ -92,7 +93,7 @@ def find_splitters(keys: DataFrame, shards: int, tolerance: float) -> list[tuple
 def sort_keys(docs: DataFrame) -> tuple[Column, Column, Column]:
     """(size, first key, second key) of a document."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return (F.octet_length(text) + 1).cast("long"), _key(text), _key(F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit(7))
+    return (F.octet_length(text) + 1).cast("long"), _key(text), _key(F.col("doc_id"), F.lit(7))
 
 
 def shard_of(k1: Column, k2: Column, splitters: list[tuple[int, int]]) -> Column:
@@ -106,7 +107,7 @@ def shard_of(k1: Column, k2: Column, splitters: list[tuple[int, int]]) -> Column
     return shard
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, tolerance: float = 0.002) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 16, tolerance: float = 0.01) -> DataFrame:
     """Return doc_id, size, text_crc32, law (``bytes``), shard, slot and grown_shard (null under this law)."""
     size, k1, k2 = sort_keys(docs)
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
@@ -119,7 +120,13 @@ def shard_documents(docs: DataFrame, shards: int = 16, tolerance: float = 0.002)
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = 16, tolerance: float = 0.002, files_per_shard: int = 1) -> None:
+def cut_groups(sharded: DataFrame) -> DataFrame:
+    """One row: groups of equal texts (by size and checksum) with members in more than one shard, and all groups of more than one."""
+    groups = sharded.groupBy("size", "text_crc32").agg(F.count(F.lit(1)).alias("n"), F.min("shard").alias("a"), F.max("shard").alias("b"))
+    return groups.agg(F.count_if(F.col("a") != F.col("b")).alias("cut"), F.count_if(F.col("n") > 1).alias("groups"))
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = 16, tolerance: float = 0.01, files_per_shard: int = 1) -> None:
     """Write whole documents, one folder a shard: the rows travel once, to ``files_per_shard`` tasks a shard."""
     size, k1, k2 = sort_keys(docs)
     splitters = find_splitters(docs.select(size.alias("size"), k1.alias("k1"), k2.alias("k2")), shards, tolerance)
