@@ -230,6 +230,32 @@ def test_quality(spark, docs, empty, bits, monkeypatch):
     assert {r["score"] for r in quality.filter_quality(docs, trusted.limit(0)).collect()} == {0.0}
 
 
+def test_quality_ratio_against_plain_counts(spark):
+    """Bucket counts, ratios, scores and verdicts from dictionaries."""
+    rng = random.Random(17)
+    good, bad = "river stone mill heron field".split(), "buy now cheap win cash".split()
+    texts = {i: " ".join(rng.choice(good if i % 3 else bad) + str(rng.randint(0, 3)) for _ in range(rng.randint(0, 90))) for i in range(80)}
+    trusted = {i for i in texts if i % 3 and i % 2} | {999}
+
+    def buckets(t):
+        w = [x.encode() for x in WORD.findall(t)]
+        hashed = [xxh64_intdigest(x, seed=42) for x in w] + [xxh64_intdigest(b, seed=xxh64_intdigest(a, seed=42)) for a, b in zip(w, w[1:])]
+        return [h % quality.BUCKETS for h in hashed]  # the number of buckets is a power of two, so the sign does not matter
+
+    raw, target = Counter(), Counter()
+    for i, t in texts.items():
+        raw.update(buckets(t))
+        target.update(buckets(t) if i in trusted else [])
+    all_raw, all_target = sum(raw.values()) + quality.BUCKETS, sum(target.values()) + quality.BUCKETS
+    ratio = lambda b: round(1e6 * math.log((target[b] + 1) / all_target * all_raw / (raw[b] + 1)))
+    found = quality.filter_quality(spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(3), spark.createDataFrame([(i,) for i in trusted], "doc_id long")).collect()
+    assert len(found) == 80 and len({r["kept"] for r in found}) == 2
+    for r in found:
+        b = buckets(texts[r["doc_id"]])
+        want = sum(map(ratio, b)) / len(b) / 1e6 if b else 0.0
+        assert r["score"] == pytest.approx(want, abs=2e-6) and r["kept"] == (not r["base_failed"] and r["score"] >= quality.THRESHOLD)
+
+
 def test_token_counts(docs, empty):
     import sentencepiece
 
