@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vigil.functions import urls as U
 from vigil.functions.addresses import is_public_address
 from vigil.operators.matching import public_suffix_depth, registrable
+from vigil.plans.materialize import materialize
 
 # Types taken, least confidence, longest value, most rows of the list without dates.
 TYPES = ("ip", "domain", "url", "md5", "sha1", "sha256")
@@ -48,8 +49,9 @@ def feed_rows(items: DataFrame, psl: DataFrame, seen_at: Column) -> DataFrame:
     place = F.when(F.col("source") == "threatfox", -F.col("pos")).otherwise(F.col("pos"))
     rest = [c for c in rows.columns if c not in ("source", "indicator_type")]
     best = rows.groupBy("source", "indicator_type", F.lower("value").alias("_v")).agg(F.max_by(F.struct(*rest), F.struct(latest.alias("t"), place.alias("p"))).alias("r")).select("source", "indicator_type", "r.*").drop("pos")
+    # written once: the suffix rules read it twice, and its values took long expressions
     name = F.when(F.col("indicator_type") == "domain", F.lower("value"))
-    known = public_suffix_depth(best.withColumn("_name", name), "_name", psl)
+    known = public_suffix_depth(materialize(best.withColumn("_name", name), "feed"), "_name", psl)
     return known.withColumn("registrable", F.nullif(registrable(F.col("_name"), F.col("suffix_labels")), F.lit(""))).drop("_name", "suffix_labels")
 
 

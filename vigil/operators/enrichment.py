@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from vigil.functions import urls as U
 from vigil.operators.matching import match_parsed, parents, parse_observables, registrable
+from vigil.plans.materialize import materialize
 
 #: Relations that count as headline hits.
 HEADLINE = ("exact", "same_host", "parent_domain")
@@ -86,7 +87,7 @@ def sample_hits(asked: DataFrame, indicators: DataFrame, analyses: DataFrame, k:
     """
     held = indicators.select(U.whole_url_key(F.col("value")).alias("whole"), "sha256", "confidence", "first_seen_at").join(analyses.select("sha256").distinct(), "sha256", "left_semi")
     values = asked.select("input_index", F.when(F.col("type_used") == "ip", F.col("key")).otherwise(F.col("whole")).alias("whole")).distinct()
-    wanted = held.join(values.select("whole").distinct(), "whole", "left_semi")
+    wanted = materialize(held.join(values.select("whole").distinct(), "whole", "left_semi"), "wanted")  # counted and ranked
     counts = wanted.groupBy("whole").agg(F.countDistinct("sha256").alias("sample_count"))
     order = Window.partitionBy("whole").orderBy(F.desc("confidence"), F.desc("first_seen_at"), "sha256")
     top = wanted.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).groupBy("whole").agg(
@@ -128,6 +129,7 @@ def enrich_observables(observables: DataFrame, values: DataFrame, excluded: Data
     """
     asked = parse_observables(observables, psl, _service_skip)
     news = match_parsed(asked, values.select("value_lc", "indicator_type", "benign_basis"), excluded.select("value_lc"), psl).select("input_index", "status", "match_method", "matched_value")
+    news = materialize(news, "news")
     live = asked.where("skip IS NULL").select("input_index", "key", "whole", "type_used", "suffix_labels")
     rows = asked.select("input_index", "value", "type_used", "skip", "key").join(news, "input_index", "left")
     rows = rows.join(values.withColumnsRenamed({"value_lc": "matched_value", "indicator_type": "matched_type"}), "matched_value", "left")
@@ -136,7 +138,7 @@ def enrich_observables(observables: DataFrame, values: DataFrame, excluded: Data
     rows = rows.join(excluded.select(F.col("value_lc").alias("matched_value"), F.col("reason_codes").alias("excluded_reasons")), "matched_value", "left")
     cve = latest_cve(cve_intel).select(F.lower("cve_id").alias("matched_value"), "kev", "cvss_score", "cvss_severity", "epss_score", "observed_on")
     rows = rows.join(cve, "matched_value", "left")
-    rows = rows.join(sample_hits(live, sample_indicators, analyses), "input_index", "left").join(feed_entries(live, feeds), "input_index", "left")
+    rows = rows.join(materialize(sample_hits(live, sample_indicators, analyses), "sample-hits"), "input_index", "left").join(materialize(feed_entries(live, feeds), "feed-hits"), "input_index", "left")
     hit, side = F.col("status") == "hit", F.col("sample_count").isNotNull() | F.col("resolved_sha256").isNotNull() | F.col("feed_match").isNotNull()
     bucket = (F.when(F.col("skip").isNotNull(), "skipped").when(hit & F.col("citation_count").isNull(), "error").when(hit, "hit").when(F.col("status") == "excluded", "excluded").when(side, "side_only").otherwise("unseen"))
     rows = rows.withColumn("bucket", bucket)
