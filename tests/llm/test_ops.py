@@ -248,12 +248,12 @@ def test_quality_ratio_against_plain_counts(spark):
         target.update(buckets(t) if i in trusted else [])
     all_raw, all_target = sum(raw.values()) + quality.BUCKETS, sum(target.values()) + quality.BUCKETS
     ratio = lambda b: round(1e6 * math.log((target[b] + 1) / all_target * all_raw / (raw[b] + 1)))
-    found = quality.filter_quality(spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(3), spark.createDataFrame([(i,) for i in trusted], "doc_id long")).collect()
-    assert len(found) == 80 and len({r["kept"] for r in found}) == 2
+    found = quality.filter_quality(spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(3), spark.createDataFrame([(i,) for i in trusted], "doc_id long"), threshold=-1.0).collect()
+    assert len(found) == 80 and {r["kept"] for r in found if not r["base_failed"]} == {True, False}
     for r in found:
         b = buckets(texts[r["doc_id"]])
         want = sum(map(ratio, b)) / len(b) / 1e6 if b else 0.0
-        assert r["score"] == pytest.approx(want, abs=2e-6) and r["kept"] == (not r["base_failed"] and r["score"] >= quality.THRESHOLD)
+        assert r["score"] == pytest.approx(want, abs=2e-6) and r["kept"] == (not r["base_failed"] and r["score"] >= -1.0)
 
 
 def test_token_counts(docs, empty):
@@ -563,8 +563,8 @@ def test_sharding_balance(spark, tmp_path):
     sizes = [r["b"] for r in found.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
     assert len(sizes) == 16 and max(sizes) - min(sizes) <= 0.04 * sum(sizes) / 16 + 800  # each edge is off by the tolerance at most
     assert sharding.cut_groups(found).first()["cut"] <= 15
-    texts = [r["s"] for r in found.where("size != 301").groupBy("size", "text_crc32").agg(F.countDistinct("shard").alias("s")).collect()]
-    assert max(texts) == 1  # only the hot group is cut
+    cut = found.groupBy("size", "text_crc32").agg(F.countDistinct("shard").alias("s"), F.sum("size").alias("b")).where("s > 1").collect()
+    assert all(r["b"] > 0.01 * sum(sizes) / 16 for r in cut)  # only groups of more bytes than the tolerance
     sharding.write_shards(table, str(tmp_path / "out"), 16)
     assert as_bag(spark.read.parquet(str(tmp_path / "out")).select("doc_id", "text").collect()) == as_bag(rows)
 
