@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontaminate, language, manifest, packing, quality, sharding, simhash, suffix_dedup, token_counts, toxicity, url_filter
+from vigil.llm import decontaminate, language, manifest, packing, quality, search, sharding, simhash, suffix_dedup, token_counts, toxicity, url_filter
 from vigil.sources.tables import read_table
 
 #: (host, path, verdict) of the url rules.
@@ -74,6 +74,10 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +87,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline  # noqa: F401  an absent pipeline is an error here
 
-    ops = (op1_toxicity, op2_suffix_dedup, op3_quality, op4_token_counts, op5_simhash, op6_packing, op7_language, op8_decontamination, op9_sharding, op10_url_filter, op12_manifest, pipeline)
+    ops = (op1_toxicity, op2_suffix_dedup, op3_quality, op4_token_counts, op5_simhash, op6_packing, op7_language, op8_decontamination, op9_sharding, op10_url_filter, op12_manifest, op13_search, pipeline)
     return {f.__name__: f for f in ops}
 
 
@@ -139,8 +143,25 @@ LEFT JOIN proofs q ON q.g = p.g AND q.leaf_place = p.place
 JOIN (SELECT g, place, arg_max(h, lvl) AS h FROM folds GROUP BY g, place) f ON f.g = p.g AND f.place = p.place"""
 
 
+_LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS_SQL = rf"unnest(regexp_extract_all({_LOWER_SQL}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+_SEARCH_SQL = f"""
+WITH terms AS (SELECT r, doc_id, {_TERMS_SQL} AS term FROM (SELECT *, row_number() OVER () AS r FROM documents)),
+sizes AS (SELECT r, doc_id, count(*) AS n FROM terms GROUP BY r, doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+tfs AS (SELECT r, term, count(*) AS tf FROM terms GROUP BY r, term),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, totals GROUP BY term),
+lengths AS (SELECT r, doc_id, 10 + (90 * n * docs) // total AS m FROM sizes, totals),
+items AS (SELECT DISTINCT q, item_id, {_TERMS_SQL} AS term FROM (SELECT *, row_number() OVER () AS q FROM benchmark)),
+scores AS (
+  SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM items JOIN weights USING (term) JOIN tfs USING (term) JOIN lengths USING (r) GROUP BY q, item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op12_manifest": _MANIFEST_SQL, "op10_url_filter": rf"""
+    return {"op13_search": _SEARCH_SQL, "op12_manifest": _MANIFEST_SQL, "op10_url_filter": rf"""
 WITH parts AS (
   SELECT page_id, url, row_number() OVER () AS rn,
          translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
