@@ -62,7 +62,7 @@ _FOLD[65:91] += 32
 _VALUE = mix(_FOLD.astype(np.uint64) + np.uint64(1))
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_PLACES = mix(np.arange(101, 101 + WORDS, dtype=np.uint64)) | np.uint64(1)
+_PLACES = mix(np.arange(101, 117, dtype=np.uint64)) | np.uint64(1)
 #: Ones in each bit of a byte.
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -86,8 +86,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def shingles(data: np.ndarray, off: np.ndarray) -> Iterator[np.ndarray]:
-    """The distinct shingle hashes, ascending, of every text in ``data``."""
+def shingles(data: np.ndarray, off: np.ndarray, words: int = WORDS) -> Iterator[np.ndarray]:
+    """The distinct hashes, ascending, of the shingles of ``words`` words (at most 16) of every text in ``data``."""
     inside = ~_SPACE[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -98,11 +98,11 @@ def shingles(data: np.ndarray, off: np.ndarray) -> Iterator[np.ndarray]:
     at = np.searchsorted(starts, off)
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
         w = word[a:b]
-        if len(w) <= WORDS:
+        if len(w) <= words:
             yield mix((w * _PLACES[: len(w)]).sum(keepdims=True) + np.uint64(len(w))) if len(w) else w
             continue
-        n = len(w) - WORDS + 1
-        yield np.unique(mix(sum(w[k : k + n] * _PLACES[k] for k in range(WORDS)) + np.uint64(WORDS)))
+        n = len(w) - words + 1
+        yield np.unique(mix(sum(w[k : k + n] * _PLACES[k] for k in range(words)) + np.uint64(words)))
 
 
 def majority(hashes: np.ndarray) -> np.ndarray:
@@ -342,18 +342,18 @@ def candidate_pairs(vertices: DataFrame) -> DataFrame:
     return _divided(_hung(vertices, MASKS), node_pairs, SUB_MASKS)
 
 
-def _bounded(ids: DataFrame) -> DataFrame:
+def bounded(ids: DataFrame) -> DataFrame:
     """``ids``, written, with a broadcast hint if they are few enough."""
     ids = materialize(ids, "ids")
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def checked_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets have the SIMILARITY; ``texts`` has id and text. A text with many pairs is dealt over several tasks."""
+def checked_links(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percent: int = round(100 * SIMILARITY)) -> DataFrame:
+    """The pairs (u, v) whose sets of shingles are alike by ``percent`` or more; ``texts`` has id and text. A text with many pairs is dealt over several tasks."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = text_bytes(batch.column("text"))
-            packed = [h.tobytes() for i, j in byte_slices(off) for h in shingles(data[off[i] : off[j]], off[i : j + 1] - off[i])]
+            packed = [h.tobytes() for i, j in byte_slices(off) for h in shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], words)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.large_binary()).cast(pa.binary())], ["id", "set"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,10 +362,10 @@ def checked_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             for x, y in zip(batch.column("set_u"), batch.column("set_v"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= SIMILARITY * (len(x) + len(y) - both))
+                keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("u", "v")], ["u", "v"])
 
-    used = _bounded(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
+    used = bounded(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
     found = materialize(texts.join(used, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, set binary"), "sets")
     # u is the smaller id; each of the two may have many pairs, so both sides are dealt
     parts = lambda c: pairs.groupBy(c).agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_TASK).alias(f"parts_{c}"))
@@ -398,6 +398,6 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     members = components(vertices.where("n > 0").select("id", "a", "b", "n"), rows.select(F.col(row).alias("id"), "text"))
     named = vertices.select("id", "least").join(members, "id", "left").withColumn("component", F.coalesce("component", "id"))
     kept = materialize(named.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias(row)), "kept")
-    gone = _bounded(rows.select(row).join(kept, row, "left_anti"))
+    gone = bounded(rows.select(row).join(kept, row, "left_anti"))
     discard(vertices)
     return rows.join(gone, row, "left_anti").select(docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.llm import decontaminate, language, manifest, packing, quality, search, sharding, simhash, suffix_dedup, token_counts, toxicity, url_filter
+from vigil.llm import decontaminate, jaccard_join, language, manifest, packing, quality, search, sharding, simhash, suffix_dedup, token_counts, toxicity, url_filter
 from vigil.sources.tables import read_table
 
 #: (host, path, verdict) of the url rules.
@@ -65,6 +65,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -87,7 +91,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline  # noqa: F401  an absent pipeline is an error here
 
-    ops = (op1_toxicity, op2_suffix_dedup, op3_quality, op4_token_counts, op5_simhash, op6_packing, op7_language, op8_decontamination, op9_sharding, op10_url_filter, op12_manifest, op13_search, pipeline)
+    ops = (op1_toxicity, op2_suffix_dedup, op3_quality, op4_token_counts, op5_simhash, op6_packing, op7_language, op8_decontamination, op9_sharding, op10_url_filter, op11_jaccard_join, op12_manifest, op13_search, pipeline)
     return {f.__name__: f for f in ops}
 
 
