@@ -207,26 +207,45 @@ def top_k(rows: DataFrame, key: str, order: list[Column], k: int = 5) -> DataFra
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("rank") <= k)
 
 
-def refused_calls(calls: DataFrame, limits: DataFrame, per_minute: int = 60, per_day: int = 5000) -> DataFrame:
+#: Calls of a token that pass in a UTC minute and day where its row in the limits says nothing usable.
+PER_MINUTE, PER_DAY = 60, 5000
+
+
+def known_limits(calls: DataFrame, limits: DataFrame, per_minute: int = PER_MINUTE, per_day: int = PER_DAY) -> DataFrame:
+    """``calls`` with per_minute and per_day of their token; a missing or negative limit is the default. limits: token, per_minute, per_day, one row a token."""
+    usable = lambda c, default: F.coalesce(F.when(F.col(c) >= 0, F.col(c)), F.lit(default)).cast("long").alias(c)
+    rest = [c for c in calls.columns if c not in ("per_minute", "per_day")]
+    return calls.select(*rest).join(limits, "token", "left").select(*rest, usable("per_minute", per_minute), usable("per_day", per_day))
+
+
+def retry_after(ts: Column, refused: Column) -> Column:
+    """Seconds until a refused call may be tried again: to the next UTC minute or day; null for a call that passed."""
+    ts = ts.cast("timestamp")
+    day_left = F.unix_micros(F.date_trunc("day", ts) + F.expr("INTERVAL 1 DAY")) - F.unix_micros(ts)
+    return F.when(refused == "minute", 60 - F.second(ts)).when(refused == "day", F.greatest(F.lit(1), F.ceil(day_left / 1_000_000)).cast("int"))
+
+
+def refused_calls(calls: DataFrame, limits: DataFrame, per_minute: int = PER_MINUTE, per_day: int = PER_DAY) -> DataFrame:
     """``calls`` (ts, token) with ``refused``: minute, day or null. The first calls of a UTC minute, then of a UTC day, pass; a limit of 0 refuses all.
 
     Calls over the minute's limit don't count for the day. Windows are a token's minutes and days, so no task gets more than a token's calls of one day.
     """
-    known = calls.join(F.broadcast(limits), "token", "left").withColumns({"pm": F.coalesce("per_minute", F.lit(per_minute)), "pd": F.coalesce("per_day", F.lit(per_day))})
+    known = known_limits(calls, limits, per_minute, per_day)
     minute = Window.partitionBy("token", F.date_trunc("minute", "ts")).orderBy("ts")
-    known = known.withColumn("_over", F.row_number().over(minute) > F.col("pm"))
-    day = Window.partitionBy("token", F.to_date("ts")).orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
+    known = known.withColumn("_over", F.row_number().over(minute) > F.col("per_minute"))
+    day = Window.partitionBy("token", F.to_date("ts")).orderBy("ts", "_over").rowsBetween(Window.unboundedPreceding, 0)
     passed = F.count_if(~F.col("_over")).over(day)
-    return known.withColumn("refused", F.when(F.col("_over"), "minute").when(passed > F.col("pd"), "day")).drop("_over", "pm", "pd", "per_minute", "per_day")
+    refused = F.when(F.col("_over"), "minute").when(passed > F.col("per_day"), "day")
+    return known.withColumn("refused", refused).drop("_over", "per_minute", "per_day")
 
 
-def call_usage(calls: DataFrame, limits: DataFrame, per_minute: int = 60, per_day: int = 5000) -> DataFrame:
+def call_usage(calls: DataFrame, limits: DataFrame, per_minute: int = PER_MINUTE, per_day: int = PER_DAY) -> DataFrame:
     """Calls of each token and UTC day: made, refused by the minute's or the day's limit, and whether 80 % of the day's limit is reached.
 
     Counted by minutes first, so that rows are folded before they travel. limits: token, per_minute, per_day, one row a token.
     """
     minutes = calls.groupBy("token", F.date_trunc("minute", "ts").alias("minute")).agg(F.count(F.lit(1)).alias("n"))
-    known = minutes.join(limits, "token", "left").withColumns({"pm": F.coalesce("per_minute", F.lit(per_minute)), "pd": F.coalesce("per_day", F.lit(per_day))})
+    known = known_limits(minutes, limits, per_minute, per_day).withColumnsRenamed({"per_minute": "pm", "per_day": "pd"})
     days = known.groupBy("token", F.to_date("minute").alias("day")).agg(
         F.sum("n").alias("n_calls"), F.sum(F.greatest(F.col("n") - F.col("pm"), F.lit(0))).alias("over_minute"), F.max("pd").alias("pd"))
     passed = F.col("n_calls") - F.col("over_minute")
@@ -253,9 +272,3 @@ def content_version(df: DataFrame, columns: list[str]) -> DataFrame:
     row = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]), 256)
     part = df.select(row.alias("h")).groupBy(F.substring("h", 1, 4).alias("p")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("d"))
     return part.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat("p", "d"))), ""), 256).alias("version"))
-
-
-def limit_with_flag(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
-    """First ``n`` rows, and whether there were more (one extra row is fetched)."""
-    more = df.orderBy(*order).limit(n + 1).withColumn("_k", F.row_number().over(Window.orderBy(*order)))
-    return more.withColumn("truncated", F.max("_k").over(Window.partitionBy()) > n).where(F.col("_k") <= n).drop("_k")

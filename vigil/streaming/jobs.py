@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions import urls
-from vigil.operators.corpus import is_stale, merge_feed, refused_calls
+from vigil.operators.corpus import is_stale, merge_feed
 from vigil.operators.extract import extract_evidence
 from vigil.operators.samples import merge_samples
 from vigil.sources.readers import write_day
@@ -35,11 +35,6 @@ def quota(calls: DataFrame, delay: str = "2 minutes") -> DataFrame:
     return calls.withWatermark("ts", delay).groupBy(F.window("ts", "1 minute").alias("minute"), "token").agg(F.count(F.lit(1)).alias("n_calls"))
 
 
-def refuse_calls(limits: DataFrame, write: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: marks the calls of a batch that the limits refuse. A batch holds whole minutes, as its trigger is a minute or more."""
-    return lambda batch, batch_id: write(refused_calls(batch, limits))
-
-
 def stream_evidence(articles: DataFrame, tlds: tuple[str, ...]) -> DataFrame:
     """Evidence of arriving articles (url, body, publisher_hosts). Extraction works row by row, so the stream keeps no state."""
     return extract_evidence(articles, tlds)
