@@ -1,5 +1,7 @@
 """Action rules and the backtest on small cases."""
 
+from pyspark.sql import functions as F
+
 from vigil.operators import analyst, extract
 from vigil.plans.queries import TLDS
 
@@ -61,3 +63,12 @@ def test_source_for_url(spark):
     registry = spark.createDataFrame([("b", "example.org", 2), ("a", "news.example.org", 1)], "source_key string, host string, pos int")
     out = analyst.source_for_url(spark.createDataFrame([("x.news.example.org",), ("example.org",), ("q.com",)], "h string"), "h", registry)
     assert {r["h"]: r["source_key"] for r in out.collect()} == {"x.news.example.org": "a", "example.org": "b", "q.com": None}
+
+
+def test_short_parents_of_url_hosts_and_resolvers_in_long_form(spark):
+    evidence = spark.createDataFrame(
+        [("u", "domain", "ab.com"), ("u", "url", "https://cdn.ab.com/x"), ("v", "url", "https://it.org/"), ("v", "domain", "a.it.org"), ("w", "domain", "ab.com"), ("w", "domain", "ab.com.evil.net")],
+        "url string, indicator_type string, normalized_value string").withColumn("status", F.lit("confirmed"))
+    assert sorted(map(tuple, analyst.short_parents(evidence).collect())) == [("u", "ab.com"), ("v", "it.org")]
+    forms = spark.createDataFrame([("2001:4860:4860:0:0:0:0:8888",), ("WWW.dns.google",), ("8.8.8.8",)], "v string").select(analyst.bare_target(F.lit(None).cast("string"), F.col("v")).alias("b"))
+    assert [r.b for r in forms.collect()] == ["2001:4860:4860::8888", "dns.google", "8.8.8.8"]

@@ -6,9 +6,10 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from vigil.functions import addresses, dates, html, text, urls
-from vigil.operators import blocklist, corpus, enrichment, extract, report, samples
+from vigil.operators import blocklist, corpus, enrichment, extract, report, samples, state
 from vigil.plans.queries import TLDS
 from vigil.sources import readers
+from vigil.sources.versions import Store
 from vigil.streaming import jobs
 
 
@@ -181,10 +182,13 @@ def test_stream_of_articles_and_samples(spark, tmp_path):
     assert {(r["indicator_type"], r["status"]) for r in spark.table("evidence").collect()} == {("ip", "confirmed"), ("cve", "confirmed")}
     schema = "sha256 string, finished_at string, x int"
     table(spark, schema, ("a", "1", 1), ("a", "2", 2), ("b", "1", 3)).write.json(str(tmp_path / "s"))
-    kept: list = []
-    q = jobs.stream_samples(spark, str(tmp_path / "s"), schema).writeStream.foreachBatch(jobs.upsert_samples(lambda: table(spark, schema, ("b", "0", 0), ("c", "0", 0)), lambda df: kept.extend(map(tuple, df.collect())))).option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
+    store = Store(spark, str(tmp_path / "store"))
+    known = table(spark, schema, ("b", "0", 0), ("c", "0", 0))
+    state.advance_samples(store, known, known.select("sha256", "x"))
+    q = jobs.stream_samples(spark, str(tmp_path / "s"), schema).writeStream.foreachBatch(jobs.upsert_samples(store, lambda df: df.select("sha256", "x"))).option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     q.awaitTermination(60)
-    assert sorted(kept) == [("a", "2", 2), ("b", "1", 3), ("c", "0", 0)]
+    assert sorted(map(tuple, store.read("samples").collect())) == [("a", "2", 2), ("b", "1", 3), ("c", "0", 0)]
+    assert sorted(map(tuple, store.read("sample_iocs").collect())) == [("a", 2), ("b", 3), ("c", 0)] and store.read("high_water").first()[0] == "2"
     late: list = []
     sides = table(spark, "side string, t string", ("news", "2024-01-01 00:00:00"), ("feeds", "2024-01-02 12:00:00"), ("samples", None)).selectExpr("side", "CAST(t AS timestamp) AS exported_at")
     jobs.staleness(sides, lambda: F.lit("2024-01-02 13:00:00").cast("timestamp"), lambda df: late.extend(r["side"] for r in df.collect()))(sides, 0)

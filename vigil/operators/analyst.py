@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import text as T
 from vigil.functions import urls as U
+from vigil.functions.addresses import canonical_ip
 from vigil.operators.corpus import cve_priority, effective_cvss, priority
 from vigil.operators.extract import local_windows
 from vigil.operators.matching import parents, public_suffix_depth
@@ -27,12 +28,23 @@ def host_suffix_semi(df: DataFrame, column: str, hosts: DataFrame, flag: str) ->
     return df.join(met, F.col(column) == F.col("_h"), "left").drop("_h").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
+def network_host(kind: Column, value: Column) -> Column:
+    """The host that a domain or URL finding names; null for other kinds."""
+    return F.lower(F.when(kind == "url", U.url_host(value)).when(kind == "domain", value))
+
+
+def bare_target(host: Column, value: Column) -> Column:
+    """What a value is compared by: its host without www, or its address in short form."""
+    return F.regexp_replace(F.coalesce(host, canonical_ip(value), F.lower(value)), r"^www\.", "")
+
+
 def short_parents(evidence: DataFrame) -> DataFrame:
-    """(url, value) of confirmed two-label domains with a first label of at most three characters and a confirmed child in the same article."""
-    domains = evidence.where("status = 'confirmed' AND indicator_type = 'domain'").select("url", F.col("normalized_value").alias("value")).distinct()
+    """(url, value) of confirmed two-label hosts with a first label of at most three characters and a confirmed host beneath them in the same article; hosts are those of domains and URLs."""
+    host = network_host(F.col("indicator_type"), F.col("normalized_value"))
+    hosts = evidence.where("status = 'confirmed' AND indicator_type IN ('domain', 'url')").select("url", host.alias("value")).where("value != ''").distinct()
     labels = F.split("value", r"\.")
-    short = domains.where((F.size(labels) == 2) & (F.length(F.get(labels, F.lit(0))) <= 3))
-    under = domains.where(F.size(labels) > 2).select("url", F.substring_index("value", ".", -2).alias("value")).distinct()
+    short = hosts.where((F.size(labels) == 2) & (F.length(F.get(labels, F.lit(0))) <= 3))
+    under = hosts.where(F.size(labels) > 2).select("url", F.substring_index("value", ".", -2).alias("value")).distinct()
     return short.join(under, ["url", "value"])
 
 
@@ -87,11 +99,11 @@ def build_actions(articles: DataFrame, evidence: DataFrame, intel: DataFrame, re
     is_cve = F.col("indicator_type") == "cve"
     said = F.when(is_cve, F.col("window")).otherwise(F.concat_ws("\n", "title", "summary", "window"))
     found = found.select("url", "indicator_type", "value", "line_number", "column_start", T.impacts(said).alias("impacts"), T.cvss_in(F.col("window")).alias("article_cvss"))
-    host = F.lower(F.when(F.col("indicator_type") == "url", U.url_host(F.col("value"))).when(F.col("indicator_type") == "domain", F.col("value")))
+    host = network_host(F.col("indicator_type"), F.col("value"))
     # written once: the joins below read it several times each, and the words next to each value take long expressions
-    found = materialize(found.withColumns({"host": host, "bare": F.regexp_replace(F.coalesce(host, F.lower("value")), r"^www\.", "")}), "confirmed")
+    found = materialize(found.withColumns({"host": host, "bare": bare_target(host, F.col("value"))}), "confirmed")
     found = found.join(intel, (found["indicator_type"] == "cve") & (F.upper(found["value"]) == intel["value"]), "left").drop(intel["value"])
-    found = host_suffix_semi(found, "bare", resolvers.select(F.lower("value").alias("host")), "resolver")
+    found = host_suffix_semi(found, "bare", resolvers.select(bare_target(F.lit(None).cast("string"), F.col("value")).alias("host")), "resolver")
     found = host_suffix_semi(found, "host", brands, "brand")
     found = public_suffix_depth(found, "host", psl)
     found = found.join(short_parents(evidence).select("url", F.col("value").alias("host")).withColumn("short", F.lit(True)), ["url", "host"], "left")

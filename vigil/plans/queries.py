@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions import dates, html, text, urls
-from vigil.operators import analyst, corpus, extract, matching, report
+from vigil.operators import analyst, corpus, extract, matching, report, state
 from vigil.operators.graph import connected_components
 from vigil.plans.inputs import ACTIONS, FEED_ANSWERED, FEED_READ, FEED_STORED, SIGHTINGS, articles, sightings, view
+from vigil.plans.materialize import shared_dir
 from vigil.plans.registry import query
 from vigil.sources.tables import read_table
+from vigil.sources.versions import Store
 
 #: Delegated top-level domains that the documents and pages use.
 TLDS = ("com", "net", "org", "io", "uk", "onion", "i2p", "bit")
@@ -135,7 +139,7 @@ def merge_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.merge_sides(rows.where("status = 'confirmed'"), samples, feeds).select("indicator_type", "value_lc", "action", "news_first", "n_samples", "least_sha256", "n_listings", "last_seen")
 
 
-@query(f"""WITH c AS ({FEED_STORED}), i AS (SELECT * FROM ({FEED_READ}) r WHERE source IN ({FEED_ANSWERED})), a AS ({FEED_ANSWERED}), full_ AS (SELECT DISTINCT source FROM i),
+_MERGED_FEED = f"""WITH c AS ({FEED_STORED}), i AS (SELECT * FROM ({FEED_READ}) r WHERE source IN ({FEED_ANSWERED})), a AS ({FEED_ANSWERED}), full_ AS (SELECT DISTINCT source FROM i),
 j AS (SELECT coalesce(c.source, i.source) AS source, coalesce(c.indicator_type, i.indicator_type) AS indicator_type, coalesce(c.value, i.value) AS value, c.value AS cv, i.value AS iv,
   c.threat_type AS ct, i.threat_type AS it, c.malware AS cm, i.malware AS im, c.confidence AS cc, i.confidence AS ic, c.port AS cp, i.port AS ip, c.first_seen AS cf, i.first_seen AS if_, c.last_seen AS cl, i.last_seen AS il
   FROM c FULL JOIN i ON c.source = i.source AND c.value = i.value),
@@ -145,12 +149,41 @@ k AS (SELECT *, CASE WHEN cv IS NULL THEN 'insert'
 r AS (SELECT source, indicator_type, value, CASE WHEN change IN ('insert', 'update') THEN it ELSE ct END AS threat_type, CASE WHEN change IN ('insert', 'update') THEN im ELSE cm END AS malware,
   CASE WHEN change IN ('insert', 'update') THEN ic ELSE cc END AS confidence, CASE WHEN change IN ('insert', 'update') THEN ip ELSE cp END AS port, CASE WHEN change IN ('insert', 'update') THEN if_ ELSE cf END AS first_seen,
   CASE WHEN change IN ('insert', 'update') THEN il ELSE cl END AS last_seen, change FROM k WHERE change != 'delist')
-SELECT * FROM r WHERE source != 'threatfox' OR coalesce(last_seen, first_seen) >= DATE '2024-02-10' - 30""")
+SELECT * FROM r WHERE source != 'threatfox' OR coalesce(last_seen, first_seen) >= DATE '2024-02-10' - 30"""
+
+
+@query(_MERGED_FEED)
 def merge_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, read, ok = (view(spark, sf_dir, sql, "supplier") for sql in (FEED_STORED, FEED_READ, FEED_ANSWERED))
     return corpus.merge_feed(stored, read, ok, F.lit("2024-02-10").cast("date"))
 
 
+@query("SELECT * EXCLUDE (change) FROM (" + _MERGED_FEED + ") m")
+def committed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored rows are committed, then what the feeds list; the batch that comes twice counts once."""
+    stored, read, ok = (view(spark, sf_dir, sql, "supplier") for sql in (FEED_STORED, FEED_READ, FEED_ANSWERED))
+    store = Store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
+    store.commit({state.FEED: stored})
+    for _ in range(2):
+        state.advance_feed(store, read, ok, F.lit("2024-02-10").cast("date"), ("feeds", 1))
+    return store.read(state.FEED)
+
+
+_DAYS = "SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS report_date FROM events"
+
+
+@query(f"""SELECT event_id, CASE WHEN user_id % 7 = 0 AND extract(day FROM report_date) % 2 = 0 THEN 'again' ELSE event_type END AS event_type, report_date
+FROM ({_DAYS}) d WHERE extract(day FROM report_date) % 2 = 1 OR user_id % 7 = 0""")
+def replaced_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second day is written anew, from fewer rows; the others stay as they were."""
+    rows = view(spark, sf_dir, _DAYS, "events")
+    store = Store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
+    state.replace_days(store, rows.select("event_id", "event_type", "report_date"))
+    again = rows.where(F.expr("user_id % 7 = 0 AND day(report_date) % 2 = 0"))
+    state.replace_days(store, again.select("event_id", F.lit("again").alias("event_type"), "report_date"))
+    return store.read(state.DAYS)
+
+
 @query(S + """SELECT publisher, seq, value, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY publisher ORDER BY reading DESC, seq) AS rank FROM s) WHERE rank <= 5""")
 def top_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sightings(spark, sf_dir)
@@ -326,3 +359,35 @@ def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = spark.createDataFrame([("first", "blog.tionble.example.com", 1), ("com", "example.com", 2), ("net", "example.net", 3)], "source_key string, host string, pos int")
     pages = read_table(spark, sf_dir, "pages").select("page_id", urls.url_host(F.col("url")).alias("h"))
     return analyst.source_for_url(pages, "h", registry).select("page_id", "source_key")
+
+
+_HOSTS = """
+SELECT 'https://news.example.org/' || (event_id - event_id % 8) AS url, 'confirmed' AS status, CASE WHEN event_id % 3 = 0 THEN 'domain' ELSE 'url' END AS indicator_type,
+  CASE WHEN event_id % 3 = 0 THEN h ELSE 'https://' || h || '/x' END AS normalized_value, h
+FROM (SELECT event_id, CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'cdn.' ELSE 'a.b.' END || CASE user_id % 4 WHEN 0 THEN 'ab' WHEN 1 THEN 'abcd' WHEN 2 THEN 'x1z' ELSE 'it' END || '.com' AS h FROM events) e"""
+
+
+@query(f"""WITH h AS ({_HOSTS})
+SELECT DISTINCT p.url, p.h AS value FROM h p JOIN h c ON p.url = c.url AND ends_with(c.h, '.' || p.h) WHERE length(p.h) - length(replace(p.h, '.', '')) = 1 AND length(split_part(p.h, '.', 1)) <= 3""")
+def short_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short hosts with a host beneath them in the same article, whether a domain or a URL names them."""
+    return analyst.short_parents(view(spark, sf_dir, _HOSTS, "events").drop("h"))
+
+
+_SIX_SQL = """
+SELECT event_id, user_id % 300 AS n, CASE event_id % 4
+  WHEN 0 THEN '2001:4860:4860:0:0:0:0:' || lower(hex(user_id % 300)) WHEN 1 THEN '2001:4860:4860::' || lower(hex(user_id % 300))
+  WHEN 2 THEN '2001:4860:4860:0000::' || hex(user_id % 300) ELSE '10.0.' || (user_id % 300 // 256) || '.' || (user_id % 300 % 256) END AS value, event_id % 4 AS k
+FROM events"""
+
+
+@query(f"""SELECT event_id, CASE WHEN k = 3 THEN '10.0.' || (n // 256) || '.' || (n % 256) WHEN n = 0 THEN '2001:4860:4860::' ELSE '2001:4860:4860::' || lower(hex(n)) END AS bare,
+  CASE WHEN k = 3 THEN n = 7 ELSE n IN (136, 68) END AS resolver FROM ({_SIX_SQL}) x""")
+def resolver_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses meet the list of resolvers whatever form each is written in."""
+    rows = view(spark, sf_dir, _SIX_SQL.replace("//", "DIV"), "events")
+    listed = spark.sql("SELECT * FROM VALUES ('2001:4860:4860:0:0::88'), ('2001:4860:4860::0044'), ('10.0.0.7') AS t(value)")
+    none = F.lit(None).cast("string")
+    rows = rows.withColumn("bare", analyst.bare_target(none, F.col("value")))
+    met = analyst.host_suffix_semi(rows, "bare", listed.select(analyst.bare_target(none, F.col("value")).alias("host")), "resolver")
+    return met.select("event_id", "bare", "resolver")

@@ -153,12 +153,6 @@ def write_validation(verdicts: DataFrame, summary: DataFrame, path: str) -> None
     summary.write.mode("overwrite").json(f"{path}/summary")
 
 
-def write_snapshot(tables: dict[str, DataFrame], path: str) -> None:
-    """Each table of a snapshot (values, excluded, cve, coverage, rules, version) as Parquet in its own folder."""
-    for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{path}/{name}")
-
-
 def pack_json(value: Column) -> Column:
     """JSON text of an array, struct or map; null for null."""
     return F.to_json(value)

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions import urls
-from vigil.operators.corpus import is_stale, merge_feed
+from vigil.operators import state
+from vigil.operators.corpus import is_stale
 from vigil.operators.extract import extract_evidence
-from vigil.operators.samples import merge_samples
-from vigil.sources.readers import write_day
+from vigil.sources.versions import Store
 
 #: A report day starts at 06:00 in Taipei, which is 22:00 UTC.
 SLOT_OFFSET = "22 hours"
@@ -45,12 +45,15 @@ def stream_samples(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.readStream.schema(schema).json(path)
 
 
-def upsert_samples(read: Callable[[], DataFrame], write: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: a batch's samples replace the stored ones of the same hash, the last finished counts. Repeating a batch changes nothing."""
+def upsert_samples(store: Store, iocs_of: Callable[[DataFrame], DataFrame], name: str = "samples") -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: a batch's samples and the indicators that ``iocs_of`` has of them replace the stored ones, and the high-water row moves, in one commit.
+
+    Of a sample's rows the last finished counts. ``name`` is the stream's; a batch that is delivered again changes nothing.
+    """
     def merge(batch: DataFrame, batch_id: int) -> None:
         rest = [c for c in batch.columns if c != "sha256"]
         last = batch.groupBy("sha256").agg(F.max_by(F.struct(*rest), "finished_at").alias("r")).select("sha256", "r.*").select(batch.columns)
-        write(merge_samples(read(), last))
+        state.advance_samples(store, last, iocs_of(last), (name, batch_id))
 
     return merge
 
@@ -66,15 +69,11 @@ def live_lookup(observables: DataFrame, corpus: DataFrame) -> DataFrame:
     return keyed.join(corpus, "value_lc", "left")
 
 
-def maintain_feed(read_state: Callable[[], DataFrame], write_state: Callable[[DataFrame], None], ok_sources: DataFrame, now: Callable[[], object]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: merge a batch of listed rows into the stored state."""
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        write_state(merge_feed(read_state(), batch, ok_sources, now()).drop("change"))
-
-    return merge
+def maintain_feed(store: Store, ok_sources: DataFrame, now: Callable[[], Column], name: str = "feed") -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: a batch of listed rows makes the next state of the blocklist table; one delivered again changes nothing."""
+    return lambda batch, batch_id: state.advance_feed(store, batch, ok_sources, now(), (name, batch_id))
 
 
-def replace_days(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: a batch that is delivered again writes the same days again."""
-    return lambda batch, batch_id: write_day(batch, path)
+def replace_days(store: Store, name: str = "days") -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: a batch replaces the report days that it holds; one delivered again changes nothing."""
+    return lambda batch, batch_id: state.replace_days(store, batch, (name, batch_id))
