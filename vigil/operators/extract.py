@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vigil.functions import addresses as A
+from vigil.functions import scan
 from vigil.functions import text as T
 from vigil.functions import urls as U
 
@@ -47,57 +48,55 @@ _CLAIM_SIGN = r"(?i)malware|ransomware|backdoor|trojan|botnet|wiper|stealer|\bra
 def lines_of(articles: DataFrame) -> DataFrame:
     """One row a line with its section and zone, which the last heading before it decides, and its context.
 
-    Works on each article's array of lines, without a shuffle, so that it serves streams too.
+    The array of lines is cut at its headings, each piece takes its heading along, and the pieces are exploded: every line is copied
+    once, whatever their number. Works without a shuffle, so that it serves streams too.
     """
     others = [c for c in ("publisher_hosts",) if c in articles.columns]
-    rows = articles.select("url", *others, F.sha2(F.coalesce("body", F.lit("")), 256).alias("body_sha256"), T.body_lines(F.col("body")).alias("ls"))
     kind = lambda x: F.when(T.heading_kind(x) == "ioc", "ioc").when(T.heading_kind(x) == "excluded", "excluded").otherwise("general")
-    heads = F.array_compact(F.transform("ls", lambda x, i: F.when(T.is_heading(x), F.struct(i.alias("i"), F.trim(x).alias("section"), kind(x).alias("zone")))))
-    rows = rows.withColumn("heads", heads)
-    rows = rows.select("*", F.posexplode("ls").alias("ln", "line"))
-    last = F.try_element_at(F.filter("heads", lambda h: h["i"] <= F.col("ln")), F.lit(-1))
-    near = F.array(F.trim(F.get("ls", F.col("ln") - 1)), F.trim("line"), F.trim(F.get("ls", F.col("ln") + 1)))
-    rows = rows.select("url", *others, "body_sha256", "ln", "line", last.alias("at"), F.array_join(F.filter(near, lambda x: x != ""), "\n").alias("context"))
-    zone = F.when(F.col("line").rlike(T.RELATED_LINE), "excluded").otherwise(F.coalesce("at.zone", F.lit("general")))
-    return rows.select("url", *others, "body_sha256", "ln", "line", F.coalesce(F.col("at.i") == F.col("ln"), F.lit(False)).alias("is_heading"),
-                       F.coalesce("at.section", F.lit("article body")).alias("section"), zone.alias("zone"), "context")
+    start = F.struct(F.lit(0).alias("i"), F.lit("article body").alias("section"), F.lit("general").alias("zone"), F.lit(False).alias("head"))
 
+    def head(x: Column, i: Column) -> Column:
+        return F.when(T.is_heading(x), F.struct(i.alias("i"), F.trim(x).alias("section"), kind(x).alias("zone"), F.lit(True).alias("head")))
 
-def _matches(line: Column, prio: int, kind: str, pattern: str) -> Column:
-    """Array of (prio, start, end, kind, raw) of a pattern's matches; start and end are 0-based, end exclusive."""
-    def marked(pieces: Column) -> Column:  # pieces between marks: even ones are text, odd ones matches
-        def cell(x: Column, i: Column) -> Column:
-            start = F.aggregate(F.slice(pieces, F.lit(1), i), F.lit(0), lambda a, p: a + F.length(p))
-            return F.when(i % 2 == 1, F.struct(F.lit(prio).alias("prio"), start.alias("start"), (start + F.length(x)).alias("end"), F.lit(kind).alias("kind"), x.alias("raw")))
+    def pieces(lines: Column) -> Column:
+        before = F.concat(F.array(F.lit("")), lines)
+        after = F.concat(F.slice(lines, F.lit(2), F.size(lines)), F.array(F.lit("")))
+        rows = F.zip_with(F.arrays_zip(lines.alias("line"), before.alias("before")), after, lambda x, y: F.struct(x["line"].alias("line"), x["before"].alias("before"), y.alias("after")))
+        heads = F.concat(F.array(start), F.array_compact(F.transform(lines, head)))
+        return U.let(rows, lambda rows: U.let(heads, lambda heads: F.transform(heads, lambda h, k: F.struct(
+            h["section"].alias("section"), h["zone"].alias("zone"), h["head"].alias("head"), h["i"].alias("first"),
+            F.slice(rows, h["i"] + 1, F.coalesce(F.get(heads, k + 1)["i"], F.size(lines)) - h["i"]).alias("part")))))
 
-        return F.array_compact(F.transform(pieces, cell))
+    rows = articles.select("url", *others, F.sha2(F.coalesce("body", F.lit("")), 256).alias("body_sha256"), U.let(T.body_lines(F.col("body")), pieces).alias("pieces"))
+    # exploded outer, as for plain ones the optimizer would test the arrays' sizes first, by all their expressions again
+    rows = rows.select("url", *others, "body_sha256", F.inline_outer("pieces"))
+    rows = rows.select("url", *others, "body_sha256", "section", "zone", "head", "first", F.posexplode_outer("part").alias("k", "l")).where("k IS NOT NULL")
+    near = F.filter(F.array(F.trim("l.before"), F.trim("l.line"), F.trim("l.after")), lambda x: x != "")
+    zone = F.when(F.col("l.line").rlike(T.RELATED_LINE), "excluded").otherwise(F.col("zone"))
+    return rows.select("url", *others, "body_sha256", (F.col("first") + F.col("k")).alias("ln"), F.col("l.line").alias("line"), (F.col("head") & (F.col("k") == 0)).alias("is_heading"),
+                       "section", zone.alias("zone"), F.array_join(near, "\n").alias("context"))
 
-    return U.let(F.split(F.regexp_replace(line, f"({pattern})", "\x01$1\x01"), "\x01"), marked)
 
-
-_MATCH = "array<struct<prio int, start int, end int, kind string, raw string>>"
+_MATCH = scan.MATCH
+_INDICATORS = tuple((prio, kind, pattern) for prio, (kind, pattern) in enumerate(PATTERNS))
+_CLAIMS = ((90, "malware_family", FAMILY), (91, "attack_technique", TECHNIQUE))
 
 
 def line_matches(lines: DataFrame) -> DataFrame:
-    """Add ``found``, the matches of all indicator patterns, and ``claims``, those of the claim patterns; headings are not read."""
-    line = F.translate("line", "\x01", " ")
-    empty = F.array().cast(_MATCH)
-    found = F.flatten(F.array(*[_matches(line, prio, kind, pattern) for prio, (kind, pattern) in enumerate(PATTERNS)]))
-    claims = F.concat(_matches(line, 90, "malware_family", FAMILY), _matches(line, 91, "attack_technique", TECHNIQUE))
-    return lines.where("NOT is_heading").withColumns({
-        "found": F.when(F.col("line").rlike(_INDICATOR_SIGN), found).otherwise(empty),
-        "claims": F.when(F.col("line").rlike(_CLAIM_SIGN), claims).otherwise(empty)})
+    """Add ``found``, the matches of all indicator patterns, and ``claims``, those of the claim patterns; headings are not read, nor lines without a sign of either."""
+    read = lines.where("NOT is_heading")
+    signed = lambda sign: F.when(F.col("line").rlike(sign), F.col("line"))
+    return read.withColumns({"found": scan.found_in(signed(_INDICATOR_SIGN), _INDICATORS), "claims": scan.found_in(signed(_CLAIM_SIGN), _CLAIMS)})
 
 
-def _judged(line: Column, m: Column, tlds: tuple[str, ...]) -> Column:
+def _judged(m: Column, tlds: tuple[str, ...]) -> Column:
     """The match under its final kind; null if it is no indicator. A name that the line introduces as a file is one, whatever its ending."""
-    before = F.substr(line, F.lit(1), m["start"])
-    as_file = (m["kind"] == "domain") & F.right(before, F.lit(80)).rlike(FILE_BEFORE)
+    as_file = (m["kind"] == "domain") & F.right(m["before"], F.lit(80)).rlike(FILE_BEFORE)
     normal = U.normalize_indicator(m["raw"], m["kind"])
     labels = F.split(normal, r"\.")
     host = F.element_at(labels, -1).isin(*tlds) & F.forall(labels, lambda x: (x != "") & (F.length(x) <= 63) & ~x.startswith("-") & ~x.endswith("-"))
-    good = (F.when(m["kind"] == "ip", (U.ipv4_to_long(normal).isNotNull() | A.ipv6_hex(normal).isNotNull()) & ~before.rlike(VERSION_BEFORE))
-            .when(m["kind"] == "domain", ~before.rlike(r"[/\\]$") & (as_file | host)).otherwise(True))
+    good = (F.when(m["kind"] == "ip", (U.ipv4_to_long(normal).isNotNull() | A.ipv6_hex(normal).isNotNull()) & ~m["before"].rlike(VERSION_BEFORE))
+            .when(m["kind"] == "domain", ~m["before"].rlike(r"[/\\]$") & (as_file | host)).otherwise(True))
     kind = F.when(as_file, "filename").when(m["kind"] == "hash", U.hash_type(m["raw"])).otherwise(m["kind"])
     return F.when(good, F.struct(m["prio"].alias("prio"), m["start"].alias("start"), m["end"].alias("end"), kind.alias("kind"), m["raw"].alias("raw")))
 
@@ -115,11 +114,11 @@ def _claimed(m: Column) -> Column:
 
 def resolve_overlaps(matches: DataFrame, tlds: tuple[str, ...]) -> DataFrame:
     """Valid matches by precedence, then from the left; one that overlaps an accepted one is dropped, an invalid one takes no space. Claims overlap nothing."""
-    valid = matches.withColumn("valid", F.array_compact(F.transform("found", lambda m: _judged(F.col("line"), m, tlds))))
-    free = lambda acc, m: ~F.exists(acc, lambda a: (a["start"] < m["end"]) & (m["start"] < a["end"]))
-    taken = F.aggregate("valid", F.array().cast(_MATCH), lambda acc, m: F.when(free(acc, m), F.concat(acc, F.array(m.cast("struct<prio int, start int, end int, kind string, raw string>")))).otherwise(acc))
-    claims = F.array_compact(F.transform("claims", _claimed)).cast(_MATCH)
-    rows = valid.withColumn("all", F.concat(taken, claims))
+    valid = F.coalesce(F.array_compact(F.transform("found", lambda m: _judged(m, tlds))), F.array().cast(_MATCH))
+    claims = F.coalesce(F.array_compact(F.transform("claims", _claimed)).cast(_MATCH), F.array().cast(_MATCH))
+    # the judged matches become a column of their own before Python gets them, by an array of one; the planner would leave the call among Spark's expressions otherwise
+    judged = matches.select("*", F.explode_outer(F.array(valid)).alias("valid"))
+    rows = judged.withColumn("all", F.concat(scan.without_overlaps(F.col("valid")), claims))
     kept = [c for c in matches.columns if c not in ("line", "found", "claims")]
     # exploded outer: for a plain one the optimizer would test the array's size first, by all its expressions again
     return rows.select(*kept, F.inline_outer("all")).where("kind IS NOT NULL")
@@ -157,20 +156,30 @@ def extract_evidence(articles: DataFrame, tlds: tuple[str, ...]) -> DataFrame:
 def local_windows(evidence: DataFrame, articles: DataFrame) -> DataFrame:
     """Add ``window``: the words next to each value. For a CVE its line and up to four more, until a blank line or another CVE; else its line, and the next if that names a score and no other CVE.
 
-    Lines are those of ``impact_lines``; a value that only stands elsewhere has the lines of its context that name it. articles: url, body, one row a url.
+    Lines are those of ``impact_lines``; a value that only stands elsewhere has the lines of its context that name it. articles: url, body,
+    one row a url. All values of an article meet its lines in one row, which one pass over the lines serves; they are no more than its text holds.
     """
-    rows = evidence.join(articles.select("url", T.impact_lines(F.coalesce("body", F.lit(""))).alias("_ls")), "url", "left")
-    names = lambda x: F.lower(x).contains(F.lower("normalized_value")) | F.lower(x).contains(F.lower("raw_value"))
-    other = lambda x: F.exists(F.regexp_extract_all(x, F.lit(T.CVE), F.lit(0)), lambda c: F.upper(c) != F.upper("normalized_value"))
-    place = F.array_position(F.transform("_ls", names), F.lit(True))
-    rows = rows.withColumn("_p", F.coalesce(place, F.lit(0)))
-    after = F.slice("_ls", F.col("_p").cast("int") + 1, 4)
-    stop = F.array_position(F.transform(after, lambda x: (x == "") | other(x)), F.lit(True))
-    cve = F.slice(after, F.lit(1), F.when(stop > 0, stop.cast("int") - 1).otherwise(4))
-    score = F.filter(F.slice("_ls", F.col("_p").cast("int") + 1, 1), lambda x: x.rlike(T.CVSS) & ~other(x))
-    own = F.concat(F.slice("_ls", F.col("_p").cast("int"), 1), F.when(F.col("indicator_type") == "cve", cve).otherwise(score))
-    text = F.when(F.col("_p") > 0, F.array_join(own, "\n")).otherwise(F.array_join(F.filter(F.split("context", "\n"), names), "\n"))
-    return rows.withColumn("window", text).drop("_ls", "_p")
+    found = evidence.groupBy("url").agg(F.collect_list(F.struct(*[c for c in evidence.columns if c != "url"])).alias("_e"))
+    rows = found.join(articles.select("url", T.impact_lines(F.coalesce("body", F.lit(""))).alias("_ls")), "url", "left")
+    lower = lambda field: F.transform("_e", lambda e: F.lower(e[field]))
+    places = scan.first_lines(F.transform("_ls", F.lower), F.concat(lower("normalized_value"), lower("raw_value")))
+    rows = rows.withColumn("_at", places)
+    first = lambda i: F.least(F.get("_at", i), F.get("_at", i + F.size("_e")))
+
+    def window(e: Column, p: Column) -> Column:
+        value = F.lower(e["normalized_value"])
+        names = lambda x: F.lower(x).contains(value) | F.lower(x).contains(F.lower(e["raw_value"]))
+        other = lambda x: F.exists(F.regexp_extract_all(x, F.lit(T.CVE), F.lit(0)), lambda c: F.upper(c) != F.upper(e["normalized_value"]))
+        after = F.slice("_ls", p + 1, 4)
+        stop = F.array_position(F.transform(after, lambda x: (x == "") | other(x)), F.lit(True))
+        cve = F.slice(after, F.lit(1), F.when(stop > 0, stop.cast("int") - 1).otherwise(4))
+        score = F.filter(F.slice("_ls", p + 1, 1), lambda x: x.rlike(T.CVSS) & ~other(x))
+        own = F.concat(F.slice("_ls", p, 1), F.when(e["indicator_type"] == "cve", cve).otherwise(score))
+        return F.when(p > 0, F.array_join(own, "\n")).otherwise(F.array_join(F.filter(F.split(e["context"], "\n"), names), "\n"))
+
+    at = lambda i: F.coalesce(F.least(F.get("_at", i), F.get("_at", i + F.size("_e"))) + 1, F.lit(0))
+    made = F.transform("_e", lambda e, i: F.struct(e.alias("e"), U.let(at(i), lambda p: window(e, p)).alias("window")))
+    return rows.select("url", F.explode(made).alias("_x")).select("url", "_x.e.*", "_x.window")
 
 
 def first_per_article(evidence: DataFrame) -> DataFrame:
