@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from vigil.functions import dates, text, urls
+from vigil.functions import markup, dates, text, urls
 
 
 def values(spark, f, rows):
@@ -54,7 +54,7 @@ def test_impacts_and_scores(spark):
 
 
 def test_clean_text(spark):
-    assert values(spark, lambda c: text.clean_text(text.strip_boilerplate(c)), ["<nav>menu</nav><p>A&amp;B  c</p><script>x()</script><p>d</p>"]) == ["A&B c\nd"]
+    assert values(spark, lambda c: markup.clean_text(markup.page_text(c)), ["<nav>menu</nav><p>A&amp;B  c</p><script>x()</script><p>d</p>"]) == ["A&B c\nd"]
 
 
 @pytest.mark.parametrize("given, want", [("2024-01-05T22:30:00+00:00", "2024-01-06"), ("2024-01-05T21:30:00+00:00", "2024-01-05"), ("Fri, 05 Jan 2024 22:30:00 +0000", "2024-01-06")])

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vigil.operators import state
+from vigil.sources import readers
 from vigil.sources.versions import ConflictError, Store
 
 
@@ -108,3 +109,21 @@ def test_feed_state(spark, tmp_path):
     state.advance_feed(store, spark.createDataFrame([row("2.2.2.2", 9)], schema), ok, now, ("feed", 2))
     state.advance_feed(store, spark.createDataFrame([row("3.3.3.3", 9)], schema), ok, now, ("feed", 2))
     assert rows(store.read(state.FEED).select("value", "confidence")) == [("2.2.2.2", 9)]
+
+
+def test_observables_of_many_splits_are_numbered_like_whole_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [f"h{k}.evil.com,domain,s{k}" if k % 3 else f"# note {k}" if k % 2 else f"10.0.0.{k}" for k in range(400)]
+    (tmp_path / "in" / "a.csv").write_text("﻿value,type,sample_id\r\n" + "\r\n".join(lines))
+    (tmp_path / "in" / "b.csv").write_text("last.com\n\n  \nvery-last.com\n")
+    keys = {"spark.sql.files.maxPartitionBytes": "512", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    found = readers.read_observables(spark, str(tmp_path / "in"))
+    rows, splits = found.orderBy("input_index").collect(), spark.read.text(str(tmp_path / "in")).select("_metadata.file_block_start").distinct().count()
+    for k, v in before.items():
+        spark.conf.set(k, v)
+    want = [x for x in lines if not x.startswith("#")] + ["last.com", "very-last.com"]
+    assert splits > 5 and [r.input_index for r in rows] == list(range(len(want))) and [r.value for r in rows] == [w.split(",")[0] for w in want]
+    assert rows[0].sample_id == "row-1" and rows[1].sample_id == "s1" and rows[1].type_supplied == "domain"

@@ -1,4 +1,4 @@
-"""Bodies of web pages and feed entries: blocks, embedded article data, quality, choice. All are native columns."""
+"""Bodies of web pages and feed entries: quality and choice, as columns over the texts that ``markup`` finds."""
 
 from __future__ import annotations
 
@@ -6,49 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.dates import parse_ts
-from vigil.functions.text import clean_text, strip_boilerplate
-from vigil.functions.urls import let
+from vigil.functions.markup import body_texts, clean_text, page_candidates
 
 # Marks of pages that are no article, words of a title that say nothing, weights of the ways to find a body.
 BLOCK_PAGE_MARKS = ("performing security verification", "enable javascript and cookies to continue", "checking your browser before accessing", "access denied")
 TITLE_STOPS = ("with", "from", "that", "this", "your")
 METHOD_WEIGHTS = {"json-ld": 30, "site-selector": 25, "semantic-selector": 10}
-MAX_NODES, COMPLETE = 64, 1200
-#: Tags that begin or end a block of text; a block ends where the next begins, as in pages that leave paragraphs open.
-_BLOCK_TAG = r"(?i)<(/?)(h[1-6]|p|li|pre|blockquote|tr)\b[^>]*>"
-_LD_SCRIPT = r"""(?is)<script\b[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script>"""
-_LD_SCHEMA = "array<struct<articleBody: string, `@graph`: array<struct<articleBody: string>>>>"
-
-
-def page_blocks(html: Column) -> Column:
-    """Texts of the headings (marked ##), paragraphs, items, quotes and table rows without the page's furniture; a block equal to the one before it is dropped."""
-    def one(piece: Column) -> Column:
-        tag, inner = F.substring_index(piece, "\x02", 1), F.regexp_replace(piece, "^[^\x02]*\x02", "")
-        return let(F.trim(F.regexp_replace(clean_text(inner), r"\s+", " ")), lambda t: F.when(F.lower(tag).rlike("^h[1-6]$"), F.concat(F.lit("## "), t)).otherwise(t))
-
-    def texts(clean: Column) -> Column:
-        pieces = F.split(F.regexp_replace(clean, _BLOCK_TAG, "\x01$1$2\x02"), "\x01")
-        opened = F.filter(F.slice(pieces, 2, F.size(pieces)), lambda x: ~x.startswith("/"))
-        return F.filter(F.transform(opened, one), lambda t: ~t.isin("", "## "))
-
-    return let(let(strip_boilerplate(html), texts), lambda ts: F.filter(ts, lambda t, i: (i == 0) | (t != F.get(ts, i - 1))))
-
-
-def body_text(html: Column) -> Column:
-    """Blocks as lines; the plain text where there are none."""
-    return let(page_blocks(html), lambda b: F.when(F.size(b) > 0, F.array_join(b, "\n")).otherwise(clean_text(strip_boilerplate(html))))
-
-
-def jsonld_bodies(html: Column) -> Column:
-    """articleBody of every embedded data node, of its @graph too, up to MAX_NODES nodes a script, as plain text."""
-    def bodies(script: Column) -> Column:
-        nodes = F.coalesce(F.from_json(script, _LD_SCHEMA), F.from_json(F.lit("[]"), _LD_SCHEMA))
-        graph = F.flatten(F.transform(nodes, lambda n: F.coalesce(n["@graph"], F.array().cast("array<struct<articleBody: string>>"))))
-        own = F.transform(nodes, lambda n: n["articleBody"])
-        return F.slice(F.concat(own, F.transform(graph, lambda n: n["articleBody"])), 1, MAX_NODES)
-
-    scripts = F.regexp_extract_all(html, F.lit(_LD_SCRIPT), F.lit(1))
-    return F.transform(F.filter(F.flatten(F.transform(scripts, bodies)), lambda b: b.isNotNull()), clean_text)
+COMPLETE = 1200
+FEW_BLOCKS, NO_TITLE, BLOCKED, TOO_SHORT = "body has unusually few text blocks", "article title terms are absent from extracted body", "anti-bot or access-denied page detected", "body too short (%d characters)"
+NO_CANDIDATES, NO_ZONE = "no extraction candidates", "publication date lacked a timezone and was treated as UTC"
 
 
 def title_terms(title: Column) -> Column:
@@ -59,7 +25,8 @@ def body_quality(text: Column, title: Column, least: Column) -> Column:
     """struct(valid, warnings): whether a text can be an article's body, and what is odd about it.
 
     Two marks of a blocking page in its first 1,500 characters, or "access denied" as its first words, are none; nor is a text under
-    ``least`` characters. Few blocks, and a title of which no word stands in the first 4,000 characters, are warnings.
+    ``least`` characters. Few blocks, and a title of which no word stands in the first 4,000 characters, are warnings. (The program that this
+    follows compares whole words with single characters there, and so warns of every title; the sensible reading is taken.)
     """
     opening = F.lower(F.substring(text, 1, 1500))
     marks = sum((opening.contains(m).cast("int") for m in BLOCK_PAGE_MARKS), F.lit(0))
@@ -67,10 +34,10 @@ def body_quality(text: Column, title: Column, least: Column) -> Column:
     terms = F.filter(title_terms(title), lambda t: ~t.isin(*TITLE_STOPS))
     sample = F.lower(F.substring(text, 1, 4000))
     warnings = F.array_compact(F.array(
-        F.when(F.length(text) - F.length(F.replace(text, F.lit("\n"))) < 3, "body has unusually few text blocks"),
-        F.when((F.size(terms) > 0) & ~F.exists(terms, lambda t: sample.contains(t)), "article title terms are absent from extracted body")))
-    judged = (F.when(blocked, F.struct(F.lit(False).alias("valid"), F.array(F.lit("anti-bot or access-denied page detected")).alias("warnings")))
-              .when(F.length(text) < least, F.struct(F.lit(False).alias("valid"), F.array(F.format_string("body too short (%d characters)", F.length(text))).alias("warnings")))
+        F.when(F.length(text) - F.length(F.replace(text, F.lit("\n"))) < 3, FEW_BLOCKS),
+        F.when((F.size(terms) > 0) & ~F.exists(terms, lambda t: sample.contains(t)), NO_TITLE)))
+    judged = (F.when(blocked, F.struct(F.lit(False).alias("valid"), F.array(F.lit(BLOCKED)).alias("warnings")))
+              .when(F.length(text) < least, F.struct(F.lit(False).alias("valid"), F.array(F.format_string(TOO_SHORT, F.length(text))).alias("warnings")))
               .otherwise(F.struct(F.lit(True).alias("valid"), warnings.alias("warnings"))))
     return judged
 
@@ -86,30 +53,26 @@ def body_score(text: Column, title: Column, method: Column) -> Column:
     return weight + 40 * found / F.greatest(F.size(terms), F.lit(1)) + F.least(F.length(text), F.lit(20_000)) / 1000
 
 
-def body_candidates(html: Column) -> Column:
-    """array<struct<method, text>> in the order tried: embedded data, then the article and main elements."""
-    element = lambda tag: F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*)</{tag}\s*>", 1)
-    main = F.regexp_extract(html, r"""(?is)<[a-z]+\b[^>]*role\s*=\s*["']main["'][^>]*>(.*)""", 1)
-    made = lambda name, part: F.when(part != "", F.struct(F.lit(name).alias("method"), body_text(part).alias("text")))
-    data = F.transform(jsonld_bodies(html), lambda b: F.struct(F.lit("json-ld:articleBody").alias("method"), b.alias("text")))
-    parts = F.array_compact(F.array(made("semantic-selector:article", element("article")), made("semantic-selector:main", element("main")), made("semantic-selector:[role='main']", main)))
-    return F.concat(data, parts)
-
-
 def choose_body(pages: DataFrame, least: int = 500) -> DataFrame:
     """``pages`` (html, title and others) with method, body, warnings and failures: the valid candidate of the greatest score, the first of equal ones.
 
-    Without one, method is ``failed``, the body empty, and failures say why. A column min_body_characters sets the length by page.
+    Candidates are the elements that the column article_selectors names, embedded data, and the article and main elements, each without
+    the usual furniture and what exclude_selectors name (both arrays of CSS selectors; one that can't be read is passed over). Without a
+    valid one, method is ``failed``, the body empty, and failures say why. A column min_body_characters sets the length by page.
     """
+    listed = lambda c: F.col(c) if c in pages.columns else F.array().cast("array<string>")
     floor = F.coalesce(F.col("min_body_characters"), F.lit(least)) if "min_body_characters" in pages.columns else F.lit(least)
-    judged = F.transform(body_candidates(F.col("html")), lambda c: F.struct(
+    # a column of its own, by an array of one: the planner would leave the call among Spark's expressions otherwise
+    pages = pages.withColumn("_found", page_candidates(F.col("html"), listed("article_selectors"), listed("exclude_selectors")))
+    pages = pages.select("*", F.explode_outer(F.array("_found")).alias("_made")).drop("_found")
+    judged = F.transform("_made", lambda c: F.struct(
         c["method"].alias("method"), c["text"].alias("text"), body_quality(c["text"], F.col("title"), floor).alias("q"), body_score(c["text"], F.col("title"), c["method"]).alias("score")))
     rows = pages.withColumn("_c", judged)
     good = F.filter("_c", lambda c: c["q"]["valid"])
     best = F.aggregate(good, F.get(good, F.lit(0)), lambda a, c: F.when(c["score"] > a["score"], c).otherwise(a))
     failures = F.transform(F.filter("_c", lambda c: ~c["q"]["valid"]), lambda c: F.concat(c["method"], F.lit(": "), F.array_join(c["q"]["warnings"], ", ")))
-    rows = rows.withColumns({"_best": best, "failures": F.when(F.size("_c") == 0, F.array(F.lit("no extraction candidates"))).otherwise(failures)})
-    return rows.withColumns({"method": F.coalesce("_best.method", F.lit("failed")), "body": F.coalesce("_best.text", F.lit("")), "warnings": F.coalesce("_best.q.warnings", F.array().cast("array<string>"))}).drop("_c", "_best")
+    rows = rows.withColumns({"_best": best, "failures": F.when(F.size("_c") == 0, F.array(F.lit(NO_CANDIDATES))).otherwise(failures)})
+    return rows.withColumns({"method": F.coalesce("_best.method", F.lit("failed")), "body": F.coalesce("_best.text", F.lit("")), "warnings": F.coalesce("_best.q.warnings", F.array().cast("array<string>"))}).drop("_made", "_c", "_best")
 
 
 def normalize_feed_entries(entries: DataFrame) -> DataFrame:
@@ -124,7 +87,7 @@ def normalize_feed_entries(entries: DataFrame) -> DataFrame:
     url = F.trim(F.coalesce("link", F.lit("")))
     problem = (F.when(at.isNull(), "missing or invalid publication date").when((title == "") | (url == ""), "missing title or URL").when(~url.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^\[\]/?#\s]+"), "unreadable URL"))
     return entries.withColumns({"title": title, "url": url, "published_at": at, "summary": F.nullif(clean_text(F.coalesce("summary", F.lit(""))), F.lit("")), "problem": problem,
-                                "note": F.when(problem.isNull() & ~zoned, "publication date lacked a timezone and was treated as UTC")})
+                                "note": F.when(problem.isNull() & ~zoned, NO_ZONE)})
 
 
 def choose_entry_body(entries: DataFrame, pages: DataFrame, least: int = 500) -> DataFrame:
@@ -132,10 +95,11 @@ def choose_entry_body(entries: DataFrame, pages: DataFrame, least: int = 500) ->
 
     pages: url, page_method, page_body (``failed`` where there is none), one row a url.
     """
-    fields = F.concat(F.transform(F.coalesce("content", F.array().cast("array<string>")), lambda c: F.struct(F.lit("feed:content").alias("method"), c.alias("raw"))),
-                      F.array(F.struct(F.lit("feed:summary").alias("method"), F.col("summary_html").alias("raw"))))
-    made = F.transform(F.filter(fields, lambda f: F.coalesce(f["raw"], F.lit("")) != ""), lambda f: F.struct(f["method"].alias("method"), F.when(f["raw"].rlike(r"(?i)<(?:article|main|h[1-6]|p|div|table|li)\b"), body_text(f["raw"])).otherwise(clean_text(f["raw"])).alias("text")))
-    rows = entries.withColumn("_c", made).join(pages, "url", "left")
+    given = F.filter(F.concat(F.coalesce("content", F.array().cast("array<string>")), F.array("summary_html")), lambda f: F.coalesce(f, F.lit("")) != "")
+    from_content = F.size(F.filter(F.coalesce("content", F.array().cast("array<string>")), lambda f: F.coalesce(f, F.lit("")) != ""))
+    rows = entries.withColumns({"_texts": body_texts(given), "_n": from_content})
+    made = F.transform("_texts", lambda x, i: F.struct(F.when(i < F.col("_n"), "feed:content").otherwise("feed:summary").alias("method"), x.alias("text")))
+    rows = rows.select("*", F.explode_outer(F.array(made)).alias("_c")).drop("_texts", "_n").join(pages, "url", "left")
     valid = F.filter("_c", lambda c: body_quality(c["text"], F.col("title"), F.lit(least))["valid"])
     longest = lambda a: F.aggregate(a, F.get(a, F.lit(0)), lambda best, c: F.when(F.length(c["text"]) > F.length(best["text"]), c).otherwise(best))
     whole, part = longest(F.filter(valid, lambda c: F.length(c["text"]) >= COMPLETE)), longest(valid)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.functions import html
+from vigil.functions import html, markup
 from vigil.operators import analyst, blocklist, corpus, enrichment, extract, matching, report, samples
 from vigil.plans import findings as W
 from vigil.plans.inputs import view
@@ -407,15 +407,36 @@ def latest_cve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrichment.latest_cve(rows).select("cve_id", "observed_on", "score")
 
 
-_RAW_ENTRIES = """SELECT event_id, CASE WHEN event_id % 50 = 0 THEN '' ELSE 'Note <b>' || user_id || '</b> &amp; more' END AS title, CASE WHEN event_id % 49 = 0 THEN 'no link' ELSE 'https://news.example.org/' || event_id END AS link,
+_RAW_ENTRIES = """SELECT event_id, CASE WHEN event_id % 50 = 0 THEN '' ELSE 'Note <b>' || user_id || '</b> &amp; more&#33; it&rsquo;s &hellip;' END AS title, CASE WHEN event_id % 49 = 0 THEN 'no link' ELSE 'https://news.example.org/' || event_id END AS link,
   CASE event_id % 4 WHEN 0 THEN '2024-01-0' || (1 + event_id % 9) || 'T10:00:00+02:00' WHEN 1 THEN '2024-01-0' || (1 + event_id % 9) || ' 10:00:00' WHEN 2 THEN NULL ELSE 'soon' END AS published_raw,
   CASE WHEN event_id % 3 = 0 THEN '2024-02-0' || (1 + event_id % 9) || 'T08:30:00' END AS updated_raw, '<p>text</p>' AS summary FROM events"""
 
 
-@query(f"""WITH r AS ({_RAW_ENTRIES}) SELECT event_id, CASE WHEN title != '' THEN 'Note ' || regexp_extract(title, '<b>(.*)</b>', 1) || ' & more' ELSE '' END AS title,
+@query(f"""WITH r AS ({_RAW_ENTRIES}) SELECT event_id, CASE WHEN title != '' THEN 'Note' || chr(10) || regexp_extract(title, '<b>(.*)</b>', 1) || chr(10) || '& more! it’s …' ELSE '' END AS title,
   CASE event_id % 4 WHEN 0 THEN '2024-01-0' || (1 + event_id % 9) || ' 08:00:00' WHEN 1 THEN published_raw ELSE replace(updated_raw, 'T', ' ') END AS at,
   CASE WHEN event_id % 4 IN (2, 3) AND event_id % 3 != 0 THEN 'missing or invalid publication date' WHEN event_id % 50 = 0 THEN 'missing title or URL' WHEN event_id % 49 = 0 THEN 'unreadable URL' END AS problem FROM r""")
 def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed entries with dates of several forms; some lack a title, a link or a date."""
+    """Feed entries with dates of several forms; some lack a title, a link or a date. Titles have entities, and tags that part lines."""
     rows = html.normalize_feed_entries(W.events_view(spark, sf_dir, _RAW_ENTRIES))
     return rows.select("event_id", "title", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("at"), "problem")
+
+
+_NESTED = """SELECT page_id, '<div class="x related"><p>' || url || '</p><div><p>more</p></div></div><aside><p>a</p><aside><p>b</p></aside><p>c</p></aside><blockquote><p>n' || page_id
+  || '</p><p>it&rsquo;s</p></blockquote><ul><li>i' || page_id || '<li>j</ul><table><tr><td>1<td>' || page_id || '</table>' AS html FROM pages"""
+
+
+@query("""SELECT page_id, 'n' || page_id || ' it’s' || chr(10) || 'n' || page_id || chr(10) || 'it’s' || chr(10) || 'i' || page_id || chr(10) || 'j' || chr(10) || '1 ' || page_id AS body FROM pages""")
+def nested_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Furniture within furniture goes whole; a quote gives its joined text, then its paragraphs; items and cells end where the next begin."""
+    return view(spark, sf_dir, _NESTED, "pages").select("page_id", markup.page_text(F.col("html")).alias("body"))
+
+
+_EMBEDDED = """SELECT page_id, 'Title' AS title, '<script type="application/ld+json">' || CASE WHEN page_id % 4 = 0 THEN '{bad' WHEN page_id % 4 = 1 THEN '[{"articleBody": 5}, "x"]' ELSE
+  '{"@graph": [{"@graph": [{"articleBody": "deep down ' || page_id || ' &amp; more"}]}, {"@graph": 7}]}' END || '</script><main><p>main text ' || page_id || '</p></main>' AS html FROM pages"""
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 4 < 2 THEN 'semantic-selector:main' ELSE 'json-ld:articleBody' END AS method,
+  CASE WHEN page_id % 4 < 2 THEN 'main text ' || page_id ELSE 'deep down ' || page_id || ' & more' END AS body FROM pages""")
+def embedded_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies in a graph inside a graph's node; malformed data and bodies that are no text are passed over."""
+    return html.choose_body(view(spark, sf_dir, _EMBEDDED, "pages"), least=5).select("page_id", "method", "body")

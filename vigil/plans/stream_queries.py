@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators import corpus
+from vigil.plans import report_queries as reports
 from vigil.plans.materialize import shared_dir
-from vigil.plans.registry import query
+from vigil.plans.registry import ORACLES, query
 from vigil.sources.tables import read_table
-from vigil.streaming import quota
+from vigil.sources.versions import Store
+from vigil.streaming import jobs, quota
 
 _CALLS_SQL = """
 WITH calls AS (SELECT 'u' || (user_id % 3) AS token, ts FROM events),
@@ -52,3 +54,18 @@ def stream_call_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     running.awaitTermination()
     spark.conf.set(provider, before)
     return spark.read.schema(judged.schema).parquet(f"{folder}/out").select("token", F.unix_micros("ts").alias("micros"), "refused", "retry_after")
+
+
+@query(ORACLES["validate_mixed"])
+def stream_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observables of ``validate_mixed`` as a stream of three batches against a committed corpus."""
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    store = Store(spark, f"{folder}/store")
+    values, excluded = reports._corpus_tables(spark, sf_dir)
+    store.commit({"values": values, "excluded": excluded})
+    asked = reports._asked(spark, sf_dir)
+    asked.repartition(3, "input_index").write.parquet(f"{folder}/asked")
+    stream = spark.readStream.schema(asked.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/asked")
+    told = stream.writeStream.foreachBatch(jobs.live_verdicts(store, reports._refs(spark, sf_dir)[2]))
+    told.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return store.read("verdicts").select("input_index", "type_used", "status", "match_method", "matched_value")

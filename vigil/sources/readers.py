@@ -91,13 +91,19 @@ def read_watchlist(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 def read_observables(spark: SparkSession, path: str) -> DataFrame:
     """input_index, value, type_supplied, sample_id of one value a line or CSV with the header value[,type][,sample_id]; comments and blanks are skipped.
 
-    The file is read in one piece and numbered in one task, as its line numbers name the rows; it is what a person hands in, at most some 100,000 lines.
+    Rows are numbered from 0 in the order of the lines (files by path). Every task numbers the lines of a split of a file, and a split's
+    numbers start where the counts of those before it end, so a file may be of any size.
     """
-    text = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", "^\\ufeff", ""), "\r?\n")).alias("line", "text"))
-    rows = text.where(~F.trim("text").startswith("#") & (F.trim("text") != ""))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    lines = lines.withColumn("text", F.regexp_replace("value", "^\\ufeff|\r$", ""))
     parts = F.split("text", ",")
     header = F.lower(F.trim(F.get(parts, F.lit(0)))) == "value"
-    out = rows.where(~header).withColumn("input_index", F.row_number().over(Window.orderBy("line")).cast("long") - 1)
+    rows = lines.where(~F.trim("text").startswith("#") & (F.trim("text") != "") & ~header)
+    counts = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))  # one row a split
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy("file", "block").orderBy("at"))
+    out = rows.withColumn("k", inside).join(starts, ["file", "block"]).withColumn("input_index", (F.col("start") + F.col("k") - 1).cast("long"))
     cell = lambda k: F.nullif(F.trim(F.get(parts, F.lit(k))), F.lit(""))
     return out.select("input_index", F.trim(F.get(parts, F.lit(0))).alias("value"), cell(1).alias("type_supplied"), F.coalesce(cell(2), F.concat(F.lit("row-"), F.col("input_index") + 1)).alias("sample_id"))
 

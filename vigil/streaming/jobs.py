@@ -11,7 +11,8 @@ from vigil.functions import urls
 from vigil.operators import state
 from vigil.operators.corpus import is_stale
 from vigil.operators.extract import extract_evidence
-from vigil.sources.versions import Store
+from vigil.operators.matching import match_observables
+from vigil.sources.versions import Store, update
 
 #: A report day starts at 06:00 in Taipei, which is 22:00 UTC.
 SLOT_OFFSET = "22 hours"
@@ -69,6 +70,22 @@ def live_lookup(observables: DataFrame, corpus: DataFrame) -> DataFrame:
     return keyed.join(corpus, "value_lc", "left")
 
 
+def live_verdicts(store: Store, psl: DataFrame, name: str = "verdicts") -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: the verdicts of ``match_observables`` on arriving observables (input_index, value, type_supplied), by all relations.
+
+    Each batch is matched with the tables ``values`` and ``excluded`` of the store's newest version, which it is told with
+    (corpus_version), so a refreshed corpus counts from the next batch on, whole. No state is kept; verdicts go to the table ``name``,
+    one part a batch, and a batch that is delivered again changes nothing.
+    """
+    def match(batch: DataFrame, batch_id: int) -> None:
+        version = store.version()
+        found = match_observables(batch, store.read("values", version), store.read("excluded", version), psl)
+        told = found.withColumns({"corpus_version": F.lit(version), "batch": F.lit(batch_id).cast("long")})
+        update(store, lambda _: {name: told}, (name, batch_id), by_part={name: "batch"})
+
+    return match
+
+
 def maintain_feed(store: Store, ok_sources: DataFrame, now: Callable[[], Column], name: str = "feed") -> Callable[[DataFrame, int], None]:
     """foreachBatch function: a batch of listed rows makes the next state of the blocklist table; one delivered again changes nothing."""
     return lambda batch, batch_id: state.advance_feed(store, batch, ok_sources, now(), (name, batch_id))
