@@ -20,7 +20,8 @@ A pair in a node must pass, before it leaves the node,
   the two prefixes (of those that are in nodes at all) are the same, the pair was looked at
   under that one.
 
-No filter loses a link. Pairs that remain are verified once, on the whole sets.
+No filter loses a link. Outside the nodes the suffix filter is applied again with as many parts as a set has shingles, and
+pairs that still remain are verified once, on the whole sets.
 
 Groups of thousands of near copies do not meet in all pairs. In a node of over STAR_ROWS
 rows a few vertices (leaders) are compared with all others, and those rays are verified
@@ -50,8 +51,8 @@ from vigil.operators.graph import connected_components
 from vigil.plans.materialize import discard, materialize
 
 WORDS, PERCENT = 3, 90
-#: Counters of the global order, sent in pieces of PIECE; parts of the suffix filter.
-SLOTS, PIECE, PARTS = 1 << 20, 1 << 16, 512
+#: Counters of the global order (a task's stop at 255, so that each is a byte), sent in pieces of PIECE; parts of the suffix filter in the nodes.
+SLOTS, PIECE, PARTS = 1 << 22, 1 << 13, 512
 NODE_ROWS, STAR_ROWS, STAR_TRIES, SMALL = 20_000, 64, 32, 64
 _WORDS64 = PARTS // 64
 
@@ -69,13 +70,14 @@ def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
 def _with_sets(docs: DataFrame, words: int) -> DataFrame:
     """A row a document (row, doc_id, text, n, two hashes s1 and s2 of its set), and a row for each piece of a task's counters (part, counts)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, names = np.zeros(SLOTS, np.uint32), ["row", "doc_id", "text", "n", "s1", "s2", "part", "counts"]
+        counts, names = np.zeros(SLOTS, np.uint8), ["row", "doc_id", "text", "n", "s1", "s2", "part", "counts"]
         for batch in batches:
             data, off = text_bytes(batch.column("text"))
             rows = []
             for i, j in byte_slices(off):
                 sets = list(shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], words))
-                counts += np.bincount(np.concatenate(sets) & np.uint64(SLOTS - 1), minlength=SLOTS).astype(np.uint32)
+                slots, more = np.unique(np.concatenate(sets) & np.uint64(SLOTS - 1), return_counts=True)
+                counts[slots] = np.minimum(counts[slots] + more, 255)
                 rows += [(len(h), mix(h + np.uint64(1)).sum(), mix(h + np.uint64(2)).sum()) for h in sets]
             made = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (zip(*rows, strict=True) if rows else [[]] * 3)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made, pa.nulls(len(batch), pa.int32()), pa.nulls(len(batch), pa.binary())], names)
@@ -89,14 +91,14 @@ def _with_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def shingle_classes(pieces: DataFrame, tasks: int) -> np.ndarray:
-    """Size class of each of the SLOTS counters, summed over all tasks in two steps; ``pieces``: part and counts (32-bit)."""
+    """Size class of each of the SLOTS counters, summed over all tasks in two steps; ``pieces``: part and counts (bytes)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, piece in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
                 total = sums.setdefault(part, np.zeros(PIECE, np.float64))
                 raw = piece.as_buffer()
-                total += np.frombuffer(raw, np.uint32 if len(raw) == 4 * PIECE else np.float64)
+                total += np.frombuffer(raw, np.uint8 if len(raw) == PIECE else np.float64)
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["part", "counts"])
 
@@ -108,14 +110,14 @@ def shingle_classes(pieces: DataFrame, tasks: int) -> np.ndarray:
 
 
 def _prefixes(texts: DataFrame, classes: np.ndarray, words: int, percent: int) -> DataFrame:
-    """(id, n, prefix, sketch): the shingles to join on, rarest first, and the parities of the suffix filter."""
+    """(id, n, prefix, sketch, wide): the shingles to join on, rarest first, and the parities of the suffix filter, in PARTS parts and in about n."""
     shared = texts.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = shared.value.astype(np.uint64) << np.uint64(58)
         for batch in batches:
             data, off = text_bytes(batch.column("text"))
-            size, tokens, sketch = [], [], []
+            size, tokens, sketch, wide = [], [], [], []
             for i, j in byte_slices(off):
                 for h in shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], words):
                     p = prefix_lengths(len(h), percent)[0] if len(h) else 0
@@ -125,10 +127,32 @@ def _prefixes(texts: DataFrame, classes: np.ndarray, words: int, percent: int) -
                     tokens.append(np.sort(first).view(np.int64))
                     odd = np.bincount((h >> np.uint64(30)) & np.uint64(PARTS - 1), minlength=PARTS) & 1
                     sketch.append(np.packbits(odd.astype(bool)).tobytes())
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in tokens])), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *tokens])))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), lists, pa.array(sketch, pa.binary())], ["id", "n", "prefix", "sketch"])
+                    parts = 64 << max(0, (len(h) - 1) // 64).bit_length()
+                    odd = np.bincount((h >> np.uint64(30)) & np.uint64(parts - 1), minlength=parts) & 1
+                    wide.append(np.packbits(odd.astype(bool), bitorder="little").view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), _lists(tokens), pa.array(sketch, pa.binary()), _lists(wide)], ["id", "n", "prefix", "sketch", "wide"])
 
-    return texts.select("id", "text").mapInArrow(run, "id long, n long, prefix array<long>, sketch binary").where("n > 0")
+    return texts.select("id", "text").mapInArrow(run, "id long, n long, prefix array<long>, sketch binary, wide array<long>").where("n > 0")
+
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in rows])), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *rows])))
+
+
+def _with_room(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those ``pairs`` (u, v and others) for which the wide parities of ``sketches`` (id, n, wide) leave room, with ``d``, in how many parts they differ."""
+    for end in ("u", "v"):
+        pairs = pairs.join(sketches.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("wide").alias(f"wide_{end}")), end)
+    fold = lambda x, m: F.transform(F.sequence(F.lit(0), m - 1), lambda i: F.get(x, i).bitwiseXOR(F.get(x, i + m)))
+    a, b = F.col("wide_u"), F.col("wide_v")
+    x = F.when(F.size(a) == 2 * F.size(b), fold(a, F.size(b))).otherwise(a)
+    y = F.when(F.size(b) == 2 * F.size(a), fold(b, F.size(a))).otherwise(b)
+    d = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
+    apart = F.greatest(F.size(a), F.size(b)) > 2 * F.least(F.size(a), F.size(b))  # far larger sets, where the limit is that low
+    total = F.col("n_u") + F.col("n_v")
+    room = total - 2 * F.ceil(percent * total / (100 + percent))
+    rest = [c for c in pairs.columns if not c.startswith(("n_", "wide_"))]
+    return pairs.withColumn("d", F.when(apart, 0).otherwise(d)).where(F.col("d") <= room).select(*rest, "d")
 
 
 def _nodes(prefixes: DataFrame, percent: int) -> DataFrame:
@@ -194,7 +218,7 @@ class _Part:
             free, misses = np.arange(a, b), 0
             if b - a <= STAR_ROWS:
                 continue
-            for k in np.random.default_rng(b - a).permutation(free).tolist():
+            for k in free[np.argsort(mix(self.id[free].view(np.uint64)))].tolist():  # the same leaders in all nodes
                 if misses >= STAR_TRIES or len(free) <= STAR_ROWS:
                     break
                 if k not in free:
@@ -209,16 +233,16 @@ class _Part:
 
 
 def _pairs_in(rows: DataFrame, percent: int, find: Callable[[_Part], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> DataFrame:
-    """(u, v, d, gu, gv), u < v, that ``find`` names in the nodes of ``rows`` (node, id, n, pos, prev, g, side, sketch)."""
+    """(u, v, gu, gv), u < v, that ``find`` names in the nodes of ``rows`` (node, id, n, pos, prev, g, side, sketch)."""
     names = ["node", "id", "n", "pos", "prev", "g", "side"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(rows: list[np.ndarray]) -> pa.RecordBatch:
             part = _Part(rows, percent)
-            i, j, d = find(part)
+            i, j, _ = find(part)
             swap = part.id[i] > part.id[j]
             i, j = np.where(swap, j, i), np.where(swap, i, j)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (part.id[i], part.id[j], d, part.g[i], part.g[j])], ["u", "v", "d", "gu", "gv"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (part.id[i], part.id[j], part.g[i], part.g[j])], ["u", "v", "gu", "gv"])
 
         held = None
         for batch in batches:
@@ -234,7 +258,7 @@ def _pairs_in(rows: DataFrame, percent: int, find: Callable[[_Part], tuple[np.nd
             yield found(held)
 
     dealt = rows.select(*names, "sketch").repartition("node").sortWithinPartitions("node", "n")
-    return dealt.mapInArrow(run, "u long, v long, d long, gu long, gv long")
+    return dealt.mapInArrow(run, "u long, v long, gu long, gv long").distinct()
 
 
 def _placed(nodes: DataFrame, groups: DataFrame | None) -> DataFrame:
@@ -267,25 +291,25 @@ def _merged(groups: DataFrame | None, links: DataFrame) -> DataFrame:
     return materialize(first.join(joined.withColumnRenamed("id", "g"), "g", "left").select("id", F.coalesce("component", "g").alias("g")), "groups")
 
 
-def linked_groups(nodes: DataFrame, texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(id, g) of the vertices with a link; g is the same for what links join. ``texts``: id and text."""
+def linked_groups(nodes: DataFrame, sketches: DataFrame, texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(id, g) of the vertices with a link; g is the same for what links join. ``sketches``: id, n and wide; ``texts``: id and text."""
     sizes = materialize(_placed(nodes, None).groupBy("node").agg(F.count(F.lit(1)).alias("m")).where(f"m > {STAR_ROWS}"), "sizes")
     large = sizes.where(f"m > {NODE_ROWS}").select("node", F.ceil(F.col("m") / NODE_ROWS).alias("blocks"))
     cut, groups = not large.isEmpty(), None
     if not sizes.isEmpty():
         rows = _placed(nodes, None).join(sizes.select("node"), "node", "left_semi")
         rays = _pairs_in(_in_blocks(rows, large, False) if cut else rows, percent, _Part.rays)
-        groups = _merged(None, checked_links(materialize(rays.select("u", "v").distinct(), "rays"), texts, words, percent))
+        groups = _merged(None, checked_links(materialize(_with_room(rays.select("u", "v"), sketches, percent).select("u", "v"), "rays"), texts, words, percent))
 
     def candidates() -> DataFrame:
         rows = _placed(nodes, groups)
-        return _pairs_in(_in_blocks(rows, large, True) if cut else rows, percent, _Part.pairs)
+        return _with_room(_pairs_in(_in_blocks(rows, large, True) if cut else rows, percent, _Part.pairs), sketches, percent)
 
-    between = candidates().groupBy(F.least("gu", "gv").alias("gu"), F.greatest("gu", "gv").alias("gv")).agg(F.min(F.struct("d", "u", "v")).alias("p"), F.count_distinct("u", "v").alias("m"))
+    between = candidates().groupBy(F.least("gu", "gv").alias("gu"), F.greatest("gu", "gv").alias("gv")).agg(F.min(F.struct("d", "u", "v")).alias("p"), F.count(F.lit(1)).alias("m"))
     nearest = materialize(between.select("p.u", "p.v", "m"), "nearest")
     groups = _merged(groups, checked_links(nearest.select("u", "v"), texts, words, percent))
     if not nearest.where("m > 1").isEmpty():
-        rest = materialize(candidates().select("u", "v").distinct().join(nearest.select("u", "v"), ["u", "v"], "left_anti"), "rest")
+        rest = materialize(candidates().select("u", "v").join(nearest.select("u", "v"), ["u", "v"], "left_anti"), "rest")
         groups = _merged(groups, checked_links(rest, texts, words, percent))
     discard(sizes)
     return groups
@@ -304,9 +328,9 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     texts = rows.where("n > 0").join(copies, "row", "left_anti").select(F.col("row").alias("id"), "text")
     prefixes = materialize(_prefixes(texts, classes, words, percent), "prefixes")
     nodes = materialize(_nodes(prefixes, percent), "nodes")
-    discard(prefixes)
-    groups = linked_groups(nodes, texts, words, percent)
+    groups = linked_groups(nodes, prefixes.select("id", "n", "wide"), texts, words, percent)
     discard(nodes)
+    discard(prefixes)
     named = vertices.join(groups, "id", "left").withColumn("g", F.coalesce("g", "id"))
     least = named.groupBy("g").agg(F.min("least").alias("component_id"))
     named = named.join(least, "g").select("s1", "s2", "n", "component_id")
