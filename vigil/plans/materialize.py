@@ -18,12 +18,33 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: Folders that each application has written and not deleted.
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder, for ``release`` to delete."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all intermediate folders of this application and return their number; for when no result that reads them is needed any more."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
+
+
 def materialize(df: DataFrame, name: str = "part") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again.
 
-    The files survive lost executors and cost less than a row checkpoint.
+    The files survive lost executors and cost less than a row checkpoint. ``discard`` deletes one, ``release`` all that are left.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

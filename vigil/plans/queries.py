@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from vigil.functions import dates, html, text, urls
 from vigil.operators import analyst, corpus, extract, matching, report, state
 from vigil.operators.graph import connected_components
 from vigil.plans.inputs import ACTIONS, FEED_ANSWERED, FEED_READ, FEED_STORED, SIGHTINGS, articles, sightings, view
-from vigil.plans.materialize import shared_dir
+from vigil.plans.materialize import scratch
 from vigil.plans.registry import query
 from vigil.sources.tables import read_table
 from vigil.sources.versions import Store
@@ -162,7 +160,7 @@ def merge_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def committed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored rows are committed, then what the feeds list; the batch that comes twice counts once."""
     stored, read, ok = (view(spark, sf_dir, sql, "supplier") for sql in (FEED_STORED, FEED_READ, FEED_ANSWERED))
-    store = Store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
+    store = Store(spark, scratch(spark, "store"))
     store.commit({state.FEED: stored})
     for _ in range(2):
         state.advance_feed(store, read, ok, F.lit("2024-02-10").cast("date"), ("feeds", 1))
@@ -177,7 +175,7 @@ FROM ({_DAYS}) d WHERE extract(day FROM report_date) % 2 = 1 OR user_id % 7 = 0"
 def replaced_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every second day is written anew, from fewer rows; the others stay as they were."""
     rows = view(spark, sf_dir, _DAYS, "events")
-    store = Store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
+    store = Store(spark, scratch(spark, "store"))
     state.replace_days(store, rows.select("event_id", "event_type", "report_date"))
     again = rows.where(F.expr("user_id % 7 = 0 AND day(report_date) % 2 = 0"))
     state.replace_days(store, again.select("event_id", F.lit("again").alias("event_type"), "report_date"))

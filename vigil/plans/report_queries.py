@@ -277,7 +277,7 @@ def lookup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Samples (one a part) and the values found in them (one a line item), blocklists of hosts and addresses.
-_ANALYSES = "SELECT p_partkey AS p, repeat('ef', 30) || right('0000' || (p_partkey % 150), 4) AS sha256, repeat('cd', 14) || right('0000' || p_partkey, 4) AS md5, repeat('dc', 18) || right('0000' || p_partkey, 4) AS sha1 FROM part WHERE p_partkey <= 9999"
+_ANALYSES = "SELECT p_partkey AS p, repeat('ef', 30) || right('0000' || (p_partkey % 150), 4) AS sha256, repeat('cd', 10) || right('000000000000' || p_partkey, 12) AS md5, repeat('dc', 14) || right('000000000000' || p_partkey, 12) AS sha1 FROM part"
 _SAMPLE_IOCS = """SELECT l_orderkey * 10 + l_linenumber AS pos, repeat('ef', 30) || right('0000' || (l_partkey % 150), 4) AS sha256, CASE l_suppkey % 4 WHEN 0 THEN 'domain' WHEN 1 THEN 'ip' WHEN 2 THEN 'url' ELSE 'mutex' END AS ioc_type,
   CASE l_suppkey % 4 WHEN 0 THEN 'none' || (l_orderkey % 150) || '.example.org' WHEN 1 THEN '45.77.' || (l_orderkey % 200) || '.' || (1 + l_orderkey % 7) WHEN 2 THEN 'http://w' || (l_orderkey % 150) || '.badsite.org/zzz' ELSE 'Global-' || (l_orderkey % 99) || '}' END AS value,
   CAST(l_quantity AS INT) AS confidence, 'tool' || (l_suppkey % 3) AS source_integration_id, CAST(CAST(l_shipdate AS DATE) AS VARCHAR(10)) AS first_seen_at FROM lineitem"""

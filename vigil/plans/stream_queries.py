@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators import corpus
 from vigil.plans import report_queries as reports
-from vigil.plans.materialize import shared_dir
+from vigil.plans.materialize import scratch
 from vigil.plans.registry import ORACLES, query
 from vigil.sources.tables import read_table
 from vigil.sources.versions import Store
@@ -46,7 +44,7 @@ def call_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_call_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from a stream over the table's files, which keeps each token's day in state."""
     provider = "spark.sql.streaming.stateStore.providerClass"
-    before, folder = spark.conf.get(provider), f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    before, folder = spark.conf.get(provider), scratch(spark, "stream")
     events = read_table(spark, sf_dir, "events")
     source = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/event[s].parquet")  # a pattern, as the table may be one file
     judged = quota.refuse_calls(_calls(source), _limits(spark))
@@ -59,7 +57,7 @@ def stream_call_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(ORACLES["validate_mixed"])
 def stream_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The observables of ``validate_mixed`` as a stream of three batches against a committed corpus."""
-    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    folder = scratch(spark, "stream")
     store = Store(spark, f"{folder}/store")
     values, excluded = reports._corpus_tables(spark, sf_dir)
     store.commit({"values": values, "excluded": excluded})
