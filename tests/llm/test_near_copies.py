@@ -187,3 +187,19 @@ def test_components_of_a_large_group(spark):
     grouped = prints.join(groups, "id", "left").withColumn("g", F.coalesce("g", "id"))
     assert N.candidate_pairs(grouped).count() < 601 * 20
     assert [i for i, _ in kept_components(spark, [*enumerate(rows)])] == [0]
+
+
+def test_recall_of_links_between_groups(spark):
+    """Two drifting lines of copies each, linked where they meet alone: the share of such links that the components hold."""
+    rng = random.Random(21)
+    rows, pairs = [], 60
+    for _ in range(pairs):
+        bridge = words(rng, 150)
+        for line in (bridge, altered(rng, bridge, 2)):
+            for _ in range(12):
+                rows.append(line)
+                line = altered(rng, line, 1)
+    comp = brute_components(rows)
+    kept = len(kept_components(spark, [*enumerate(rows)]))
+    wanted = len(set(comp))
+    assert wanted <= pairs + 3 and kept - wanted <= 0.05 * pairs

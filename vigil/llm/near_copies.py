@@ -17,12 +17,16 @@ Groups keep thousands of near copies from meeting in all pairs. In a first pass
 STAR_MASKS of the masks, a print in a node of over STAR_ROWS takes in all that are within
 STRONG bits of it (about the distance at a similarity of 0.8); these rays are checked, and the components of those that hold are the
 groups. In the second pass, over all masks, every pair of prints of different groups is
-looked at, and a node names the nearest pair for each pair of groups (most groups are one
-print). Every pair named, rays included, is checked by the exact Jaccard similarity of the
+looked at, and a node names the NEAREST pairs for each two groups (most groups are one
+print). Before a pair leaves a node, the parities of the two sets must leave room for the
+similarity: a bit for each part of the hash range says whether a set has an odd number of
+shingles in it, and two sets differ by one at least where their bits do. Every pair named, rays included, is checked by the exact Jaccard similarity of the
 two sets, so nothing is linked that should not be. A link can be missed if the two prints
 differ in more than DISTANCE bits or share no mask's pattern; by the binomial law that is
-4 % of the pairs at a similarity of exactly 0.8, 1 % at 0.85 and under 0.1 % at 0.9. A link
-between two groups can also be missed if it fails for the nearest pairs of all nodes.
+4 % of the pairs at a similarity of exactly 0.8, 1 % at 0.85 and under 0.1 % at 0.9, and
+0.1 % more where parities of a sample decide (sets of over SAMPLED shingles). A link between
+two groups can also be missed if it fails for the NEAREST pairs of all nodes that the groups
+share (24 for prints that are alike); tests/llm/test_near_copies.py measures it.
 
 Words are those between ASCII white space, A-Z lower-cased. Edge cases: a text of fewer than
 WORDS words has one shingle of all of them; null and blank texts have the empty set and are
@@ -33,6 +37,7 @@ doc_id and text are carried along.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +52,10 @@ from vigil.plans.materialize import discard, materialize
 WORDS, SIMILARITY = 5, 0.8
 BITS, DISTANCE, STRONG = 128, 28, 20
 MASKS, MASK_BITS, SUB_MASKS, SUB_BITS, DEPTH = 24, 12, 12, 8, 3
-NODE_ROWS, STAR_MASKS, STAR_ROWS, STAR_TRIES, LEAF = 20_000, 8, 64, 32, 16
+NODE_ROWS, STAR_MASKS, STAR_ROWS, STAR_TRIES, LEAF, NEAREST = 20_000, 8, 64, 32, 16, 3
+#: Words of 64 bits that hold the parities of a set; sets of more than SAMPLED shingles give a share of 1 / 2, 1 / 4, ... of them.
+PARITY_WORDS, SAMPLED = 4, 256
+PARITIES = tuple(f"p{k}" for k in range(PARITY_WORDS))
 #: Bytes of a text that are hashed at once.
 PIECE = 4 << 20
 #: A list of at most so many row numbers (8 bytes each, some 100 MB as a hash table) is broadcast, so that texts stay where they are; beyond, the join shuffles.
@@ -117,12 +125,39 @@ def majority(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > len(raw), bitorder="little").view(np.uint64)
 
 
+def _level(size: np.ndarray) -> np.ndarray:
+    """How often a set of ``size`` shingles is halved for its parities."""
+    return np.ceil(np.log2(np.maximum(size, 1) / SAMPLED)).clip(0).astype(np.int64)
+
+
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For each part of the hash range whether the set has an odd number of shingles in it, as PARITY_WORDS words."""
+    hashes = mix(hashes ^ np.uint64(0x2545F4914F6CDD1D))
+    hashes = hashes[hashes & np.uint64((1 << int(_level(np.array(len(hashes))))) - 1) == 0]
+    odd = np.bincount((hashes >> np.uint64(40)) & np.uint64(64 * PARITY_WORDS - 1), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.uint64)
+
+
+def _can_link(fp: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the parities of pairs (columns from the third on) leave room for the SIMILARITY.
+
+    Two sets differ by one shingle at least in each part where one has an even and the other an odd number. That is exact for sets
+    of up to SAMPLED shingles; samples of larger ones may exceed their mean by three standard deviations. Sets halved unequally often pass.
+    """
+    n, m = size[i], size[j]
+    most = (n + m) * (1 - SIMILARITY) / (1 + SIMILARITY)
+    level = _level(n)
+    mean = most / 2.0**level
+    limit = np.where(level == 0, most, mean + 3 * np.sqrt(mean) + 1)
+    return (level != _level(m)) | (_bit_count(fp[i, 2:] ^ fp[j, 2:]) <= limit)
+
+
 def _signed(rows: list, dtype=np.uint64) -> pa.Array:
     return pa.array(np.array(rows, dtype).view(np.int64))
 
 
 def with_fingerprints(docs: DataFrame, names: list[str]) -> DataFrame:
-    """``docs`` and, under ``names``: fingerprint words a and b, number of shingles, two hashes of their set."""
+    """``docs`` and, under ``names``: fingerprint words a and b, number of shingles, two hashes of their set and, if named too, its PARITIES."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", " + ", ".join(f"`{n}` long" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,8 +167,9 @@ def with_fingerprints(docs: DataFrame, names: list[str]) -> DataFrame:
             for i, j in byte_slices(off):
                 for h in shingles(data[off[i] : off[j]], off[i : j + 1] - off[i]):
                     a, b = majority(h)
-                    rows.append((a, b, len(h), mix(h + np.uint64(1)).sum(), mix(h + np.uint64(2)).sum()))
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
+                    more = parities(h) if len(names) > 5 else ()
+                    rows.append((a, b, len(h), mix(h + np.uint64(1)).sum(), mix(h + np.uint64(2)).sum(), *more))
+            columns = zip(*rows, strict=True) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(_signed, columns)], [*batch.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
@@ -182,7 +218,8 @@ def stars(fp: np.ndarray, size: np.ndarray) -> np.ndarray:
             break
         if taken[k]:
             continue
-        near = free[(_bit_count(fp[free] ^ fp[k]) <= STRONG) & _alike(size[free], size[k])]
+        near = free[(_bit_count(fp[free, :2] ^ fp[k, :2]) <= STRONG) & _alike(size[free], size[k])]
+        near = near[_can_link(fp, size, near, np.full(len(near), k))]
         misses = 0 if len(near) * STAR_TRIES > len(free) else misses + 1
         if len(near) > 1:
             leader[near] = k
@@ -191,16 +228,16 @@ def stars(fp: np.ndarray, size: np.ndarray) -> np.ndarray:
     return leader
 
 
-def range_pairs(fp: np.ndarray, size: np.ndarray, group: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i, j) of the nearest prints of each two groups of a node, if within DISTANCE bits and of like size.
+def range_pairs(fp: np.ndarray, size: np.ndarray, group: np.ndarray, starts: np.ndarray, named: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of the ``named`` nearest pairs of prints of each two groups of a node, if within DISTANCE bits and of like size.
 
-    fp: (prints, 2) words, nodes one after another; starts: where each node begins. Groups have numbers that no other node uses.
+    fp: (prints, 2) words and, behind them, any parities, nodes one after another; starts: where each node begins. Groups have numbers that no other node uses.
     """
     lo, hi = starts.astype(np.int64), np.append(starts[1:], len(fp)).astype(np.int64)
     levels = []
     while True:  # ranges level by level: shared ones, shared zeros, sizes, the group if there is but one, first child
         least, most = np.minimum.reduceat(group, lo), np.maximum.reduceat(group, lo)
-        level = [np.bitwise_and.reduceat(fp, lo), ~np.bitwise_or.reduceat(fp, lo), np.minimum.reduceat(size, lo), np.maximum.reduceat(size, lo), np.where(least == most, least, -1), lo, hi]
+        level = [np.bitwise_and.reduceat(fp[:, :2], lo), ~np.bitwise_or.reduceat(fp[:, :2], lo), np.minimum.reduceat(size, lo), np.maximum.reduceat(size, lo), np.where(least == most, least, -1), lo, hi]
         levels.append(level)
         many = hi - lo > LEAF
         if not many.any():
@@ -225,17 +262,19 @@ def range_pairs(fp: np.ndarray, size: np.ndarray, group: np.ndarray, starts: np.
             i, j = np.broadcast_to(i, pair.shape)[pair], np.broadcast_to(j, pair.shape)[pair]
             near = (group[i] != group[j]) & _alike(size[i], size[j])
             i, j = i[near], j[near]
-            d = _bit_count(fp[i] ^ fp[j])
+            d = _bit_count(fp[i, :2] ^ fp[j, :2])
             near = d <= DISTANCE
+            near[near] = _can_link(fp, size, i[near], j[near])
+            d = _bit_count(fp[i] ^ fp[j])
             out.append(nearest(i[near], j[near], d[near]))
 
     def nearest(i: np.ndarray, j: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The pair of least distance for each pair of groups."""
+        """The pairs of least distance for each two groups."""
         g, h = np.minimum(group[i], group[j]), np.maximum(group[i], group[j])
         order = np.lexsort([j, i, d, h, g])
         i, j, d, g, h = (x[order] for x in (i, j, d, g, h))
-        first = np.concatenate([np.ones(min(1, len(g)), bool), (g[1:] != g[:-1]) | (h[1:] != h[:-1])])
-        return i[first], j[first], d[first]
+        new = np.concatenate([np.ones(min(named, len(g)), bool), (g[named:] != g[:-named]) | (h[named:] != h[:-named])])
+        return i[new], j[new], d[new]
 
     stack = [(0, np.arange(len(starts)), np.arange(len(starts)))]
     while stack:
@@ -271,8 +310,8 @@ def star_rays(node: np.ndarray, ids: np.ndarray, fp: np.ndarray, size: np.ndarra
     return np.minimum(ids[rays], ids[leader[rays]]), np.maximum(ids[rays], ids[leader[rays]])
 
 
-def node_pairs(node: np.ndarray, ids: np.ndarray, fp: np.ndarray, size: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids (u < v) of the nearest near prints of each two groups in each node."""
+def node_pairs(node: np.ndarray, ids: np.ndarray, fp: np.ndarray, size: np.ndarray, group: np.ndarray, named: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Ids (u < v) of the ``named`` nearest pairs of near prints of each two groups in each node."""
     new = np.concatenate([[True], node[1:] != node[:-1]])
     # a group's prints in a node take the number of their first place and stand together there, so that whole ranges of them are pruned
     by = np.lexsort([group, node])
@@ -280,22 +319,28 @@ def node_pairs(node: np.ndarray, ids: np.ndarray, fp: np.ndarray, size: np.ndarr
     number = np.empty(len(node), np.int64)
     number[by] = np.minimum.reduceat(by, np.flatnonzero(first))[np.cumsum(first) - 1]
     order = np.lexsort([number, np.cumsum(new)])
-    i, j = range_pairs(fp[order], size[order], number[order], np.flatnonzero(new))
+    i, j = range_pairs(fp[order], size[order], number[order], np.flatnonzero(new), named)
     u, v = ids[order[i]], ids[order[j]]
     return np.minimum(u, v), np.maximum(u, v)
 
 
+def _prints(rows: DataFrame) -> list[str]:
+    return ["a", "b", *(c for c in PARITIES if c in rows.columns)]
+
+
 def _pairs_in(rows: DataFrame, find: Callable[..., tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """(u, v) that ``find`` names in each node of ``rows`` (node, id, a, b, n, g)."""
+    """(u, v) that ``find`` names in each node of ``rows`` (node, id, a, b, n, g and any PARITIES)."""
+    columns = ["node", "id", "n", "g", *_prints(rows)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(part: list[np.ndarray]) -> pa.RecordBatch:
-            node, ids, a, b, n, g = part
-            u, v = find(node, ids, np.stack([a, b], 1).view(np.uint64), n, g)
+            node, ids, n, g, *prints = part
+            u, v = find(node, ids, np.stack(prints, 1).view(np.uint64), n, g)
             return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
         held: list[np.ndarray] | None = None
         for batch in batches:
-            part = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "id", "a", "b", "n", "g")]
+            part = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
             part = part if held is None else [np.concatenate(x) for x in zip(held, part, strict=True)]
             last = np.flatnonzero(part[0][1:] != part[0][:-1])
             if len(last):  # all but the last node, which may go on
@@ -306,7 +351,7 @@ def _pairs_in(rows: DataFrame, find: Callable[..., tuple[np.ndarray, np.ndarray]
             yield pairs(held)
 
     dealt = rows.repartition("node").sortWithinPartitions("node", F.floor(F.log(F.col("n")) / F.log(F.lit(1 / SIMILARITY))), _gray_rank("a"), _gray_rank("b"))
-    return dealt.select("node", "id", "a", "b", "n", "g").mapInArrow(run, "u long, v long")
+    return dealt.select(columns).mapInArrow(run, "u long, v long")
 
 
 def _divided(rows: DataFrame, find: Callable[..., tuple[np.ndarray, np.ndarray]], sub_masks: int) -> DataFrame:
@@ -321,13 +366,13 @@ def _divided(rows: DataFrame, find: Callable[..., tuple[np.ndarray, np.ndarray]]
             break
         masks = lower[SUB_MASKS * depth : SUB_MASKS * depth + sub_masks]
         hung = F.explode(F.array(*[_under(bits, 1000 * (depth + 1) + k, F.col("node")) for k, bits in enumerate(masks)]))
-        rows = materialize(rows.join(sizes, "node", "left_semi").select("id", "a", "b", "n", "g", hung.alias("node")), "nodes")
+        rows = materialize(rows.join(sizes, "node", "left_semi").select("id", "n", "g", *_prints(rows), hung.alias("node")), "nodes")
     return pairs.distinct()
 
 
 def _hung(vertices: DataFrame, masks: int) -> DataFrame:
     hung = F.explode(F.array(*[_under(bits, k) for k, bits in enumerate(_masks()[0][:masks])]))
-    return vertices.select("id", "a", "b", "n", "g", hung.alias("node"))
+    return vertices.select("id", "n", "g", *_prints(vertices), hung.alias("node"))
 
 
 def ray_pairs(vertices: DataFrame) -> DataFrame:
@@ -339,7 +384,7 @@ def ray_pairs(vertices: DataFrame) -> DataFrame:
 
 def candidate_pairs(vertices: DataFrame) -> DataFrame:
     """Pairs (u < v) to check among ``vertices`` (id, a, b, n and the group g)."""
-    return _divided(_hung(vertices, MASKS), node_pairs, SUB_MASKS)
+    return _divided(_hung(vertices, MASKS), partial(node_pairs, named=NEAREST), SUB_MASKS)
 
 
 def bounded(ids: DataFrame) -> DataFrame:
@@ -353,31 +398,27 @@ def checked_links(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percen
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = text_bytes(batch.column("text"))
-            packed = [h.tobytes() for i, j in byte_slices(off) for h in shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], words)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.large_binary()).cast(pa.binary())], ["id", "set"])
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_u"), batch.column("set_v"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("u", "v")], ["u", "v"])
+            for i, j in byte_slices(off):
+                found = list(shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], words))
+                ends = np.append(0, np.cumsum([len(h) for h in found]))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), lists], ["id", "set"])
 
     used = bounded(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
-    found = materialize(texts.join(used, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, set binary"), "sets")
+    found = materialize(texts.join(used, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, set array<long>"), "sets")
     # u is the smaller id; each of the two may have many pairs, so both sides are dealt
     parts = lambda c: pairs.groupBy(c).agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_TASK).alias(f"parts_{c}"))
     rows = pairs
     for c, other in (("u", "v"), ("v", "u")):
         spread = found.withColumnsRenamed({"id": c, "set": f"set_{c}"}).join(parts(c), c).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"parts_{c}") - 1)))
         rows = rows.join(parts(c), c).withColumn("part", F.pmod(F.xxhash64(other), F.col(f"parts_{c}"))).drop(f"parts_{c}").join(spread.drop(f"parts_{c}"), [c, "part"]).drop("part")
-    return rows.select("u", "v", "set_u", "set_v").mapInArrow(check, "u long, v long")
+    # compared by Spark itself: two sets a row would make large batches for Python
+    both = F.size(F.array_intersect("set_u", "set_v"))
+    return rows.where(100 * both >= percent * (F.size("set_u") + F.size("set_v") - both)).select("u", "v")
 
 
 def components(vertices: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, component) of the vertices (id, a, b, n) that are linked to another; ``texts`` has id and text."""
+    """(id, component) of the vertices (id, a, b, n and any PARITIES) that are linked to another; ``texts`` has id and text."""
     rays = materialize(ray_pairs(vertices), "rays")
     groups = materialize(connected_components(checked_links(rays, texts)).withColumnRenamed("component", "g"), "groups")
     grouped = vertices.join(groups, "id", "left").withColumn("g", F.coalesce("g", "id"))
@@ -391,11 +432,11 @@ def components(vertices: DataFrame, texts: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One row of each component: the smallest doc_id (null last), then the smallest hash of the text, then the first of rows that are alike."""
-    row, a, b, n, s1, s2, hashed = free_names(docs, "_row", "_a", "_b", "_n", "_s1", "_s2", "_text")
-    rows = materialize(with_fingerprints(docs.withColumn(row, F.monotonically_increasing_id()), [a, b, n, s1, s2]), "rows")
+    row, a, b, n, s1, s2, *odd = free_names(docs, "_row", "_a", "_b", "_n", "_s1", "_s2", *(f"_{p}" for p in PARITIES))
+    rows = materialize(with_fingerprints(docs.withColumn(row, F.monotonically_increasing_id()), [a, b, n, s1, s2, *odd]), "rows")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("text"), F.col(row).alias("row"))
-    vertices = materialize(rows.groupBy(s1, s2, n).agg(F.min(row).alias("id"), F.first(a).alias("a"), F.first(b).alias("b"), F.min(order).alias("least")).withColumnRenamed(n, "n"), "vertices")
-    members = components(vertices.where("n > 0").select("id", "a", "b", "n"), rows.select(F.col(row).alias("id"), "text"))
+    vertices = materialize(rows.groupBy(s1, s2, n).agg(F.min(row).alias("id"), F.first(a).alias("a"), F.first(b).alias("b"), *(F.first(c).alias(p) for c, p in zip(odd, PARITIES, strict=True)), F.min(order).alias("least")).withColumnRenamed(n, "n"), "vertices")
+    members = components(vertices.where("n > 0").drop("least", s1, s2), rows.select(F.col(row).alias("id"), "text"))
     named = vertices.select("id", "least").join(members, "id", "left").withColumn("component", F.coalesce("component", "id"))
     kept = materialize(named.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias(row)), "kept")
     gone = bounded(rows.select(row).join(kept, row, "left_anti"))
