@@ -115,7 +115,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, tolerance: float = 0.01)
     splitters = find_splitters(keys, shards, tolerance)
     buckets = max(1, keys.count() // shards // ROWS_PER_BUCKET)
     placed = keys.withColumn("shard", shard_of(F.col("k1"), F.col("k2"), splitters))
-    return number_in_group(placed, "shard", F.col("k2"), buckets, ["k2", "k1", "doc_id", "text_crc32", "size"]).select(
+    # by both keys: rows without a doc_id share the second one
+    return number_in_group(placed, "shard", F.xxhash64("k1", "k2"), buckets, ["k2", "k1", "doc_id", "text_crc32", "size"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("rank").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))
 
