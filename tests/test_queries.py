@@ -135,3 +135,17 @@ def test_event_clusters(spark):
     assert sorted((r["report_date"], r["cves"], r["article_urls"]) for r in found) == sorted(want)
     assert len({day for day, _, _ in want}) > 10 and all(r["n_articles"] == len(r["article_urls"]) for r in found)
     assert all(r["cluster_id"] == hashlib.sha256("\n".join(r["cves"]).encode()).hexdigest()[:16] and r["label"].startswith(r["cves"][0]) for r in found)
+
+
+def test_board_has_a_target_once_for_each_user(spark, tmp_path):
+    """Two users (1 and 91) name badhost1.com in one article, one user twice in another; the SQL has a row for each user."""
+    rows = [(25, 1, "click"), (31, 91, "click"), (8, 3, "view"), (13, 1, "click"), (15, 2, "click"), (49, 1, "click"), (55, 1, "click")]
+    table = spark.createDataFrame([(e, u, k) for e, u, k in rows], "event_id long, user_id long, event_type string")
+    table.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want = con.execute(ORACLES["action_board"])
+    columns = [c[0] for c in want.description]
+    want = plain(want.fetchall())
+    assert plain(QUERIES["action_board"](spark, str(tmp_path)).select(columns).collect()) == want
+    assert sum("badhost1.com" in r for r in want) == 4
