@@ -63,3 +63,11 @@ def test_work_grows_with_the_page():
 
     few = took(3_000)
     assert took(30_000) < 25 * few + 2
+
+
+def test_references_without_semicolon_stay(spark):
+    """As the SQL of page_bodies reads them: a title that was cut inside a reference keeps what is left of it."""
+    words = "word " * 120
+    page = f"<html><title>t</title><article><h1>One &amp; two&amp</h1><p>{words}&lt;b&gt; &amp;&amp;&lt</p></article></html>"
+    body = html.choose_body(spark.createDataFrame([(page, "t")], "html string, title string")).first().body
+    assert body.split("\n")[0] == "## One & two&amp" and body.endswith("&&&lt")
