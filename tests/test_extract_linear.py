@@ -38,3 +38,13 @@ def test_windows_of_many_values(spark):
     found = extract.local_windows(extract.extract_evidence(articles, TLDS), articles)
     windows = {r.normalized_value: r.window for r in found.collect()}
     assert len(windows) == 3_000 and windows["CVE-2024-10007"] == "CVE-2024-10007 was seen\nCVSS: 7.5"
+
+
+def test_written_articles_keep_their_partitions(spark, tmp_path):
+    """Extraction reads a few small articles in as many tasks as the session has, though Spark would merge their partitions."""
+    from vigil.plans import findings
+
+    rows = [(e, e % 5, "click") for e in range(200)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    found = findings.written_articles(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and found.count() == 25
