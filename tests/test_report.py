@@ -193,3 +193,12 @@ def test_stream_of_articles_and_samples(spark, tmp_path):
     sides = table(spark, "side string, t string", ("news", "2024-01-01 00:00:00"), ("feeds", "2024-01-02 12:00:00"), ("samples", None)).selectExpr("side", "CAST(t AS timestamp) AS exported_at")
     jobs.staleness(sides, lambda: F.lit("2024-01-02 13:00:00").cast("timestamp"), lambda df: late.extend(r["side"] for r in df.collect()))(sides, 0)
     assert sorted(late) == ["news", "samples"]
+
+
+def test_tied_readings_have_one_order(spark):
+    """Of readings at one place with one confidence the largest integration counts, in whatever order they come; forms of one value meet after that."""
+    iocs = "sha256 string, ioc_type string, value string, confidence int, source_integration_id string, first_seen_at string, pos long"
+    rows = [("ab", "domain", "Evil.com", 50, f"tool{k}", "2024-01-01", 7) for k in range(3)] + [("ab", "domain", "evil[.]com", 50, "tool9", "", 8), ("ab", "ip", "10.0.0.1", 9, "tool1", "", 1)]
+    for given in (rows, rows[::-1]):
+        got = samples.sample_rows(table(spark, iocs, *given).coalesce(1)).collect()
+        assert [tuple(r) for r in got] == [("ab", "domain", "evil.com", 50, "tool2", "2024-01-01")]
