@@ -203,3 +203,23 @@ def test_recall_of_links_between_groups(spark):
     kept = len(kept_components(spark, [*enumerate(rows)]))
     wanted = len(set(comp))
     assert wanted <= pairs + 3 and kept - wanted <= 0.05 * pairs
+
+
+def test_no_pair_of_two_groups_is_left(spark):
+    """Two groups whose nearest pairs fail in all nodes, and that one text links whose print is farther off."""
+    w, n = words(random.Random(31), 300).split(), N.STAR_ROWS + 6
+    text = lambda *at: " ".join(f"new{k}" if k in at else x for k, x in enumerate(w))
+    texts = [text(), *(text(5 + k) for k in range(n)), *(text(85 + k, 200, 210, 220, 230, 240) for k in range(n))]
+    assert len(set(brute_components(texts))) == 1 and len(set(brute_components(texts[1:]))) == 2
+    free = [b for b in range(N.BITS) if b not in N._masks()[0][0]]
+
+    def flipped(n):
+        bits = np.zeros(N.BITS, np.uint8)
+        bits[free[:n]] = 1
+        return np.packbits(bits, bitorder="little").view(np.int64).tolist()
+
+    a, b, far = flipped(0), flipped(24), (np.array(flipped(27)) ^ np.array(flipped(24))).tolist()
+    rows = [(k, *(far if k == 0 else a if k <= n else b), 296) for k in range(2 * n + 1)]
+    vertices = spark.createDataFrame(rows, "id long, a long, b long, n long")
+    found = N.components(vertices, spark.createDataFrame([*enumerate(texts)], "id long, text string")).collect()
+    assert {r["id"]: r["component"] for r in found} == dict.fromkeys(range(2 * n + 1), 0)

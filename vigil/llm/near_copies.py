@@ -24,9 +24,9 @@ shingles in it, and two sets differ by one at least where their bits do. Every p
 two sets, so nothing is linked that should not be. A link can be missed if the two prints
 differ in more than DISTANCE bits or share no mask's pattern; by the binomial law that is
 4 % of the pairs at a similarity of exactly 0.8, 1 % at 0.85 and under 0.1 % at 0.9, and
-0.1 % more where parities of a sample decide (sets of over SAMPLED shingles). A link between
-two groups can also be missed if it fails for the NEAREST pairs of all nodes that the groups
-share (24 for prints that are alike); tests/llm/test_near_copies.py measures it.
+0.1 % more where parities of a sample decide (sets of over SAMPLED shingles). None is missed
+for the NEAREST pairs: where a node named as many and the groups are still apart after the
+check, a third pass names every pair of theirs that is left.
 
 Words are those between ASCII white space, A-Z lower-cased. Edge cases: a text of fewer than
 WORDS words has one shingle of all of them; null and blank texts have the empty set and are
@@ -228,10 +228,10 @@ def stars(fp: np.ndarray, size: np.ndarray) -> np.ndarray:
     return leader
 
 
-def range_pairs(fp: np.ndarray, size: np.ndarray, group: np.ndarray, starts: np.ndarray, named: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i, j) of the ``named`` nearest pairs of prints of each two groups of a node, if within DISTANCE bits and of like size.
+def range_pairs(fp: np.ndarray, size: np.ndarray, group: np.ndarray, starts: np.ndarray, named: int | None = 1) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places (i, j) of the ``named`` nearest pairs of prints of each two groups of a node, if within DISTANCE bits and of like size, and whether there may be more of theirs.
 
-    fp: (prints, 2) words and, behind them, any parities, nodes one after another; starts: where each node begins. Groups have numbers that no other node uses.
+    Where ``named`` is None all such pairs, a block of ranges at a time. fp: (prints, 2) words and, behind them, any parities, nodes one after another; starts: where each node begins. Groups have numbers that no other node uses.
     """
     lo, hi = starts.astype(np.int64), np.append(starts[1:], len(fp)).astype(np.int64)
     levels = []
@@ -251,7 +251,7 @@ def range_pairs(fp: np.ndarray, size: np.ndarray, group: np.ndarray, starts: np.
         lo, hi = nlo, nhi
     out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 3]
 
-    def compare(a: np.ndarray, b: np.ndarray) -> None:
+    def compare(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """All pairs of prints of the small ranges ``a`` and ``b``."""
         _, _, _, _, _, lo, hi = levels[-1]
         step = np.arange(LEAF)
@@ -265,16 +265,20 @@ def range_pairs(fp: np.ndarray, size: np.ndarray, group: np.ndarray, starts: np.
             d = _bit_count(fp[i, :2] ^ fp[j, :2])
             near = d <= DISTANCE
             near[near] = _can_link(fp, size, i[near], j[near])
-            d = _bit_count(fp[i] ^ fp[j])
-            out.append(nearest(i[near], j[near], d[near]))
+            i, j = i[near], j[near]
+            if named is None:
+                yield i, j, np.zeros(len(i), bool)
+            else:
+                out.append(nearest(i, j, _bit_count(fp[i] ^ fp[j]))[:3])
 
     def nearest(i: np.ndarray, j: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The pairs of least distance for each two groups."""
+        """The pairs of least distance for each two groups, and whether those have as many as are named."""
         g, h = np.minimum(group[i], group[j]), np.maximum(group[i], group[j])
         order = np.lexsort([j, i, d, h, g])
         i, j, d, g, h = (x[order] for x in (i, j, d, g, h))
-        new = np.concatenate([np.ones(min(named, len(g)), bool), (g[named:] != g[:-named]) | (h[named:] != h[:-named])])
-        return i[new], j[new], d[new]
+        apart = lambda k: np.concatenate([np.ones(min(k, len(g)), bool), (g[k:] != g[:-k]) | (h[k:] != h[:-k])])
+        new, many = apart(named), np.diff(np.append(np.flatnonzero(apart(1)), len(g)))
+        return i[new], j[new], d[new], np.repeat(many >= named, many)[new]
 
     stack = [(0, np.arange(len(starts)), np.arange(len(starts)))]
     while stack:
@@ -290,13 +294,15 @@ def range_pairs(fp: np.ndarray, size: np.ndarray, group: np.ndarray, starts: np.
         if not len(a):
             continue
         if not rest:
-            compare(a, b)
+            yield from compare(a, b)
             continue
         many, child = rest
         ca, cb, ma, mb, same = child[a], child[b], many[a], many[b], a == b
         both, left, right = ma & mb, ma & ~same, mb
         stack.append((depth + 1, np.concatenate([ca, ca[both] + 1, ca[right], ca[left] + 1]), np.concatenate([cb, cb[both] + 1, cb[right] + 1, cb[left]])))
-    return nearest(*(np.concatenate(x) for x in zip(*out, strict=True)))[:2]
+    if named is not None:
+        i, j, _, more = nearest(*(np.concatenate(x) for x in zip(*out, strict=True)))
+        yield i, j, more
 
 
 def star_rays(node: np.ndarray, ids: np.ndarray, fp: np.ndarray, size: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -310,8 +316,8 @@ def star_rays(node: np.ndarray, ids: np.ndarray, fp: np.ndarray, size: np.ndarra
     return np.minimum(ids[rays], ids[leader[rays]]), np.maximum(ids[rays], ids[leader[rays]])
 
 
-def node_pairs(node: np.ndarray, ids: np.ndarray, fp: np.ndarray, size: np.ndarray, group: np.ndarray, named: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """Ids (u < v) of the ``named`` nearest pairs of near prints of each two groups in each node."""
+def named_pairs(node: np.ndarray, ids: np.ndarray, fp: np.ndarray, size: np.ndarray, group: np.ndarray, named: int | None = 1) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids (u < v) of the ``named`` nearest pairs of near prints of each two groups in each node (None: all), and whether there may be more of theirs."""
     new = np.concatenate([[True], node[1:] != node[:-1]])
     # a group's prints in a node take the number of their first place and stand together there, so that whole ranges of them are pruned
     by = np.lexsort([group, node])
@@ -319,24 +325,39 @@ def node_pairs(node: np.ndarray, ids: np.ndarray, fp: np.ndarray, size: np.ndarr
     number = np.empty(len(node), np.int64)
     number[by] = np.minimum.reduceat(by, np.flatnonzero(first))[np.cumsum(first) - 1]
     order = np.lexsort([number, np.cumsum(new)])
-    i, j = range_pairs(fp[order], size[order], number[order], np.flatnonzero(new), named)
-    u, v = ids[order[i]], ids[order[j]]
-    return np.minimum(u, v), np.maximum(u, v)
+    for i, j, more in range_pairs(fp[order], size[order], number[order], np.flatnonzero(new), named):
+        u, v = ids[order[i]], ids[order[j]]
+        yield np.minimum(u, v), np.maximum(u, v), more
+
+
+def node_pairs(node: np.ndarray, ids: np.ndarray, fp: np.ndarray, size: np.ndarray, group: np.ndarray, named: int | None = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of ``named_pairs`` at once."""
+    none = np.zeros(0, np.int64)
+    u, v, _ = zip((none, none, none), *named_pairs(node, ids, fp, size, group, named), strict=True)
+    return np.concatenate(u), np.concatenate(v)
+
+
+def _rays(*columns: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    u, v = star_rays(*columns)
+    yield u, v, np.zeros(len(u), bool)
 
 
 def _prints(rows: DataFrame) -> list[str]:
     return ["a", "b", *(c for c in PARITIES if c in rows.columns)]
 
 
-def _pairs_in(rows: DataFrame, find: Callable[..., tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """(u, v) that ``find`` names in each node of ``rows`` (node, id, a, b, n, g and any PARITIES)."""
+_Find = Callable[..., Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
+
+
+def _pairs_in(rows: DataFrame, find: _Find) -> DataFrame:
+    """(u, v, more) that ``find`` names in each node of ``rows`` (node, id, a, b, n, g and any PARITIES)."""
     columns = ["node", "id", "n", "g", *_prints(rows)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(part: list[np.ndarray]) -> pa.RecordBatch:
+        def pairs(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             node, ids, n, g, *prints = part
-            u, v = find(node, ids, np.stack(prints, 1).view(np.uint64), n, g)
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+            for found in find(node, ids, np.stack(prints, 1).view(np.uint64), n, g):
+                yield pa.RecordBatch.from_arrays([*map(pa.array, found)], ["u", "v", "more"])
 
         held: list[np.ndarray] | None = None
         for batch in batches:
@@ -344,18 +365,18 @@ def _pairs_in(rows: DataFrame, find: Callable[..., tuple[np.ndarray, np.ndarray]
             part = part if held is None else [np.concatenate(x) for x in zip(held, part, strict=True)]
             last = np.flatnonzero(part[0][1:] != part[0][:-1])
             if len(last):  # all but the last node, which may go on
-                yield pairs([x[: last[-1] + 1] for x in part])
+                yield from pairs([x[: last[-1] + 1] for x in part])
                 part = [x[last[-1] + 1 :] for x in part]
             held = part
         if held is not None and len(held[0]):
-            yield pairs(held)
+            yield from pairs(held)
 
     dealt = rows.repartition("node").sortWithinPartitions("node", F.floor(F.log(F.col("n")) / F.log(F.lit(1 / SIMILARITY))), _gray_rank("a"), _gray_rank("b"))
-    return dealt.select(columns).mapInArrow(run, "u long, v long")
+    return dealt.select(columns).mapInArrow(run, "u long, v long, more boolean")
 
 
-def _divided(rows: DataFrame, find: Callable[..., tuple[np.ndarray, np.ndarray]], sub_masks: int) -> DataFrame:
-    """Distinct pairs that ``find`` names in the nodes of ``rows``; nodes of over NODE_ROWS are divided by ``sub_masks`` masks each time."""
+def _divided(rows: DataFrame, find: _Find, sub_masks: int) -> DataFrame:
+    """Distinct pairs (and whether there may be more of their groups in any node) that ``find`` names in the nodes of ``rows``; nodes of over NODE_ROWS are divided by ``sub_masks`` masks each time."""
     lower, pairs = _masks()[1], None
     for depth in range(DEPTH + 1):
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("m")).where(f"m > {NODE_ROWS}")
@@ -367,7 +388,7 @@ def _divided(rows: DataFrame, find: Callable[..., tuple[np.ndarray, np.ndarray]]
         masks = lower[SUB_MASKS * depth : SUB_MASKS * depth + sub_masks]
         hung = F.explode(F.array(*[_under(bits, 1000 * (depth + 1) + k, F.col("node")) for k, bits in enumerate(masks)]))
         rows = materialize(rows.join(sizes, "node", "left_semi").select("id", "n", "g", *_prints(rows), hung.alias("node")), "nodes")
-    return pairs.distinct()
+    return pairs.groupBy("u", "v").agg(F.max("more").alias("more"))
 
 
 def _hung(vertices: DataFrame, masks: int) -> DataFrame:
@@ -379,12 +400,12 @@ def ray_pairs(vertices: DataFrame) -> DataFrame:
     """Rays (u < v) of the stars among ``vertices`` (id, a, b, n)."""
     rows = _hung(vertices.withColumn("g", F.col("id")), STAR_MASKS)
     large = rows.groupBy("node").agg(F.count(F.lit(1)).alias("m")).where(f"m > {STAR_ROWS}").select("node")
-    return _divided(rows.join(large, "node", "left_semi"), star_rays, 1)
+    return _divided(rows.join(large, "node", "left_semi"), _rays, 1).select("u", "v")
 
 
-def candidate_pairs(vertices: DataFrame) -> DataFrame:
-    """Pairs (u < v) to check among ``vertices`` (id, a, b, n and the group g)."""
-    return _divided(_hung(vertices, MASKS), partial(node_pairs, named=NEAREST), SUB_MASKS)
+def candidate_pairs(vertices: DataFrame, named: int | None = NEAREST) -> DataFrame:
+    """Pairs (u < v) to check among ``vertices`` (id, a, b, n and the group g), ``named`` for each two groups of a node (None: all), and whether there may be more of these groups."""
+    return _divided(_hung(vertices, MASKS), partial(named_pairs, named=named), SUB_MASKS)
 
 
 def bounded(ids: DataFrame) -> DataFrame:
@@ -417,17 +438,39 @@ def checked_links(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percen
     return rows.where(100 * both >= percent * (F.size("set_u") + F.size("set_v") - both)).select("u", "v")
 
 
+def _grouped(rows: DataFrame, groups: DataFrame, of: str, g: str) -> DataFrame:
+    """Add ``g``, the group of the id in ``of`` by ``groups`` (id, component); a vertex that is linked to none is its own."""
+    known = groups.select(F.col("id").alias(of), F.col("component").alias(g))
+    return rows.join(known, of, "left").withColumn(g, F.coalesce(g, of))
+
+
+def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` (id, component) with those joined that ``links`` (u, v) link."""
+    ends = _grouped(_grouped(links, groups, "u", "gu"), groups, "v", "gv").select(F.col("gu").alias("u"), F.col("gv").alias("v"))
+    merged = connected_components(ends)
+    first = groups.unionByName(merged.select("id", F.col("id").alias("component"))).distinct()
+    return first.join(merged.select(F.col("id").alias("component"), F.col("component").alias("_to")), "component", "left").select("id", F.coalesce("_to", "component").alias("component"))
+
+
+def pairs_left(vertices: DataFrame, pairs: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """The pairs of groups (id, component) that are apart though ``pairs`` (u, v, more), which are checked, name not all of theirs; None if there are no such groups."""
+    ends = lambda df: _grouped(_grouped(df, groups, "u", "gu"), groups, "v", "gv").withColumns({"g": F.least("gu", "gv"), "h": F.greatest("gu", "gv")})
+    apart = materialize(ends(pairs.where("more")).where("g != h").select("g", "h").distinct(), "apart")
+    if apart.isEmpty():
+        return None
+    met = apart.select(F.explode(F.array("g", "h")).alias("g")).distinct()
+    every = candidate_pairs(_grouped(vertices, groups, "id", "g").join(met, "g", "left_semi"), named=None).select("u", "v")
+    return ends(every.join(pairs, ["u", "v"], "left_anti")).join(apart, ["g", "h"], "left_semi").select("u", "v")
+
+
 def components(vertices: DataFrame, texts: DataFrame) -> DataFrame:
     """(id, component) of the vertices (id, a, b, n and any PARITIES) that are linked to another; ``texts`` has id and text."""
     rays = materialize(ray_pairs(vertices), "rays")
-    groups = materialize(connected_components(checked_links(rays, texts)).withColumnRenamed("component", "g"), "groups")
-    grouped = vertices.join(groups, "id", "left").withColumn("g", F.coalesce("g", "id"))
-    links = checked_links(materialize(candidate_pairs(grouped), "pairs"), texts)
-    for end in ("u", "v"):  # between groups
-        links = links.join(groups.withColumnRenamed("id", end), end, "left").withColumn(end, F.coalesce("g", end)).drop("g")
-    merged = connected_components(links)
-    first = groups.unionByName(merged.select("id", F.col("id").alias("g"))).distinct()
-    return first.join(merged.withColumnRenamed("id", "g"), "g", "left").select("id", F.coalesce("component", "g").alias("component"))
+    groups = materialize(connected_components(checked_links(rays, texts)), "groups")
+    pairs = materialize(candidate_pairs(_grouped(vertices, groups, "id", "g")), "pairs")
+    groups = materialize(_merged(groups, checked_links(pairs.select("u", "v"), texts)), "groups")
+    left = pairs_left(vertices, pairs, groups)
+    return groups if left is None else _merged(groups, checked_links(materialize(left, "left"), texts))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
