@@ -434,6 +434,22 @@ def test_packing_words():
         assert np.frombuffer(raw, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_packing_column():
+    """A column's texts as the tokenizer has them, by stems and runs of marks; words of one stem share an entry."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    table, tok = packing.WordIds(path), Tokenizer.from_file(path)
+    texts = ["", " \t", "\x0bHeron$$$ heron, HERON,### heron", "a.b c$$$$$ '$ Éclair&&& ǅ* İ! <|endoftext|>, $$$ ŉ.,;:", "x" * 70, "heron heron"] * 3
+    for kind in (pa.string(), pa.large_string()):
+        ids, off = table.encode_column(pa.array(["left out", *texts], kind).slice(1))
+        assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:], strict=True)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert "heron" in table and not {"Heron$$$", "heron,", "HERON,###"} & table.keys() and "x" * 70 not in table
+    ids, off = table.encode_column(pa.array([], pa.string()))
+    assert len(ids) == 0 and off.tolist() == [0]
+
+
 def test_language(spark, docs, empty):
     rng = random.Random(4)
     stems = {"en": ["the", "thing", "water", "and"], "de": ["schön", "und", "ich", "zeit"], "fr": ["être", "la", "vous", "où"]}

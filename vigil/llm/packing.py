@@ -24,28 +24,39 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.llm.arrow_text import byte_slices, text_bytes
 from vigil.llm.numbering import number_in_group
 from vigil.plans.materialize import materialize
 
 END_ID = 1
 ROWS_PER_BUCKET = 1000
-#: Encoded words that a worker keeps, and the longest one kept.
-CACHE_ENTRIES, CACHE_BYTES = 600_000, 64
-PUNCTUATION = ".,;:!?"
-#: Latin letters that keep their number of characters in lower case (all but the dotted capital I), and one mark.
-LETTERS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]?)").fullmatch
+#: Encoded words that a task keeps, and the longest one kept.
+CACHE_ENTRIES, CACHE_CHARS = 300_000, 64
+#: Bytes of texts that are encoded at once.
+SLICE = 4 << 20
+#: Latin letters that keep their number of characters in lower case (all but the dotted capital I), and marks that make no special string.
+_LATIN = r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"
+LETTERS = re.compile(_LATIN).fullmatch
+WORD = rf"^(?P<stem>{_LATIN})(?P<marks>[.,;:!?#$%&*]{{0,4}})$"
+
+
+def _gather(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``ids`` at ``begin`` behind each other, and the len + 1 offsets of them."""
+    ends = np.append(0, np.cumsum(size))
+    return ids[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])], ends
 
 
 class WordIds(dict):
     """Word between ASCII white space -> its ids as little-endian bytes.
 
     The tokenizer drops white space before it merges, so words are independent of each other. It also cuts between letters
-    and punctuation and ignores case, so a word of Latin letters with at most one mark behind is looked up as letters and mark.
+    and punctuation and ignores case, so a word of Latin letters with a few marks behind is looked up as lower-case stem and marks.
     A word of letters alone is merged as one piece, whose last id is the only one that ends a word; so new ones are encoded
-    many in a line and cut apart at those ids.
+    many in a line and cut apart at those ids. Arrow cuts texts and parts words, so that Python sees each stem of a column once.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -57,7 +68,6 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends_word[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-        self.marks = {"": b""} | {m: self._encode([m])[0] for m in PUNCTUATION}
         super().__init__()
 
     def _encode(self, words: list[str]) -> list[bytes]:
@@ -77,32 +87,41 @@ class WordIds(dict):
             out += [raw[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
         return out
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Add words; those of letters share the entry of their lower-case stem."""
-        stems, whole = [], []
-        for w in words:
-            m = LETTERS(w.decode())
-            if m:
-                stems.append((w, m[1].lower(), m[2]))
-            else:
-                whole.append(w)
-        new = list({s for _, s, _ in stems if s not in self})
-        self.update(zip(new, self._encode_letters(new), strict=True))
-        self.update(zip(whole, self._encode([w.decode() for w in whole]), strict=True))
-        self.update((w, self[s] + self.marks[m]) for w, s, m in stems)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _ids_of(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the different words of ``column``, and for each row where its word's begin and how many there are."""
+        coded = column.dictionary_encode()
+        words = coded.dictionary.to_pylist()
         if len(self) > CACHE_ENTRIES:
             self.clear()
-        words = [t.encode().split() for t in texts]
-        new = [w for w in set().union(*words) if w not in self]
-        if new:
-            self._learn(new)
-        out = [b"".join(map(self.__getitem__, w)) for w in words]
+        new = [w for w in words if w not in self]
+        letters = [w for w in new if LETTERS(w)]
+        self.update(zip(letters, self._encode_letters(letters), strict=True))
+        whole = [w for w in new if w not in self]
+        self.update(zip(whole, self._encode(whole), strict=True))
+        found = [*map(self.__getitem__, words)]
         for w in new:
-            if len(w) > CACHE_BYTES:
+            if len(w) > CACHE_CHARS:
                 self.pop(w, None)
-        return out
+        size, at = np.fromiter(map(len, found), np.int64, len(found)) >> 2, coded.indices.to_numpy()
+        return np.frombuffer(b"".join(found), "<u4"), (np.cumsum(size) - size)[at], size[at]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, len + 1 offsets)."""
+        cut = pc.ascii_split_whitespace(texts)
+        coded = cut.flatten().dictionary_encode()
+        words, at = coded.dictionary, coded.indices.to_numpy()
+        parts = pc.extract_regex(words, WORD)
+        stems, stem_at, stem_size = self._ids_of(pc.if_else(parts.is_valid(), pc.utf8_lower(pc.struct_field(parts, "stem")), words))
+        marks, mark_at, mark_size = self._ids_of(pc.if_else(parts.is_valid(), pc.struct_field(parts, "marks"), ""))
+        pieces = np.stack([stem_at, mark_at + len(stems)], 1).ravel(), np.stack([stem_size, mark_size], 1).ravel()
+        ids, ends = _gather(np.concatenate([stems, marks]), *pieces)
+        ends = ends[::2]
+        ids, ends = _gather(ids, ends[:-1][at], np.diff(ends)[at])
+        return ids, ends[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        ids, off = self.encode_column(pa.array(texts, pa.large_string()))
+        return [ids[a:b].tobytes() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
 
 
 _tables: dict[str, WordIds] = {}
@@ -120,20 +139,22 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int) -> DataFra
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = word_ids(tokenizer_file).encode, np.array([END_ID], "<u4").tobytes()
+        table, end = word_ids(tokenizer_file), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+            texts = pc.fill_null(batch.column("text"), "")
             rows = []
-            for i in range(0, len(texts), 256):
-                for k, ids in enumerate(encode(texts[i : i + 256]), i):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at : at + 4 * capacity]
-                        rows.append((k, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            for i, j in byte_slices(text_bytes(texts)[1], SLICE):
+                ids, off = table.encode_column(texts.slice(i, j - i))
+                for k, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True), i):
+                    last = b - a - (b - a) % capacity  # the piece that takes the end id
+                    for piece, at in enumerate(range(0, last + 1, capacity)):
+                        part = ids[a + at : min(a + at + capacity, b)].tobytes() + (end if at == last else b"")
+                        rows.append((k, piece, at, len(part) // 4, zlib.crc32(part)))
             of, *rest = (np.array(x, np.int64) for x in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 5
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(of)), pa.array(rest[0].astype(np.int32)), *map(pa.array, rest[1:])],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
+        table.clear()  # the worker lives on, and other stages need its memory
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
