@@ -2,8 +2,12 @@
 
 import time
 
+from pyspark.sql import functions as F
+
+from vigil.functions import text
 from vigil.operators import extract
 from vigil.plans.queries import TLDS
+from vigil.plans.registry import QUERIES
 
 SCHEMA = "url string, body string, publisher_hosts array<string>"
 
@@ -48,3 +52,30 @@ def test_written_articles_keep_their_partitions(spark, tmp_path):
     spark.createDataFrame(rows, "event_id long, user_id long, event_type string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
     found = findings.written_articles(spark, str(tmp_path))
     assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and found.count() == 25
+
+
+def test_headings_are_normalized_once_and_only_where_their_first_word_fits(spark):
+    given = ["Indicators of Compromise (IoCs):", "  ## IOCs", "**I_oC**", "(iocs) Domains", "file indicator", "Network Indicators", "Hashes", "IP addresses", "惡意網域清單", "網路指標", "IP位址",
+             "Related  articles", "latest news", "Learn more", "additional resources -", "References", "recommended", "More from us", "you may also like", "相關文章", "更多消息：",
+             "Mitigations", "Recommendation", "Conclusion", "summary *", "Detections", "Advanced hunting queries", "Acknowledgements", "緩解措施", "偵測",
+             "hashes of 8.8.8.8", "A plain line", "", None, "### ## IOCs"]
+    rows = spark.createDataFrame([(v,) for v in given], "v string")
+    said = F.col("n")
+    plain = F.when(said.rlike(text.IOC_HEADINGS), "ioc").when(said.rlike(text.EXCLUDED_HEADINGS), "excluded").when(said.rlike(text.END_HEADINGS), "end")
+    got = rows.withColumn("n", text.normalize_heading(F.col("v"))).select(text.heading_kind(F.col("v")).alias("kind"), plain.alias("plain")).collect()
+    assert [r["kind"] for r in got] == [r["plain"] for r in got] == ["ioc"] * 11 + ["excluded"] * 10 + ["end"] * 9 + [None] * 5
+    plan = rows.select(text.heading_kind(F.col("v")).alias("kind"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract") == 1
+
+
+def test_signs_of_lines(spark):
+    lines = ["a RAT named Foobar", "rate of operation", "the APT group called Foobar", "T1059 ATT&CK", "勒索軟體名為 Foobar", "Foobar Stealer", "nothing", "cVe-2024-1234", "hxxp://a.b/c", "x[.]com", "ab" * 16, "2001:db8::1", "x\rFoobar ransomware\u2028y"]
+    rows = extract.line_matches(extract.lines_of(spark.createDataFrame([(str(i), x, ["n.org"]) for i, x in enumerate(lines)], SCHEMA))).orderBy(F.col("url").cast("int"), "ln")
+    got = [(r["url"], r["found"] is not None, r["claims"] is not None) for r in rows.collect()]
+    flags = ["ny", "nn", "ny", "ny", "ny", "ny", "nn", "yn", "yn", "yn", "yn", "yn", "nn", "ny", "nn"]
+    assert [("y" if a else "n") + ("y" if b else "n") for _, a, b in got] == flags
+
+
+def test_documents_of_one_row_group_are_dealt_over_tasks(spark):
+    found = QUERIES["extract_evidence"](spark, "/root/testdata/sf0.001")
+    assert found.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism

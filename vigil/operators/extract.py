@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,9 +43,12 @@ GENERIC_NAMES = (
     "incident", "into", "java", "known", "latest", "linux", "macos", "major", "malicious", "new", "node.js", "python", "recent", "related", "researchers", "suspected", "that", "their", "these", "this",
     "those", "unknown", "when", "where", "which", "while", "windows", "with")
 NETWORK = ("ip", "domain", "url")
-#: A line that none of the patterns can match has none of these.
-_INDICATOR_SIGN = r"(?i)[.\])][a-z0-9\[(@_+-]|:[0-9a-f]*:|cve-|[0-9a-f]{32}|://"
-_CLAIM_SIGN = r"(?i)malware|ransomware|backdoor|trojan|botnet|wiper|stealer|\brat\b|implant|loader|toolset|threat|\bapt\b|campaign|family|t\d{4}|[惡勒後木間攻]"
+#: A line that none of the patterns can match has none of these signs: pieces of its lower-case form, and patterns. Each alone scans a line
+#: many times faster than one alternation of all.
+_INDICATOR_SIGN = (("://", "cve-"), (r"[.\])][A-Za-z0-9\[(@_+-]", r":[0-9A-Fa-f]*:", r"[0-9A-Fa-f]{32}"))
+_CLAIM_SIGN = (("malware", "ransomware", "backdoor", "trojan", "botnet", "wiper", "stealer", "implant", "loader", "toolset", "threat", "campaign", "family", *"惡勒後木間攻"),
+               (r"[Tt]\d{4}",))
+_SHORT_SIGN = (("rat", "apt"), (r"(?i)\b(?:rat|apt)\b",))
 
 
 def lines_of(articles: DataFrame) -> DataFrame:
@@ -84,9 +90,13 @@ _CLAIMS = ((90, "malware_family", FAMILY), (91, "attack_technique", TECHNIQUE))
 
 def line_matches(lines: DataFrame) -> DataFrame:
     """Add ``found``, the matches of all indicator patterns, and ``claims``, those of the claim patterns; headings are not read, nor lines without a sign of either."""
-    read = lines.where("NOT is_heading")
-    signed = lambda sign: F.when(F.col("line").rlike(sign), F.col("line"))
-    return read.withColumns({"found": scan.found_in(signed(_INDICATOR_SIGN), _INDICATORS), "claims": scan.found_in(signed(_CLAIM_SIGN), _CLAIMS)})
+    read = lines.where("NOT is_heading").withColumn("low", F.lower("line"))
+    says = lambda words: reduce(or_, [F.col("low").contains(w) for w in words])
+    fits = lambda patterns: reduce(or_, [F.col("line").rlike(p) for p in patterns])
+    signed = lambda sign: F.when(sign, F.col("line"))
+    indicator = says(_INDICATOR_SIGN[0]) | fits(_INDICATOR_SIGN[1])
+    claim = says(_CLAIM_SIGN[0]) | fits(_CLAIM_SIGN[1]) | (says(_SHORT_SIGN[0]) & fits(_SHORT_SIGN[1]))
+    return read.withColumns({"found": scan.found_in(signed(indicator), _INDICATORS), "claims": scan.found_in(signed(claim), _CLAIMS)}).drop("low")
 
 
 def _judged(m: Column, tlds: tuple[str, ...]) -> Column:
