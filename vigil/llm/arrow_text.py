@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -32,3 +34,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
     return h ^ (h >> np.uint64(32))
+
+
+def give_back() -> None:
+    """Free memory that Arrow's pool and the C library hold for this process goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library's alone
+    if trim is not None:
+        trim(0)
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, with its memory given back at the task's end: the worker lives on, and other stages need its share of the executor."""
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.arrow_text import byte_slices, mix, text_bytes
+from vigil.llm.arrow_text import byte_slices, frugal, mix, text_bytes
 from vigil.llm.names import free_names
 from vigil.operators.graph import connected_components
 from vigil.plans.materialize import discard, materialize
@@ -172,7 +172,7 @@ def with_fingerprints(docs: DataFrame, names: list[str]) -> DataFrame:
             columns = zip(*rows, strict=True) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(_signed, columns)], [*batch.schema.names, *names])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run), schema)
 
 
 def _masks() -> tuple[list[list[int]], list[list[int]]]:
@@ -372,7 +372,7 @@ def _pairs_in(rows: DataFrame, find: _Find) -> DataFrame:
             yield from pairs(held)
 
     dealt = rows.repartition("node").sortWithinPartitions("node", F.floor(F.log(F.col("n")) / F.log(F.lit(1 / SIMILARITY))), _gray_rank("a"), _gray_rank("b"))
-    return dealt.select(columns).mapInArrow(run, "u long, v long, more boolean")
+    return dealt.select(columns).mapInArrow(frugal(run), "u long, v long, more boolean")
 
 
 def _divided(rows: DataFrame, find: _Find, sub_masks: int) -> DataFrame:
@@ -426,7 +426,7 @@ def checked_links(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percen
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), lists], ["id", "set"])
 
     used = bounded(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
-    found = materialize(texts.join(used, "id", "left_semi").select("id", "text").mapInArrow(sets, "id long, set array<long>"), "sets")
+    found = materialize(texts.join(used, "id", "left_semi").select("id", "text").mapInArrow(frugal(sets), "id long, set array<long>"), "sets")
     # u is the smaller id; each of the two may have many pairs, so both sides are dealt
     parts = lambda c: pairs.groupBy(c).agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_TASK).alias(f"parts_{c}"))
     rows = pairs

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.arrow_text import byte_slices, text_bytes
+from vigil.llm.arrow_text import byte_slices, frugal, give_back, text_bytes
 from vigil.llm.numbering import number_in_group
 from vigil.plans.materialize import materialize
 
@@ -37,7 +37,7 @@ ROWS_PER_BUCKET = 1000
 #: Encoded words that a task keeps, and the longest one kept.
 CACHE_ENTRIES, CACHE_CHARS = 300_000, 64
 #: Bytes of texts that are encoded at once.
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Latin letters that keep their number of characters in lower case (all but the dotted capital I), and marks that make no special string.
 _LATIN = r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"
 LETTERS = re.compile(_LATIN).fullmatch
@@ -150,13 +150,15 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int) -> DataFra
                     for piece, at in enumerate(range(0, last + 1, capacity)):
                         part = ids[a + at : min(a + at + capacity, b)].tobytes() + (end if at == last else b"")
                         rows.append((k, piece, at, len(part) // 4, zlib.crc32(part)))
+                del ids, off
+                give_back()  # slices differ in size, and what the pool keeps of each adds up
             of, *rest = (np.array(x, np.int64) for x in zip(*rows, strict=True)) if rows else [np.zeros(0, np.int64)] * 5
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(of)), pa.array(rest[0].astype(np.int32)), *map(pa.array, rest[1:])],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
-        table.clear()  # the worker lives on, and other stages need its memory
+        table.clear()
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", "text").mapInArrow(frugal(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 class SumIndex:
@@ -311,4 +313,4 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = 4096) -
 
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return ranked.select(*columns, "rank").mapInArrow(place, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.select(*columns, "rank").mapInArrow(frugal(place), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.arrow_text import byte_slices, mix, text_bytes
+from vigil.llm.arrow_text import byte_slices, frugal, mix, text_bytes
 from vigil.plans.materialize import materialize
 
 LENGTH, ANCHOR = 200, 32
@@ -112,7 +112,7 @@ def _runs(keyed: DataFrame, length: int) -> DataFrame:
                     [pa.array(h.view(np.int64)), pa.array(fh.view(np.int64)), pa.array(k1[i + doc]), pa.array(k2[i + doc]),
                      pa.array((begin + s - cut[doc]).astype(np.int32)), pa.array(n.astype(np.int32))], ["h", "fh", "k1", "k2", "s", "n"])
 
-    return keyed.select("k1", "k2", "text").mapInArrow(run, "h long, fh long, k1 long, k2 long, s int, n int")
+    return keyed.select("k1", "k2", "text").mapInArrow(frugal(run), "h long, fh long, k1 long, k2 long, s int, n int")
 
 
 def repeated_starts(symbols: np.ndarray, length: int) -> np.ndarray:
@@ -202,7 +202,7 @@ def _repeated_in_blocks(segments: DataFrame, length: int) -> DataFrame:
             yield block(held)
 
     dealt = segments.repartition("h").sortWithinPartitions("h")
-    return dealt.select("h", "bytes", "alone", "k1", "k2", "s").mapInArrow(run, "k1 long, k2 long, s long, e long")
+    return dealt.select("h", "bytes", "alone", "k1", "k2", "s").mapInArrow(frugal(run), "k1 long, k2 long, s long, e long")
 
 
 def _repeated_by_count(segments: DataFrame, length: int) -> DataFrame:
@@ -219,7 +219,7 @@ def _repeated_by_count(segments: DataFrame, length: int) -> DataFrame:
                     [pa.array(w[:, 0]), pa.array(w[:, 1]), pa.array([alone] * n), pa.array([k1] * n), pa.array([k2] * n), pa.array(np.arange(s, s + n))],
                     ["w1", "w2", "alone", "k1", "k2", "s"])
 
-    windows = segments.select("bytes", "alone", "k1", "k2", "s").mapInArrow(run, "w1 long, w2 long, alone boolean, k1 long, k2 long, s long")
+    windows = segments.select("bytes", "alone", "k1", "k2", "s").mapInArrow(frugal(run), "w1 long, w2 long, alone boolean, k1 long, k2 long, s long")
     # a passage that very many texts share has as many equal windows; they are dealt over SALTS tasks, the list of windows goes to each
     often = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("w1", "w2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     dealt = windows.where("alone").withColumn("salt", F.pmod(F.xxhash64("k1", "s"), F.lit(SALTS)).cast("int"))
@@ -258,7 +258,7 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names)
 
     texts = keyed.join(wanted, ["k1", "k2"]).select("doc_id", "text", "k1", "k2", "runs").dropDuplicates(["k1", "k2"])
-    segments = materialize(texts.mapInArrow(cut, "h long, alone boolean, hot boolean, s long, bytes binary, k1 long, k2 long"), "segments")
+    segments = materialize(texts.mapInArrow(frugal(cut), "h long, alone boolean, hot boolean, s long, bytes binary, k1 long, k2 long"), "segments")
     whole = kept.where("one").select(*span).unionByName(
         several.join(contents.where("c > 1").select("h", "fh"), ["h", "fh"], "left_semi").select(*span))
     return whole.unionByName(_repeated_in_blocks(segments.where("NOT hot"), length)).unionByName(_repeated_by_count(segments.where("hot"), length))
@@ -302,4 +302,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: tuple[str, ...]
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
     return keyed.join(spans, ["k1", "k2"], "left").select(*names, "text", "_null", "spans").mapInArrow(
-        run, f"{schema}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+        frugal(run), f"{schema}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")

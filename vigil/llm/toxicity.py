@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.arrow_text import byte_slices, mix, text_bytes
+from vigil.llm.arrow_text import byte_slices, frugal, give_back, mix, text_bytes
 
 BUCKET_BITS = 22
 MAX_TOXIC, MAX_CLEAN, MAX_BYTES, TEXT_CHARS = 4000, 6000, 48 << 20, 250_000
@@ -121,7 +121,7 @@ def distinct_features(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in others), pa.array(packed, pa.binary())], [*(f.name for f in others), "features"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    return rows.select(*(f.name for f in others), "text").mapInArrow(run, f"{schema}, features binary")
+    return rows.select(*(f.name for f in others), "text").mapInArrow(frugal(run), f"{schema}, features binary")
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, allowed: Column) -> tuple[DataFrame | None, float]:
@@ -169,7 +169,7 @@ def score_texts(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(score)], [*keep, name])
 
     schema = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in columns)
-    return docs.select(*keep, *(["text"] if "text" not in keep else [])).mapInArrow(run, f"{schema}, `{name}` double")
+    return docs.select(*keep, *(["text"] if "text" not in keep else [])).mapInArrow(frugal(run), f"{schema}, `{name}` double")
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model | None:
@@ -183,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model | None:
     toxic = table.column("toxic").to_numpy()[order] == 1
     model = train(rows, toxic.astype(int).tolist(), shift)
     del rows, table
-    pa.default_memory_pool().release_unused()
+    give_back()
     return model
 
 
