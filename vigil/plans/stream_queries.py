@@ -60,7 +60,8 @@ def stream_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "stream")
     store = Store(spark, f"{folder}/store")
     values, excluded = reports._corpus_tables(spark, sf_dir)
-    store.commit({"values": values, "excluded": excluded})
+    # the columns that are matched on; days and publishers of each value would cost more than the rest of the commit
+    store.commit({"values": values.select("value_lc", "indicator_type", "benign_basis"), "excluded": excluded.select("value_lc")})
     asked = reports._asked(spark, sf_dir)
     asked.repartition(3, "input_index").write.parquet(f"{folder}/asked")
     stream = spark.readStream.schema(asked.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/asked")
