@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vigil.functions import urls
-from vigil.operators import matching
+from vigil.operators import analyst, matching
 from vigil.plans import materialize as M
 from vigil.sources.versions import Store
 from vigil.streaming import jobs
@@ -50,6 +50,16 @@ def test_batch_of_one_file_is_parsed_in_many_tasks_and_the_corpus_prepared_once(
     assert {(r["value"], r["status"]) for r in store.read("verdicts", parts=["2"]).collect()} == {("evil[.]com", "miss"), ("x.evil.com", "miss"), ("deep.com", "miss"), ("out.com", "excluded"), ("none.com", "hit")}
 
 
+def test_names_are_read_from_each_known_value_once(spark, written):
+    table = lambda *v: spark.createDataFrame([(x,) for x in v], "value_lc string")
+    asked = spark.createDataFrame([(x,) for x in ("x.evil.com", "10.0.0.1", "8.8.8.8", "hxxp://x.evil[.]com/", "::1", "[2606:4700::1]", "a@b c")], "value string")
+    out = analyst.backtest_observables(asked, table(*["evil.com"] * 500, "8.8.8.8"), table("evil.com"), table("8.8.8.8"), psl_of(spark))
+    assert {r["value"]: (r["status"], r["match_method"], r["matched_on"]) for r in out.collect()} == {
+        "x.evil.com": ("hit", "parent_domain", "evil.com"), "10.0.0.1": ("skipped", None, None), "8.8.8.8": ("hit", "exact", "8.8.8.8"), "hxxp://x.evil[.]com/": ("skipped", None, None),
+        "::1": ("skipped", None, None), "[2606:4700::1]": ("unseen", None, None), "a@b c": ("skipped", None, None)}
+    assert spark.read.parquet(written("known")[0]).count() == 2 and spark.read.parquet(written("names")[0]).count() == 1
+
+
 def test_guard_makes_an_address_once(spark):
     pattern = r"^(0|[1-9]\d{0,2})(\.(0|[1-9]\d{0,2})){3}$"
     assert urls.guard_reason(F.col("v"))._jc.toString().count(pattern) <= 4
